@@ -71,7 +71,7 @@ def tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(n % 4 == 0, F.col("text")).alias("full_text"),
         F.when(n % 4 == 1, F.col("text")).alias("text"),
         F.when(n % 4 == 2, F.col("text")).alias("tweet"),
-        F.when(n % 4 != 2, F.upper("text")).alias("body"),
+        F.when(n % 4 != 2, F.concat(F.lit("body of "), "text")).alias("body"),
         F.when(n % 5 == 0, F.lit("junk"))
         .when(n % 2 == 0, F.date_format(moment, "yyyy-MM-dd HH:mm:ss 'UTC'"))
         .otherwise(F.date_format(moment, "EEE MMM dd HH:mm:ss '+0000' yyyy"))

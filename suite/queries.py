@@ -116,13 +116,13 @@ def src_json(spark, sf):
 
 @query
 def src_text(spark, sf):
-    """Whole text files, one per role, read as one row each."""
+    """Text files read whole, one row each, with the date of their path."""
     path = scratch_path(spark, "radio")
     roles = src.table(spark, sf, "conversations").select(
         F.concat_ws("_", "role", F.lit("2020-6-1")).alias("role"),
         F.regexp_replace("text", r"\s", " ").alias("value"),
     )
-    roles.repartition("role").write.partitionBy("role").text(path)
+    roles.write.partitionBy("role").text(path)
     files = read_raw(spark, f"{path}/*/*.txt", format="text")
     posts = normalize.normalize_radio(files)
     return posts.select("date", F.explode(F.split("full_text", "\n")).alias("line")).where(
