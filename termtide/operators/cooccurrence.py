@@ -4,7 +4,7 @@ A post matches a topic through every topic word among its tokens.  Each matched
 word contributes all tokens of the post, except topic words listed no later than
 itself.  So a token that is no topic word counts once per matched word of the
 topic, and a topic word counts once per matched word listed before it.  That
-number, the weight, is all a row needs: rows are (post, matched topic, token) and
+number, the weight, is all a row needs: rows are (post, token, matched topic) and
 the counts are sums of weights.
 """
 
@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,10 +25,6 @@ from termtide.operators.joins import lookup_join
 # Topic vocabularies up to this size travel inside the plan, larger ones are joined.
 MAX_LITERAL_WORDS = 20_000
 
-# From this size on, tokens are tested against the vocabulary by hash before they
-# are looked for among the matched words of their post.
-_HASH_TEST_FROM = 24
-
 
 @dataclass(frozen=True)
 class TopicSet:
@@ -68,54 +65,96 @@ class TopicSet:
         return [w for _, w in self.entries]
 
 
-def _topic_hits(entries: Column) -> Column:
-    """One struct per matched topic from the matched words of a post.
+_ENTRY = "struct<idx:bigint,run:bigint,topic:string,word:string>"
+
+
+def _topic_hits(entries: Column, runs_are_whole: bool) -> Column:
+    """One struct per matched run of topic words from the matched words of a post.
+
+    ``entries`` are the matched words in listing order.  A run is a topic, or a
+    stretch of one.  ``n`` is the number of its matched words, listed from
+    ``first`` to ``last``.  Words listed in between have their weight in ``own``;
+    ``runs_are_whole`` says that these are just the matched words themselves.
 
-    ``n`` is the weight of an ordinary token, ``own`` the weights of the matched
-    words themselves.
+    Each step below is a ``transform`` of its own, because what a lambda takes from
+    outside is evaluated again for every element.
     """
-    words = F.transform(entries, lambda e: e["word"])
+    runs = F.array_distinct(F.transform(entries, lambda e: e["run"]))
+    mine = F.transform(runs, lambda run: F.filter(entries, lambda e: e["run"] == run))
+    spans = F.transform(
+        mine,
+        lambda m: F.struct(
+            m[0]["topic"].alias("topic"),
+            F.size(m).alias("n"),
+            m[0]["idx"].alias("first"),
+            F.element_at(m, -1)["idx"].alias("last"),
+            m.alias("mine"),
+        ),
+    )
 
-    def hit(topic: Column) -> Column:
-        mine = F.filter(entries, lambda e: e["topic"] == topic)
-        before = F.transform(
-            entries, lambda e: F.size(F.filter(mine, lambda m: m["idx"] < e["idx"]))
-        )
-        return F.struct(
-            topic.alias("topic"),
-            F.size(mine).alias("n"),
-            F.map_from_arrays(words, before).alias("own"),
+    def ranked(s: Column) -> Column:
+        """Weight of the matched words themselves: how many of them come before."""
+        return F.map_from_arrays(s["mine"]["word"], F.sequence(F.lit(0), s["n"] - 1))
+
+    def counted(s: Column) -> Column:
+        """The same for every matched word in between, of whatever topic."""
+        between = F.filter(entries, lambda e: e["idx"].between(s["first"], s["last"]))
+        return F.map_from_entries(
+            F.transform(
+                between,
+                lambda e: F.struct(
+                    e["word"], F.size(F.filter(s["mine"], lambda m: m["idx"] < e["idx"]))
+                ),
+            )
         )
 
-    topics = F.array_distinct(F.transform(entries, lambda e: e["topic"]))
-    return F.transform(topics, hit)
+    own = ranked if runs_are_whole else counted
+    return F.transform(
+        spans, lambda s: F.struct(s["topic"], s["n"], s["first"], s["last"], own(s).alias("own"))
+    )
 
 
-def _hits_from_plan(posts: DataFrame, topics: TopicSet) -> DataFrame:
-    """``(label, copies, tokens, hit)`` with the vocabulary as a plan constant."""
-    info = literal_map(
-        {w: {"idx": i, "topic": t, "word": w} for i, (t, w) in enumerate(topics.entries)},
-        "struct<idx:bigint,topic:string,word:string>",
+# An explode of a bare column makes Catalyst derive "is not empty" and evaluate
+# everything behind the column a second time to test that.  Each explode below is
+# therefore of the column under its own condition, which also skips useless rows.
+
+
+def _token_rows_from_plan(posts: DataFrame, topics: TopicSet) -> DataFrame:
+    """``(_label, _copies, _hits, _word, _idx)`` with the vocabulary in the plan.
+
+    Everything happens within the row of the post; nothing is shuffled.
+    """
+    runs = [run for run, (_, words) in enumerate(groupby(t for t, _ in topics.entries)) for _ in words]
+    entry = literal_map(
+        {
+            word: {"idx": idx, "run": run, "topic": topic, "word": word}
+            for idx, (run, (topic, word)) in enumerate(zip(runs, topics.entries))
+        },
+        _ENTRY,
     )
+    place = literal_map({w: i for i, w in enumerate(topics.words)}, "bigint")
+    found = F.array_intersect("_tokens", literal_array(topics.words))
     return (
-        posts.withColumn("_found", F.array_intersect("_tokens", literal_array(topics.words)))
-        .select("_label", "_tokens", F.transform("_found", info).alias("_entries"))
+        posts.withColumn("_found", found)
+        .withColumn("_entries", F.array_sort(F.transform("_found", entry)))
+        .withColumn("_hits", _topic_hits(F.col("_entries"), runs_are_whole=True))
         .select(
             "_label",
             F.lit(1).alias("_copies"),
-            "_tokens",
-            F.explode(_topic_hits(F.col("_entries"))).alias("_hit"),
+            "_hits",
+            F.explode(F.when(F.size("_hits") > 0, F.col("_tokens"))).alias("_word"),
         )
+        .withColumn("_idx", place(F.col("_word")))
     )
 
 
-def _hits_from_table(posts: DataFrame, topics: DataFrame, **bounds) -> DataFrame:
+def _token_rows_from_table(posts: DataFrame, topics: DataFrame, **bounds) -> DataFrame:
     """The same by joining, for vocabularies of any size.
 
-    Equal posts of one interval are folded into one row first: the join is keyed
-    by content, and copies would all meet in one place.
+    Equal posts of one interval are folded into one row first: posts are put
+    together again by content, and copies would all meet in one place.
     """
-    content = F.concat_ws(" ", F.coalesce(F.col("_label").cast("string"), F.lit("")), "_tokens")
+    content = F.to_json(F.struct("_label", "_tokens"), {"ignoreNullFields": "false"})
     distinct_posts = (
         posts.withColumn("_key", F.sha2(content, 256))
         .groupBy("_key")
@@ -128,14 +167,35 @@ def _hits_from_table(posts: DataFrame, topics: DataFrame, **bounds) -> DataFrame
     vocabulary = topics.groupBy("word").agg(
         F.min_by("topic", "idx").alias("topic"), F.min("idx").alias("idx")
     )
-    post_words = distinct_posts.select("_key", F.explode(F.array_distinct("_tokens")).alias("word"))
-    entries = (
-        lookup_join(post_words, vocabulary, ["word"], "inner", **bounds)
+    words = distinct_posts.select("_key", "_label", "_copies", F.explode("_tokens").alias("word"))
+    bags = (
+        lookup_join(words, vocabulary, ["word"], "left", **bounds)
         .groupBy("_key")
-        .agg(F.collect_list(F.struct("idx", "topic", "word")).alias("_entries"))
+        .agg(
+            F.first("_label").alias("_label"),
+            F.first("_copies").alias("_copies"),
+            F.collect_list(
+                F.struct("idx", F.xxhash64("topic").alias("run"), "topic", "word")
+            ).alias("_bag"),
+        )
     )
-    return distinct_posts.join(entries, "_key").select(
-        "_label", "_copies", "_tokens", F.explode(_topic_hits(F.col("_entries"))).alias("_hit")
+    entries = F.array_sort(F.array_distinct(F.filter("_bag", lambda e: e["idx"].isNotNull())))
+    return (
+        bags.withColumn("_entries", entries)
+        .withColumn("_hits", _topic_hits(F.col("_entries"), runs_are_whole=False))
+        .select(
+            "_label",
+            "_copies",
+            "_hits",
+            F.explode(F.when(F.size("_hits") > 0, F.col("_bag"))).alias("_token"),
+        )
+        .select(
+            "_label",
+            "_copies",
+            "_hits",
+            F.col("_token.word").alias("_word"),
+            F.col("_token.idx").alias("_idx"),
+        )
     )
 
 
@@ -167,30 +227,22 @@ def cooccurrence(
     else:
         listed = topics if isinstance(topics, TopicSet) else TopicSet.of(topics)
     if listed is not None:
-        hits = _hits_from_plan(prepared, listed)
+        rows = _token_rows_from_plan(prepared, listed)
     else:
-        hits = _hits_from_table(prepared, topics, **(join_bounds or {}))
+        rows = _token_rows_from_table(prepared, topics, **(join_bounds or {}))
 
-    word = F.col("_word")
-    weight = F.coalesce(F.col("_own")[word], F.col("_n"))
-    if listed is not None and len(listed) >= _HASH_TEST_FROM:
-        in_vocabulary = literal_map({w: 1 for w in listed.words}, "int")(word).isNotNull()
-        weight = F.when(in_vocabulary, weight).otherwise(F.col("_n"))
+    word, idx, hit = F.col("_word"), F.col("_idx"), F.col("_hit")
+    weight = (
+        F.when(idx.isNull() | (idx > hit["last"]), hit["n"])
+        .when(idx < hit["first"], F.lit(0))
+        .otherwise(hit["own"][word])
+    )
     return (
-        hits.select(
-            "_label",
-            "_copies",
-            F.col("_hit.topic").alias("_topic"),
-            F.col("_hit.n").alias("_n"),
-            F.col("_hit.own").alias("_own"),
-            "_tokens",
+        rows.withColumn(
+            "_hit", F.explode(F.when(F.length(word) > word_length_filter, F.col("_hits")))
         )
-        # Not a bare column: Catalyst would derive "is not empty" from one and
-        # evaluate everything behind it a second time to test that.
-        .withColumn("_word", F.explode(F.when(F.col("_n") > 0, F.col("_tokens"))))
-        .where(F.length(word) > word_length_filter)
         .groupBy(
-            F.col("_label").alias(label_name), F.col("_topic").alias("topic"), word.alias("word")
+            F.col("_label").alias(label_name), hit["topic"].alias("topic"), word.alias("word")
         )
         .agg(F.sum(F.col("_copies") * weight).alias("count"))
         .where(F.col("count") > max(count_filter, 0))
