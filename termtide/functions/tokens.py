@@ -119,7 +119,9 @@ def filter_tokens(
         if urls:
             kept = kept & ~token.startswith("http")
         if emojis:
-            kept = kept & (F.regexp_replace(token, EMOJI, "") != "")
+            # As many bytes as characters: plain ASCII, which is never an emoji.
+            plain = F.octet_length(token) == F.length(token)
+            kept = kept & (plain | (F.regexp_replace(token, EMOJI, "") != ""))
         if hashtags:
             kept = kept & ~token.startswith("#")
         return kept
