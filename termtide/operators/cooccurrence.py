@@ -25,6 +25,10 @@ from termtide.operators.joins import lookup_join
 # Topic vocabularies up to this size travel inside the plan, larger ones are joined.
 MAX_LITERAL_WORDS = 20_000
 
+# ``array_intersect`` is quickest for few words, but goes through all of them for
+# every post; from here on every token is looked up by hash instead.
+_LOOK_UP_FROM = 64
+
 
 @dataclass(frozen=True)
 class TopicSet:
@@ -133,7 +137,10 @@ def _token_rows_from_plan(posts: DataFrame, topics: TopicSet) -> DataFrame:
         _ENTRY,
     )
     place = literal_map({w: i for i, w in enumerate(topics.words)}, "bigint")
-    found = F.array_intersect("_tokens", literal_array(topics.words))
+    if len(topics) < _LOOK_UP_FROM:
+        found = F.array_intersect("_tokens", literal_array(topics.words))
+    else:
+        found = F.filter(F.array_distinct("_tokens"), lambda t: place(t).isNotNull())
     return (
         posts.withColumn("_found", found)
         .withColumn("_entries", F.array_sort(F.transform("_found", entry)))

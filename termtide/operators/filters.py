@@ -5,8 +5,9 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 from termtide.operators.normalize import has_field
 
@@ -124,19 +125,35 @@ def filter_period(
     return filter_timestamps(filter_dates(df, start_date, end_date), start_datetime, end_datetime)
 
 
+def _orderable(kind: DataType) -> bool:
+    if isinstance(kind, StructType):
+        return all(_orderable(f.dataType) for f in kind.fields)
+    if isinstance(kind, ArrayType):
+        return _orderable(kind.elementType)
+    return not isinstance(kind, (MapType, VariantType))
+
+
 def dedupe_by_id(df: DataFrame, key: str = "id_str") -> DataFrame:
     """One post per id: the earliest, then the first by text and other columns.
 
-    The survivor is an aggregate, so copies are dropped before the shuffle and an
-    id with any number of copies never gathers in one task.
+    The survivor is a minimum, so copies are dropped before the shuffle and an id
+    with any number of copies never gathers in one task.
     """
-    text_first = [c for c in ("full_text",) if c in df.columns and c != key]
-    rest = [c for c in df.columns if c not in (key, "timestamp", *text_first)]
-    order = [F.col(c) for c in (*text_first, *rest)]
-    if "timestamp" in df.columns:
-        order = [F.col("timestamp").isNull(), F.col("timestamp"), *order]
-    others = [F.col(c) for c in df.columns if c != key]
-    kept = df.groupBy(key).agg(F.min_by(F.struct(*others), F.struct(*order)).alias("_kept"))
-    return kept.select(
-        *[F.col(c) if c == key else F.col(f"_kept.`{c}`").alias(c) for c in df.columns]
-    )
+    first = [c for c in ("timestamp", "full_text") if c in df.columns and c != key]
+    others = [*first, *(c for c in df.columns if c not in (key, *first))]
+    ordered = [c for c in others if _orderable(df.schema[c].dataType)]
+    carried = [c for c in others if c not in ordered]
+
+    undated = [F.col("timestamp").isNull().alias("_undated")] if "timestamp" in ordered else []
+    rank = F.struct(*undated, *[F.col(f"`{c}`") for c in ordered], F.lit(0).alias("_"))
+    kept = [F.min(rank).alias("_kept")]
+    if carried:
+        kept.append(F.min_by(F.struct(*carried), rank).alias("_carried"))
+
+    def column(name: str) -> Column:
+        if name == key:
+            return F.col(f"`{key}`")
+        holder = "_carried" if name in carried else "_kept"
+        return F.col(holder)[name].alias(name)
+
+    return df.groupBy(f"`{key}`").agg(*kept).select(*map(column, df.columns))

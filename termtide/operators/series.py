@@ -44,12 +44,13 @@ def fill_missing_days(
     series: DataFrame, *, topic: str = "topic", value: str = "count", date: str = "Date"
 ) -> DataFrame:
     """Every topic gets every day from the first to the last of the table, zero where absent."""
-    first = series.select(F.min(date)).scalar()
-    last = series.select(F.max(date)).scalar()
+    span = series.select(F.struct(F.min(date).alias("first"), F.max(date).alias("last"))).scalar()
+    days = F.sequence(F.col("_span.first"), F.col("_span.last"), F.expr("interval 1 day"))
     spine = (
         series.select(topic)
         .distinct()
-        .withColumn(date, F.explode(F.sequence(first, last, F.expr("interval 1 day"))))
+        .withColumn("_span", span)
+        .select(topic, F.explode(days).alias(date))
     )
     cells = series.groupBy(topic, date).agg(F.sum(value).alias(value))
     return spine.join(cells, [topic, date], "left").na.fill(0, [value]).select(topic, date, value)

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from termtide.functions.lookup import MAX_LITERAL_ENTRIES
 from termtide.functions.text import (
     clean_text,
     expand_contractions,
@@ -17,7 +18,7 @@ from termtide.functions.text import (
 )
 from termtide.functions.tokens import filter_tokens, join_tokens, tokenize
 from termtide.operators.token_map import LEMMA_EXCLUSIONS, with_mapped_tokens
-from termtide.sources.lists import default_stopwords
+from termtide.sources.lists import bounded_dict, default_stopwords
 
 CHOICES = (
     "stopwords",
@@ -42,14 +43,15 @@ class PreprocessOptions:
     ``stopwords`` of None with the choice ``stopwords`` means the built-in list of
     the language.  ``synonyms`` and ``lemmas`` replace phrases in the text;
     ``stems`` and ``lemma_tokens`` replace single tokens and may be tables
-    ``(synonym, head)`` of any size.
+    ``(synonym, head)`` of any size.  Stop words ``(word)``, synonyms and lemmas may
+    be tables up to the literal bound; they are collected when the options are made.
     """
 
     choices: Sequence[str] = ()
     lang: str = "en"
-    stopwords: Sequence[str] | None = None
-    synonyms: Mapping[str, str] = field(default_factory=dict)
-    lemmas: Mapping[str, str] = field(default_factory=dict)
+    stopwords: DataFrame | Sequence[str] | None = None
+    synonyms: DataFrame | Mapping[str, str] = field(default_factory=dict)
+    lemmas: DataFrame | Mapping[str, str] = field(default_factory=dict)
     stems: DataFrame | Mapping[str, str] | None = None
     lemma_tokens: DataFrame | Mapping[str, str] | None = None
     lemma_exclusions: Sequence[str] = LEMMA_EXCLUSIONS
@@ -59,6 +61,17 @@ class PreprocessOptions:
         unknown = set(self.choices) - set(CHOICES)
         if unknown:
             raise ValueError(f"unknown preprocessing choices {sorted(unknown)}")
+        for name in ("stopwords", "synonyms", "lemmas"):
+            table = getattr(self, name)
+            if isinstance(table, DataFrame):
+                columns = ("word", "word") if name == "stopwords" else ("synonym", "head")
+                entries = bounded_dict(table, *columns)
+                if entries is None:
+                    raise ValueError(
+                        f"{name}: more than {MAX_LITERAL_ENTRIES} entries; replace single "
+                        "tokens by a table, or take stop words out of token rows by a join"
+                    )
+                object.__setattr__(self, name, list(entries) if name == "stopwords" else entries)
 
     @property
     def stopword_list(self) -> list[str]:

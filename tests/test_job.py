@@ -166,8 +166,15 @@ def test_preprocess_chain(column, spark):
     ]
     assert texts(choices=["stemmed"], stems={"dogs": "dog"})[0].startswith("the dog can't")
     assert texts(lemmas={"DOGS": "dog"})[0].startswith("The dog can't")
+    table = spark.createDataFrame([("dogs", "cats")], "synonym string, head string")
+    stop = spark.createDataFrame([("rt",), ("the",)], "word string")
+    assert texts(synonyms=table, stopwords=stop) == [
+        "cats cannot #run . http://x.y 😀 #tag", "",
+    ]
     with pytest.raises(ValueError):
         PreprocessOptions(choices=["upper"])
+    with pytest.raises(ValueError):
+        PreprocessOptions(stopwords=spark.range(50_001).select(F.col("id").cast("string").alias("word")))
 
 
 def test_tokens_used_directly_equal_tokens_of_the_text(spark):

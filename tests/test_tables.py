@@ -162,6 +162,9 @@ def test_dedupe_keeps_the_earliest(spark):
     kept = filters.dedupe_by_id(posts)
     assert kept.columns == posts.columns
     assert sorted(rows(kept, "id_str", "full_text"), key=str) == [("1", "a"), ("2", "x"), (None, "n")]
+    mapped = filters.dedupe_by_id(posts.withColumn("m", F.create_map("id_str", "full_text")).where("id_str = '1'"))
+    assert mapped.columns == [*posts.columns, "m"] and mapped.first()["m"] == {"1": "a"}
+    assert filters.dedupe_by_id(posts.select("id_str")).count() == 3
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
