@@ -1,10 +1,13 @@
 """Bounded dictionaries as plan literals.
 
 A dictionary of at most ``MAX_LITERAL_ENTRIES`` entries travels inside the plan
-as one constant: an array of small maps, chosen by a hash of the key.  A lookup
-costs the same whether the dictionary has ten entries or fifty thousand, needs
-no shuffle and no Python worker.  Larger dictionaries stay DataFrames and are
-joined (see ``termtide.operators.joins``).
+as one constant: short lists of keys and values, chosen by a hash of the key.  A
+lookup costs the same whether the dictionary has ten entries or fifty thousand,
+needs no shuffle and no Python worker.  Larger dictionaries stay DataFrames and
+are joined (see ``termtide.operators.joins``).
+
+The constant is made of arrays, not of maps: Spark compares arrays by content, so
+two uses of one dictionary are recognised as the same and can share an exchange.
 """
 
 from __future__ import annotations
@@ -38,18 +41,22 @@ def literal_map(
             "keep the dictionary as a DataFrame and join it"
         )
     n_buckets = max(1, len(mapping) // 2)
-    buckets: list[dict[str, Any]] = [{} for _ in range(n_buckets)]
+    buckets: list[dict[str, list]] = [{"k": [], "v": []} for _ in range(n_buckets)]
     for key, value in mapping.items():
-        buckets[zlib.crc32(key.encode("utf-8")) % n_buckets][key] = value
+        bucket = buckets[zlib.crc32(key.encode("utf-8")) % n_buckets]
+        bucket["k"].append(key)
+        bucket["v"].append(value)
     constant = F.from_json(
-        F.lit(json.dumps(buckets)), f"array<map<string,{value_type}>>"
+        F.lit(json.dumps(buckets)), f"array<struct<k:array<string>,v:array<{value_type}>>>"
     )
-    if n_buckets == 1:
-        return lambda key: constant[F.lit(0)][key]
 
     def lookup(key: Column) -> Column:
-        bucket = F.pmod(F.crc32(key.cast("binary")), F.lit(n_buckets)).cast("int")
-        return constant[bucket][key]
+        if n_buckets == 1:
+            bucket = constant[F.lit(0)]
+        else:
+            bucket = constant[F.pmod(F.crc32(key.cast("binary")), F.lit(n_buckets)).cast("int")]
+        place = F.array_position(bucket["k"], key).cast("int")
+        return F.get(bucket["v"], place - 1)
 
     return lookup
 

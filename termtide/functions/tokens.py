@@ -35,6 +35,10 @@ POST_TOKEN = "|".join(
     ]
 )
 
+# A text of nothing but letters, digits and white space needs no pattern: its
+# tokens are what white space separates.
+_NOT_PLAIN = r"[^\p{L}\p{M}\p{N}\s]"
+
 # Spanish: words keep their inner dots and commas, brackets and marks stand alone.
 _ES_MARK = r"\s!\"$%&'(),.:;?\[\]{|}~¡¿«»‘’“”°…"
 SPANISH_TOKEN = "|".join(
@@ -77,7 +81,11 @@ EMOJI_OR_WORD = rf"{EMOJI}|[^\s{_EMOJI_BASE}]+"
 
 
 def _tokenize_post(c: Column) -> Column:
-    return F.regexp_extract_all(F.lower(c), F.lit(POST_TOKEN), F.lit(0))
+    text = F.lower(c)
+    return F.when(
+        F.regexp_like(text, F.lit(_NOT_PLAIN)),
+        F.regexp_extract_all(text, F.lit(POST_TOKEN), F.lit(0)),
+    ).otherwise(F.array_remove(F.split(text, r"\s+"), ""))
 
 
 def _tokenize_spanish(c: Column) -> Column:

@@ -117,10 +117,13 @@ def preprocess_tokens(
     switches = dict(
         urls="urls" in choices, emojis="emojis" in choices, hashtags="hashtags" in choices
     )
-    column = tokenize(preprocess_text(target, options), options.lang)
+    # Text, tokens and the filter are columns of their own: a lambda takes everything
+    # below it out of generated code.
+    df = df.withColumn("_text", preprocess_text(target, options))
+    df = df.withColumn(tokens, tokenize("_text", options.lang)).drop("_text")
     if stopwords or any(switches.values()):
-        column = filter_tokens(column, stopwords, **switches)
-    df = df.withColumn(tokens, column)
+        kept = filter_tokens(tokens, stopwords, **switches)
+        df = df.withColumn(tokens, F.when(F.size(tokens) > 0, kept).otherwise(F.col(tokens)))
     if "stemmed" in choices and options.stems is not None:
         df = with_mapped_tokens(df, options.stems, tokens=tokens)
     if "lemmatize" in choices and options.lemma_tokens is not None:
