@@ -156,3 +156,9 @@ def test_text_is_tokenised_once_and_shuffled_never(spark):
     assert plan.count("regexp_extract_all") == 1
     assert plan.count("Exchange") == 1
     assert "ReadSchema: struct<text:string>" in plan
+
+
+def test_saturating_words_computes_the_counts_once(spark):
+    df = QUERIES["saturating_words"](spark, "/root/testdata/sf0.001")
+    df.collect()
+    assert "ReusedExchange [OVERALL" in plan_of(df)
