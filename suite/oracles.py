@@ -154,8 +154,8 @@ ORDERS = """series AS (
   FROM orders GROUP BY 1, 2)"""
 
 POST_COLUMNS = (
-    "id_str, CAST(length(full_text) AS INTEGER) AS n_chars, md5(full_text) AS text_md5, date, "
-    "strftime(timestamp, '%Y-%m-%d %H:%M:%S') AS moment, lang, handle"
+    "id_str, CAST(length(full_text) AS INTEGER) AS n_chars, md5(full_text) AS text_md5, "
+    "CAST(date AS VARCHAR) AS date, strftime(timestamp, '%Y-%m-%d %H:%M:%S') AS moment, lang, handle"
 )
 
 DECORATED = "full_text"
@@ -230,7 +230,7 @@ ORACLES: dict[str, str] = {
     "lang, source FROM documents",
     "src_csv": f"WITH {POSTS} SELECT id_str, md5(full_text) AS text_md5, lang FROM posts",
     "src_json": f"WITH {REPLIES} SELECT id_str, md5(full_text) AS text_md5, retweeted, "
-    "is_quote_status FROM replies",
+    "CAST(is_quote_status AS VARCHAR) AS is_quote_status FROM replies",
     "src_text": "SELECT DATE '2020-06-01' AS date, count(*) AS n_lines, "
     "CAST(sum(length(text)) AS BIGINT) AS n_chars FROM conversations WHERE text <> ''",
     "map_file_rows": """WITH lines AS (
@@ -247,10 +247,10 @@ FROM mentions GROUP BY word""",
     # --- adapters
     "norm_twitter_text": f"WITH {TWEETS} SELECT id, "
     "md5(coalesce(full_text, text, tweet, body)) AS text_md5 FROM tweets",
-    "norm_created_at": f"WITH {TWEETS} SELECT id, created_at, CAST(ts AS DATE) AS date, "
+    "norm_created_at": f"WITH {TWEETS} SELECT id, created_at, CAST(CAST(ts AS DATE) AS VARCHAR) AS date, "
     "strftime(ts, '%Y-%m-%d %H:%M:%S') AS moment FROM created",
     "norm_posted_time": f'WITH {TWEETS} SELECT id, postedTime AS "postedTime", '
-    "CAST(coalesce(posted, ts) AS DATE) AS date, "
+    "CAST(CAST(coalesce(posted, ts) AS DATE) AS VARCHAR) AS date, "
     "strftime(coalesce(posted, ts), '%Y-%m-%d %H:%M:%S') AS moment FROM created",
     "norm_id": f"WITH {TWEETS} SELECT id, coalesce(id_str, CAST(id AS VARCHAR)) AS id_str FROM tweets",
     "norm_lang": f"WITH {TWEETS} SELECT id, coalesce(lang, language, twitter_lang) AS lang FROM tweets",
@@ -266,9 +266,9 @@ FROM mentions GROUP BY word""",
 SELECT {POST_COLUMNS} FROM posts""",
     "norm_radio": f"SELECT CASE WHEN doc_id % 9 = 0 THEN 'undated' "
     f"ELSE strftime({DOC_DAY}, '%Y-%-m-%-d') END || '_n' || doc_id || '.txt' AS id_str, "
-    f"CASE WHEN doc_id % 9 <> 0 THEN {DOC_DAY} END AS date, md5(text) AS text_md5 FROM documents",
+    f"CASE WHEN doc_id % 9 <> 0 THEN CAST({DOC_DAY} AS VARCHAR) END AS date, md5(text) AS text_md5 FROM documents",
     "norm_cnn": f"SELECT CAST(doc_id AS VARCHAR) AS id_str, "
-    f"CASE WHEN doc_id % 9 <> 0 THEN {DOC_DAY} END AS date FROM documents",
+    f"CASE WHEN doc_id % 9 <> 0 THEN CAST({DOC_DAY} AS VARCHAR) END AS date FROM documents",
     "norm_gallup": "SELECT CAST(o_orderkey AS VARCHAR) AS id_str, CAST(o_orderdate AS DATE) AS date "
     "FROM orders",
     "norm_news": f"WITH {ARTICLES} SELECT uri AS id_str, date, md5(body) AS text_md5 FROM articles",
@@ -400,13 +400,13 @@ FROM series GROUP BY 1, 2, 4""",
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2""",
     "series_union": """SELECT CAST(o_orderdate AS DATE) AS "Date",
-       nullif(count(*) FILTER (o_orderstatus = 'F'), 0) AS "Finished",
-       nullif(count(*) FILTER (o_orderstatus = 'O'), 0) AS "Opened",
-       nullif(count(*) FILTER (o_orderstatus = 'P'), 0) AS "Pending"
+       count(*) FILTER (o_orderstatus = 'F') AS "Finished",
+       count(*) FILTER (o_orderstatus = 'O') AS "Opened",
+       count(*) FILTER (o_orderstatus = 'P') AS "Pending"
 FROM orders GROUP BY 1
 UNION ALL
-SELECT CAST(l_shipdate AS DATE), nullif(count(*) FILTER (l_linestatus = 'F'), 0),
-       nullif(count(*) FILTER (l_linestatus = 'O'), 0), NULL
+SELECT CAST(l_shipdate AS DATE), count(*) FILTER (l_linestatus = 'F'),
+       count(*) FILTER (l_linestatus = 'O'), 0
 FROM lineitem GROUP BY 1""",
     "series_quarantine": """WITH parts AS (
   SELECT event_type, strftime(ts, '%Y-%m-%d') AS d, event_id, user_id, CAST(ts AS DATE) AS "Date"
@@ -414,8 +414,8 @@ FROM lineitem GROUP BY 1""",
 SELECT concat_ws(',', CASE WHEN event_type = 'signup' THEN '1540' || d ELSE d END, event_id,
                  CASE event_type WHEN 'view' THEN '' WHEN 'purchase' THEN 'x' WHEN 'error' THEN NULL
                                  ELSE CAST(user_id AS VARCHAR) END) AS value,
-       CASE WHEN event_type <> 'signup' THEN "Date" END AS "Date", event_id AS event,
-       CASE WHEN event_type IN ('click', 'signup') THEN user_id END AS "user",
+       CASE WHEN event_type <> 'signup' THEN CAST("Date" AS VARCHAR) END AS "Date", event_id AS event,
+       CASE WHEN event_type IN ('click', 'signup') THEN CAST(user_id AS VARCHAR) END AS "user",
        event_type IN ('error', 'signup', 'purchase') AS quarantined
 FROM parts""",
     "series_diff": f"""WITH {EVENTS}, users AS (

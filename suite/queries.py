@@ -60,13 +60,18 @@ def _tokens(c) -> list:
     return [join_tokens(c).alias("tokens"), F.size(c).alias("n_tokens")]
 
 
+def _day_text(name: str) -> Column:
+    """A day that may be missing, as text."""
+    return F.col(name).cast("string").alias(name)
+
+
 def _posts(df: DataFrame) -> DataFrame:
     """Canonical posts with the moment as text and the text by its length."""
     return df.select(
         "id_str",
         F.length("full_text").alias("n_chars"),
         F.md5("full_text").alias("text_md5"),
-        "date",
+        _day_text("date"),
         F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("moment"),
         "lang",
         "handle",
@@ -110,7 +115,7 @@ def src_json(spark, sf):
         "id_str",
         F.md5("full_text").alias("text_md5"),
         F.col("retweeted_status.id_str").alias("retweeted"),
-        "is_quote_status",
+        F.col("is_quote_status").cast("string").alias("is_quote_status"),
     )
 
 
@@ -163,7 +168,7 @@ def norm_twitter_text(spark, sf):
 def norm_created_at(spark, sf):
     df = normalize.normalize_twitter_created(src.tweets(spark, sf))
     moment = F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("moment")
-    return df.select("id", "created_at", "date", moment)
+    return df.select("id", "created_at", _day_text("date"), moment)
 
 
 @query
@@ -171,7 +176,7 @@ def norm_posted_time(spark, sf):
     df = src.tweets(spark, sf).transform(normalize.normalize_twitter_created)
     df = normalize.normalize_twitter_posted(df)
     moment = F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("moment")
-    return df.select("id", "postedTime", "date", moment)
+    return df.select("id", "postedTime", _day_text("date"), moment)
 
 
 @query
@@ -209,13 +214,13 @@ def _files(spark, sf, pattern) -> DataFrame:
 @query
 def norm_radio(spark, sf):
     df = normalize.normalize_radio(_files(spark, sf, "yyyy-M-d"), F.col("path"))
-    return df.select("id_str", "date", F.md5("full_text").alias("text_md5"))
+    return df.select("id_str", _day_text("date"), F.md5("full_text").alias("text_md5"))
 
 
 @query
 def norm_cnn(spark, sf):
     df = normalize.normalize_cnn_survey_2020(_files(spark, sf, "M-d-yy"), F.col("path"))
-    return df.select("id_str", "date")
+    return df.select("id_str", _day_text("date"))
 
 
 @query
@@ -686,7 +691,7 @@ def series_union(spark, sf):
         .withColumnsRenamed({"F": "Finished", "O": "Opened"})
     )
     tables = [orders.withColumnsRenamed({"F": "Finish", "O": "Open"}), lines]
-    stacked = series.union_series(tables, {"Finish": "Finished", "Open": "Opened"})
+    stacked = series.union_series(tables, {"Finish": "Finished", "Open": "Opened"}, fill=0)
     return stacked.select("Date", "Finished", "Opened", F.col("P").alias("Pending"))
 
 
@@ -706,7 +711,8 @@ def series_quarantine(spark, sf):
         ).alias("value")
     )
     rows = series.parse_series_lines(events, ["event", "user"])
-    return rows.select("value", "Date", "event", "user", "quarantined")
+    user = F.col("user").cast("string").alias("user")
+    return rows.select("value", _day_text("Date"), "event", user, "quarantined")
 
 
 @query

@@ -30,6 +30,7 @@ from termtide.plans.preprocess import (
     preprocess,
     with_job_tokens,
 )
+from termtide.session import configure
 from termtide.sinks.writers import (
     observe_records,
     output_name,
@@ -138,6 +139,7 @@ def run_job(
     single_file: bool = False,
     write_uncoalesced: bool = False,
     preprocessed_path: str | None = None,
+    summary_file: bool = False,
 ) -> JobResult:
     """The whole job: read, choose, preprocess, count, write, summarise.
 
@@ -145,6 +147,7 @@ def run_job(
     number of posts is counted on the way, not by a scan of its own.
     """
     started = time.time()
+    configure(spark)
     if isinstance(topics, str):
         inline = topics.lstrip().startswith(("[", "{"))
         topics = TopicSet.from_json(topics) if inline else read_topics(spark, topics)
@@ -192,4 +195,6 @@ def run_job(
             "Newspaper concepts": selection.news_concepts,
         },
     )
+    if summary_file:
+        write_csv(summary, path.rsplit(".", 1)[0] + "_summary")
     return JobResult(path, preprocessed_path, summary)

@@ -61,6 +61,9 @@ class PreprocessOptions:
         unknown = set(self.choices) - set(CHOICES)
         if unknown:
             raise ValueError(f"unknown preprocessing choices {sorted(unknown)}")
+        for choice, table in (("stemmed", "stems"), ("lemmatize", "lemma_tokens")):
+            if choice in self.choices and getattr(self, table) is None:
+                raise ValueError(f"the choice {choice!r} needs the dictionary {table!r}")
         for name in ("stopwords", "synonyms", "lemmas"):
             table = getattr(self, name)
             if isinstance(table, DataFrame):
@@ -124,9 +127,9 @@ def preprocess_tokens(
     if stopwords or any(switches.values()):
         kept = filter_tokens(tokens, stopwords, **switches)
         df = df.withColumn(tokens, F.when(F.size(tokens) > 0, kept).otherwise(F.col(tokens)))
-    if "stemmed" in choices and options.stems is not None:
+    if "stemmed" in choices:
         df = with_mapped_tokens(df, options.stems, tokens=tokens)
-    if "lemmatize" in choices and options.lemma_tokens is not None:
+    if "lemmatize" in choices:
         df = with_mapped_tokens(
             df, options.lemma_tokens, tokens=tokens, exclude=options.lemma_exclusions
         )
@@ -169,9 +172,7 @@ def with_job_tokens(
     """
     if not options.is_needed:
         return with_tokens(df, target, options.lang, tokens)
-    mapped = ("stemmed" in options.choices and options.stems is not None) or (
-        "lemmatize" in options.choices and options.lemma_tokens is not None
-    )
+    mapped = {"stemmed", "lemmatize"} & set(options.choices)
     if options.works_on_tokens and not mapped:
         return preprocess_tokens(df, options, target, tokens)
     return with_tokens(

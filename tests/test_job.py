@@ -171,8 +171,9 @@ def test_preprocess_chain(column, spark):
     assert texts(synonyms=table, stopwords=stop) == [
         "cats cannot #run . http://x.y 😀 #tag", "",
     ]
-    with pytest.raises(ValueError):
-        PreprocessOptions(choices=["upper"])
+    for wrong in ("upper", "stemmed", "lemmatize"):
+        with pytest.raises(ValueError):
+            PreprocessOptions(choices=[wrong])
     with pytest.raises(ValueError):
         PreprocessOptions(stopwords=spark.range(50_001).select(F.col("id").cast("string").alias("word")))
 
@@ -206,6 +207,7 @@ def test_whole_job(spark, tmp_path, single_file):
         options=PreprocessOptions(choices=JOB_CHOICES, stopwords=["the", "it", "is"]),
         single_file=single_file,
         preprocessed_path=str(tmp_path / "pre"),
+        summary_file=True,
     )
     assert result.output.endswith("2020-06-01_2020-06-03_twitter_CoOccurrence_monthly.csv")
     got = [tuple(r) for r in read_raw(spark, result.output).collect()]
@@ -215,6 +217,7 @@ def test_whole_job(spark, tmp_path, single_file):
          ("6", "time", "#blm", "26")]
     )
     summary = result.summary.first().asDict()
+    assert spark.read.csv(result.output[:-4] + "_summary.csv", header=True).first()["End date"] == "2020-06-03"
     assert summary["total record count"] == 26
     assert summary["Filtered lang"] == "en" and summary["Tweet Types"] == "tweet retweet quote"
     written = spark.read.json(result.preprocessed_output)
