@@ -68,8 +68,12 @@ class TopicSet:
     def words(self) -> list[str]:
         return [w for _, w in self.entries]
 
+    @property
+    def names(self) -> list[str]:
+        return list(dict.fromkeys(t for t, _ in self.entries))
+
 
-_ENTRY = "struct<idx:bigint,run:bigint,topic:string,word:string>"
+_ENTRY = "struct<idx:bigint,run:int,topic:int,word:string>"
 
 
 def _topic_hits(entries: Column, runs_are_whole: bool) -> Column:
@@ -126,12 +130,14 @@ def _topic_hits(entries: Column, runs_are_whole: bool) -> Column:
 def _token_rows_from_plan(posts: DataFrame, topics: TopicSet) -> DataFrame:
     """``(_label, _copies, _hits, _word, _idx)`` with the vocabulary in the plan.
 
-    Everything happens within the row of the post; nothing is shuffled.
+    Everything happens within the row of the post; nothing is shuffled.  Topics go
+    by number here and get their names back once they are counted.
     """
+    numbers = {name: n for n, name in enumerate(topics.names)}
     runs = [run for run, (_, words) in enumerate(groupby(t for t, _ in topics.entries)) for _ in words]
     entry = literal_map(
         {
-            word: {"idx": idx, "run": run, "topic": topic, "word": word}
+            word: {"idx": idx, "run": run, "topic": numbers[topic], "word": word}
             for idx, (run, (topic, word)) in enumerate(zip(runs, topics.entries))
         },
         _ENTRY,
@@ -244,16 +250,22 @@ def cooccurrence(
         .when(idx < hit["first"], F.lit(0))
         .otherwise(hit["own"][word])
     )
-    return (
+    # One label for all rows need not be part of the key.
+    labels = [] if interval == "overall" else [F.col("_label").alias(label_name)]
+    counts = (
         rows.withColumn(
             "_hit", F.explode(F.when(F.length(word) > word_length_filter, F.col("_hits")))
         )
-        .groupBy(
-            F.col("_label").alias(label_name), hit["topic"].alias("topic"), word.alias("word")
-        )
+        .groupBy(*labels, hit["topic"].alias("topic"), word.alias("word"))
         .agg(F.sum(F.col("_copies") * weight).alias("count"))
         .where(F.col("count") > max(count_filter, 0))
     )
+    topic = F.col("topic")
+    if listed is not None:
+        topic = F.get(literal_array(listed.names), topic).alias("topic")
+    return counts.select(
+        F.col(label_name) if labels else label.alias(label_name), topic, "word", "count"
+    )
 
 
 def count_order(counts: DataFrame) -> list[Column]:
