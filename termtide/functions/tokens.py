@@ -80,6 +80,10 @@ EMOJI = (
 EMOJI_OR_WORD = rf"{EMOJI}|[^\s{_EMOJI_BASE}]+"
 
 
+# Tokens that are never wanted.
+_STRAY = ("", "'", ":")
+
+
 def _tokenize_post(c: Column) -> Column:
     text = F.lower(c)
     return F.when(
@@ -118,10 +122,15 @@ def filter_tokens(
 
     Order and duplicates of the remaining tokens are kept.
     """
+    if not (stopwords or urls or emojis or hashtags):
+        kept = _col(tokens)
+        for stray in _STRAY:
+            kept = F.array_remove(kept, stray)
+        return kept
     is_stopword = member_of(stopwords)
 
     def keep(token: Column) -> Column:
-        kept = ~token.isin("", "'", ":")
+        kept = ~token.isin(*_STRAY)
         if stopwords:
             kept = kept & ~is_stopword(token)
         if urls:

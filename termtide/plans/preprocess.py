@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termtide.functions.lookup import MAX_LITERAL_ENTRIES
@@ -92,23 +92,30 @@ class PreprocessOptions:
         return bool(token_choices & set(self.choices) or self.synonyms or self.stopword_list)
 
 
-def preprocess_text(c: Column | str, options: PreprocessOptions) -> Column:
-    """The part of the chain that works on the text as a whole."""
-    text = F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
+def preprocess_text(
+    df: DataFrame, options: PreprocessOptions, target: str, output: str
+) -> DataFrame:
+    """The part of the chain that works on the text as a whole.
+
+    Replacing phrases reads the text twice, so every step gets a column to read
+    from; inlined, the steps before it would run twice as well.
+    """
     choices = set(options.choices)
+    text = F.coalesce(F.col(target), F.lit(""))
     if "lowercase" in choices or options.synonyms:
         text = lower_text(text, options.lang)
-    text = clean_text(text)
+    df = df.withColumn(output, clean_text(text))
     if ("contractions" in choices or options.synonyms) and options.lang == "en":
-        text = expand_contractions(text, options.drop_contraction_ownership)
+        df = df.withColumn(output, expand_contractions(output, options.drop_contraction_ownership))
     if options.synonyms:
         # The text is in lower case by now, so the keys have to be as well.
-        text = replace_phrases(text, {k.lower(): v for k, v in options.synonyms.items()})
+        synonyms = {k.lower(): v for k, v in options.synonyms.items()}
+        df = df.withColumn(output, replace_phrases(output, synonyms))
     if options.lemmas:
-        text = replace_phrases(text, options.lemmas)
+        df = df.withColumn(output, replace_phrases(output, options.lemmas))
     if "punctuation" in choices:
-        text = remove_punctuation(text)
-    return text
+        df = df.withColumn(output, remove_punctuation(output))
+    return df
 
 
 def preprocess_tokens(
@@ -120,9 +127,9 @@ def preprocess_tokens(
     switches = dict(
         urls="urls" in choices, emojis="emojis" in choices, hashtags="hashtags" in choices
     )
-    # Text, tokens and the filter are columns of their own: a lambda takes everything
-    # below it out of generated code.
-    df = df.withColumn("_text", preprocess_text(target, options))
+    # The tokens and their filter are columns of their own as well: a lambda takes
+    # everything below it out of generated code.
+    df = preprocess_text(df, options, target, "_text")
     df = df.withColumn(tokens, tokenize("_text", options.lang)).drop("_text")
     if stopwords or any(switches.values()):
         kept = filter_tokens(tokens, stopwords, **switches)
@@ -149,7 +156,7 @@ def preprocess(
     if not options.is_needed:
         return df
     if not options.works_on_tokens:
-        return df.withColumn(output, preprocess_text(target, options))
+        return preprocess_text(df, options, target, output)
     with_tokens = preprocess_tokens(df, options, target, "_tokens")
     return with_tokens.withColumn(output, join_tokens("_tokens")).drop("_tokens")
 

@@ -237,3 +237,15 @@ def test_job_as_json(spark, tmp_path):
 def test_preprocessed_output_of_plain_text(spark):
     df = spark.createDataFrame([("1", " a ")], "id_str string, full_text string")
     assert tuple(preprocessed_output(df, preprocessed="full_text").first()) == ("1", "a")
+
+
+def test_no_step_of_the_chain_is_inlined_into_the_next(spark):
+    posts = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    options = PreprocessOptions(
+        choices=JOB_CHOICES, synonyms={"the": "that"}, lemmas={"that": "this"}
+    )
+    df = preprocess(posts.select(F.col("text").alias("full_text")), options)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # Contractions, synonyms and lemmas cut and search the text once each.
+    assert plan.count("zip_with(") == 3
+    assert plan.count("regexp_replace(") == 1
