@@ -169,7 +169,7 @@ def _token_rows_from_table(posts: DataFrame, topics: DataFrame, **bounds) -> Dat
     """
     content = F.to_json(F.struct("_label", "_tokens"), {"ignoreNullFields": "false"})
     distinct_posts = (
-        posts.withColumn("_key", F.sha2(content, 256))
+        posts.withColumn("_key", F.unhex(F.sha2(content, 256)))
         .groupBy("_key")
         .agg(
             F.first("_label").alias("_label"),

@@ -49,7 +49,7 @@ def with_mapped_tokens(
     if entries is not None:
         return df.withColumn(tokens, map_tokens(tokens, entries))
 
-    keyed = df.withColumn("_key", F.sha2(F.to_json(F.col(tokens)), 256))
+    keyed = df.withColumn("_key", F.unhex(F.sha2(F.to_json(F.col(tokens)), 256)))
     rows = (
         keyed.groupBy("_key")
         .agg(F.first(tokens).alias("_tokens"))
