@@ -11,6 +11,7 @@ from termtide.functions import (
     split_emojis,
     tokenize,
 )
+from termtide.functions.tokens import EMOJI_OR_WORD
 
 ONCE = settings(
     max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
@@ -76,3 +77,10 @@ def test_tokenising_joined_tokens_changes_nothing(column, texts):
         once = column(texts, tokens)
         again = column(texts, tokenize(join_tokens(tokens), lang))
         assert once == again
+
+
+@ONCE
+@given(st.lists(st.text(st.sampled_from("a1#é \n ©®→↔😀👍🏽🇫🇷️⃣‍x中…"), max_size=30), min_size=1, max_size=30))
+def test_quick_emoji_pattern_equals_the_portable_one(column, texts):
+    portable = F.regexp_extract_all("c", F.lit(EMOJI_OR_WORD), F.lit(0))
+    assert column(texts, split_emojis("c")) == column(texts, portable)
