@@ -5,6 +5,8 @@ Also the plain statement of what counts as a co-occurrence, which the tests use.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,19 +17,17 @@ from termtide.functions.text import PUNCTUATION_OUTSIDE_URLS
 from termtide.functions.tokens import POST_TOKEN
 
 
-def emitted(tokens: list[str], topics: list[dict]) -> list[tuple[str, str]]:
-    """``(topic, word)`` pairs of one post, going through the topics in order.
+def emitted(tokens: list[str], topics: list[dict]) -> Counter:
+    """How often each ``(topic, word)`` co-occurs in one post.
 
-    Each topic word found among the remaining tokens is taken out of them for
-    good; what is left then co-occurs with it.
+    The topic words are called out in listing order.  One that is in the bag leaves
+    it for good, and its topic is credited with everything still inside.
     """
-    remaining, pairs = list(tokens), []
-    for topic in topics:
-        for word in topic["words"]:
-            if word in remaining:
-                remaining = [t for t in remaining if t != word]
-                pairs += [(topic["topic"], t) for t in remaining]
-    return pairs
+    bag, credit = Counter(tokens), Counter()
+    for name, called in ((t["topic"], w) for t in topics for w in t["words"]):
+        if bag.pop(called, 0):
+            credit.update({(name, other): n for other, n in bag.items()})
+    return credit
 
 
 def cooccur_daily_in_python(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,9 +50,9 @@ def cooccur_daily_in_python(spark: SparkSession, sf_dir: str) -> DataFrame:
     def tokenized(text):
         return token.findall(text.lower())
 
-    @F.udf("array<struct<topic:string,word:string>>")
+    @F.udf("array<struct<topic:string,word:string,n:int>>")
     def hits(tokens):
-        return emitted(tokens, topics)
+        return [(topic, word, n) for (topic, word), n in emitted(tokens, topics).items()]
 
     return (
         inputs.posts(spark, sf_dir)
@@ -60,6 +60,6 @@ def cooccur_daily_in_python(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("date", F.explode("_pairs").alias("_pair"))
         .where(F.length("_pair.word") > 2)
         .groupBy(F.col("date").alias("interval"), "_pair.topic", "_pair.word")
-        .agg(F.count("*").alias("count"))
+        .agg(F.sum("_pair.n").alias("count"))
         .where(F.col("count") > 25)
     )
