@@ -23,9 +23,19 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach; a local one only where none is named."""
+    """The folder that driver and executors share, named by ``spark.checkpoint.dir``.
+
+    A local session is one machine and gets a local folder where none is named; a
+    cluster must name one, since a folder of one machine would lose the other's files.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return named or tempfile.mkdtemp(prefix="termtide-")
+    if named:
+        return named
+    master = spark.conf.get("spark.master", "")
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="termtide-"))
+    return spark.conf.get("spark.checkpoint.dir")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
