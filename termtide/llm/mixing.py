@@ -116,19 +116,25 @@ def mixed(docs: DataFrame) -> DataFrame:
     words are.  Documents without words are no part of any budget and stay once.  Copies of
     one row share its doc_id.
     """
+    ident = F.coalesce(F.col("doc_id"), F.lit(-(2**63)))  # no null, so that one shuffle serves window and join
+    by_id = Window.partitionBy("_id")
     plan = mix_plan(docs).select(
-        F.col("doc_id").alias("_id"),
-        "key",
+        ident.alias("_id"),
+        "source",
+        "size",
         F.when(F.col("size") == 0, 1)
         .otherwise(F.floor(F.col("taken") / F.col("size") + 0.5))
         .cast("int")
         .alias("_copies"),
-        F.row_number().over(Window.partitionBy("doc_id").orderBy("source", "key", "size", "taken")).alias("_nth"),
-    ).drop("key")
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("source", n_words(F.col("text"))))
-    numbered = docs.withColumn("_nth", nth)
+    )
+    plan = plan.select(
+        "_id", "_copies", F.row_number().over(by_id.orderBy("source", "size", "_copies")).alias("_nth")
+    )
+    numbered = docs.withColumn("_id", ident).withColumn(
+        "_nth", F.row_number().over(by_id.orderBy("source", n_words(F.col("text"))))
+    )
     return (
-        numbered.join(plan, F.col("doc_id").eqNullSafe(F.col("_id")) & (numbered["_nth"] == plan["_nth"]))
+        numbered.join(plan, ["_id", "_nth"])
         .select(*docs.columns, F.explode(F.array_repeat(F.lit(1), F.col("_copies"))).alias("_copy"))
         .drop("_copy")
     )

@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from termtide.llm import mixing
+from termtide.llm import mixing, neighbours
 from termtide.llm.common import table
 from termtide.llm.fingerprints import fingerprint_neighbours
 from termtide.llm.mixing import mix_plan
+from termtide.llm.neighbours import nearest
 from termtide.llm.sharding import shard
 
 
@@ -22,6 +23,10 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents"))
 
 
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_neighbours(table(spark, sf_dir, "documents"))
 
@@ -29,7 +34,8 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mixing": op4_mixing,
     "op7_sharding": op7_sharding,
+    "op8_nearest": op8_nearest,
     "op10_fingerprints": op10_fingerprints,
 }
 
-ORACLES: dict[str, str] = {"op4_mixing": mixing.ORACLE}
+ORACLES: dict[str, str] = {"op4_mixing": mixing.ORACLE, "op8_nearest": neighbours.ORACLE}
