@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from termtide.llm import mixing, neighbours
@@ -11,7 +12,14 @@ from termtide.llm.common import table
 from termtide.llm.fingerprints import fingerprint_neighbours
 from termtide.llm.mixing import mix_plan
 from termtide.llm.neighbours import nearest
+from termtide.llm.packing import pack_documents
 from termtide.llm.sharding import shard
+from termtide.llm.token_files import read_token_files, write_token_files
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer)
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,14 +35,21 @@ def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return read_token_files(write_token_files(table(spark, sf_dir, "documents"), tokenizer))
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_neighbours(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_packing": op2_packing,
     "op4_mixing": op4_mixing,
     "op7_sharding": op7_sharding,
     "op8_nearest": op8_nearest,
+    "op9_token_files": op9_token_files,
     "op10_fingerprints": op10_fingerprints,
 }
 
