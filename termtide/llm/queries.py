@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from termtide.llm import mixing, neighbours
+from termtide.llm import mixing, neighbours, private
 from termtide.llm.common import table
 from termtide.llm.fingerprints import fingerprint_neighbours
+from termtide.llm.language import held_out, identify, learn
 from termtide.llm.mixing import mix_plan
 from termtide.llm.neighbours import nearest
 from termtide.llm.packing import pack_documents
@@ -27,6 +29,17 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = identify(docs, learn(docs), ["doc_id"])
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op6_private(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return private.find_private(docs, private.learn(docs))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents"))
 
@@ -47,6 +60,8 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op4_mixing": op4_mixing,
+    "op5_language": op5_language,
+    "op6_private": op6_private,
     "op7_sharding": op7_sharding,
     "op8_nearest": op8_nearest,
     "op9_token_files": op9_token_files,
