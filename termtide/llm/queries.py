@@ -13,6 +13,7 @@ from termtide.llm.common import table
 from termtide.llm.fingerprints import fingerprint_neighbours
 from termtide.llm.language import held_out, identify, learn
 from termtide.llm.mixing import mix_plan
+from termtide.llm.near_copies import near_copies
 from termtide.llm.neighbours import nearest
 from termtide.llm.packing import pack_documents
 from termtide.llm.sharding import shard
@@ -24,6 +25,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer)
 
 
+def op3_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mix_plan(table(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", "taken")
@@ -59,6 +64,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
+    "op3_near_copies": op3_near_copies,
     "op4_mixing": op4_mixing,
     "op5_language": op5_language,
     "op6_private": op6_private,
