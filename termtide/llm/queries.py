@@ -17,9 +17,14 @@ from termtide.llm.near_copies import near_copies
 from termtide.llm.neighbours import nearest
 from termtide.llm.packing import pack_documents
 from termtide.llm.sharding import shard
+from termtide.llm.suffix_index import remove_repeats
 from termtide.llm.token_files import read_token_files, write_token_files
 
 
+def op1_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer)
@@ -63,6 +68,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_repeats": op1_suffix_repeats,
     "op2_packing": op2_packing,
     "op3_near_copies": op3_near_copies,
     "op4_mixing": op4_mixing,
