@@ -60,7 +60,7 @@ def source_targets(sizes: DataFrame) -> DataFrame:
         .withColumn("full", F.coalesce(F.sum("most").over(before), F.lit(0.0)))
         .withColumn("level", (F.col("total") - F.col("full")) / F.sum("weight").over(after))
         .withColumn(
-            "level", F.min(F.when(F.col("level") <= F.col("need"), F.col("level"))).over(everything)
+            "level", F.max(F.when(F.col("level") <= F.col("need"), F.col("level"))).over(everything)
         )
         .withColumn("target", F.least(F.col("most"), F.col("weight") * F.col("level")))
         .select("source", "source_size", F.coalesce("target", "most").alias("target"))
@@ -130,14 +130,11 @@ def mixed(docs: DataFrame) -> DataFrame:
     plan = plan.select(
         "_id", "_copies", F.row_number().over(by_id.orderBy("source", "size", "_copies")).alias("_nth")
     )
-    numbered = docs.withColumn("_id", ident).withColumn(
-        "_nth", F.row_number().over(by_id.orderBy("source", n_words(F.col("text"))))
-    )
-    return (
-        numbered.join(plan, ["_id", "_nth"])
-        .select(*docs.columns, F.explode(F.array_repeat(F.lit(1), F.col("_copies"))).alias("_copy"))
-        .drop("_copy")
+    numbered = docs.select(ident.alias("_id"), F.struct(*docs.columns).alias("_row")).withColumn(
+        "_nth", F.row_number().over(by_id.orderBy("_row.source", n_words(F.col("_row.text"))))
     )
+    copies = F.explode(F.array_repeat(F.lit(1), F.col("_copies")))
+    return numbered.join(plan, ["_id", "_nth"]).select("_row", copies).select("_row.*")
 
 
 ORACLE = rf"""
@@ -162,7 +159,7 @@ levels AS (
   FROM weighed),
 targets AS (
   SELECT source, source_size,
-         coalesce(least(most, weight * (min(CASE WHEN level <= need THEN level END) OVER ())), most) AS target
+         coalesce(least(most, weight * (max(CASE WHEN level <= need THEN level END) OVER ())), most) AS target
   FROM levels),
 ordered AS (
   SELECT s.*, t.source_size, t.target,
