@@ -15,7 +15,11 @@ from termtide.llm.common import stored, table
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 STAGES: list[tuple[str, Stage]] = [
+    ("language identification", stages.keep_languages),
+    ("near copies", stages.drop_near_copies),
+    ("personal data", stages.hide_private),
     ("mix sources to target weights", stages.mix_sources),
+    ("best-fit packing", stages.pack),
 ]
 
 # Mixing, alignment and packing have no SQL form; tests hold the stages against brute force.

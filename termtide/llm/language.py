@@ -189,18 +189,19 @@ def learn(docs: DataFrame) -> LanguageModel:
 
 
 def identify(docs: DataFrame, model: LanguageModel, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of every document with ``lang_pred`` and ``score``."""
+    """(row, lang_pred, score) of every document; row holds its columns ``keep``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded as the sample is
-    schema = docs.select(*keep).schema.add("lang_pred", "string").add("score", "double")
-    keeps_text = "text" in keep
+    rows = docs.select(F.struct(*keep).alias("row"), *([] if "text" in keep else ["text"]))
+    schema = rows.select("row").schema.add("lang_pred", "string").add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            names, scores = [], []
-            texts = batch.column("_text").to_pylist()
+            row = batch.column("row")
+            texts = row.field("text") if "text" in keep else batch.column("text")
+            names, scores = [], [np.zeros(0)]
             held, size = [], 0
-            for i, text in enumerate(texts):
+            for i, text in enumerate(texts.to_pylist()):
                 held.append(text)
                 size += len(text or "")
                 if size > CHUNK_CHARS or i + 1 == len(texts):
@@ -208,12 +209,9 @@ def identify(docs: DataFrame, model: LanguageModel, keep: list[str]) -> DataFram
                     names += name
                     scores.append(score)
                     held, size = [], 0
-            columns = [batch.column("_text" if c == "text" and keeps_text else c) for c in keep]
-            scores = np.concatenate(scores) if scores else np.zeros(0)
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                names=[*keep, "lang_pred", "score"],
+                [row, pa.array(names, pa.string()), pa.array(np.concatenate(scores), pa.float64())],
+                names=["row", "lang_pred", "score"],
             )
 
-    rest = [c for c in keep if c != "text"]
-    return docs.select(F.col("text").alias("_text"), *rest).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)

@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from termtide.llm.common import U64, bytes_of, mix, runs, shingles, stored
@@ -34,6 +34,7 @@ KEYS = 10
 LEAST = 2
 SIMILARITY = 0.8
 BLOCK = 1024
+_NULL_ID = -(2**63)
 _MOST = U64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -242,7 +243,10 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
-    """(doc_id, class_id, digest), a row for each document; digest tells equal texts."""
+    """(doc_id, class_id, digest, kept), a row for each document.
+
+    Digest tells equal texts; kept are the rows of the first document of each class.
+    """
     spark = docs.sparkSession
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -252,7 +256,7 @@ def near_copies(docs: DataFrame) -> DataFrame:
     sketches = stored(
         rows.mapInArrow(_sketcher, "doc_id long, digest binary, keys array<long>"), "sketches"
     )
-    ident = F.coalesce(F.col("doc_id"), F.lit(-(2**63)))
+    ident = F.coalesce(F.col("doc_id"), F.lit(_NULL_ID))
     nodes = stored(
         sketches.groupBy("digest")
         .agg(F.min(ident).alias("least_id"), F.first("keys").alias("keys"))
@@ -293,8 +297,33 @@ def near_copies(docs: DataFrame) -> DataFrame:
     named = nodes.join(roots, "node", "left").select(
         "digest", "least_id", F.coalesce("root", "node").alias("root")
     )
-    classes = named.groupBy("root").agg(F.min("least_id").alias("class_id"))
-    found = named.join(classes, "root").select("digest", "class_id")
+    first = F.min(F.struct("least_id", "digest")).alias("first")
+    found = named.join(named.groupBy("root").agg(first), "root").select(
+        "digest", "first.least_id", (F.col("digest") == F.col("first.digest")).alias("chosen")
+    )
+    class_id = F.col("least_id")
     return sketches.select("doc_id", "digest").join(found, "digest").select(
-        "doc_id", F.when(F.col("class_id") != -(2**63), F.col("class_id")).alias("class_id"), "digest"
+        "doc_id",
+        F.when(class_id != _NULL_ID, class_id).alias("class_id"),
+        "digest",
+        (F.col("chosen") & (ident == class_id)).alias("kept"),
+    )
+
+
+def first_of_classes(docs: DataFrame) -> DataFrame:
+    """The documents with one, the first, of each class of near copies."""
+    chosen = near_copies(docs).where("kept").select(
+        F.coalesce("doc_id", F.lit(_NULL_ID)).alias("_id"), F.col("digest").alias("_digest")
+    )
+    rows = docs.select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("_id"),
+        F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))).alias("_digest"),
+        F.struct(*docs.columns).alias("_row"),
+    )
+    once = Window.partitionBy("_id", "_digest").orderBy(F.xxhash64("_row"))
+    return (
+        rows.join(chosen.distinct(), ["_id", "_digest"])
+        .withColumn("_nth", F.row_number().over(once))
+        .where("_nth = 1")
+        .select("_row.*")
     )

@@ -42,7 +42,8 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = identify(docs, learn(docs), ["doc_id"])
-    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+    doc_id = F.col("row.doc_id")
+    return found.select(doc_id, held_out(doc_id).alias("held_out"), "lang_pred", "score")
 
 
 def op6_private(spark: SparkSession, sf_dir: str) -> DataFrame:
