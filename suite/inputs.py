@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from termtide.functions.tokens import tokenize
 from termtide.session import configure
-from termtide.sources.posts import spread
 
 TOPICS = [
     {"topic": "alpha", "words": ["rewh", "thatin"]},
@@ -39,6 +38,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The test tables are one small file each: give every core a part of it."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    few = df.rdd.getNumPartitions() < cores and len(df.inputFiles()) == 1
+    return df.repartition(cores) if few else df
+
+
 def _day(number) -> Column:
     return F.date_add(F.lit("2024-01-01").cast("date"), (F.col(number) % 60).cast("int"))
 

@@ -241,8 +241,8 @@ SELECT synonym, arg_max(head, p_partkey) AS head FROM rows_ WHERE synonym <> ''
   SELECT item_id, string_split(regexp_replace(text, '[\s.,]+', ' ', 'g'), ' ') AS ws FROM benchmark),
 mentions AS (
   SELECT item_id, lower(unnest(ws)) AS word, generate_subscripts(ws, 1) - 1 AS pos FROM words)
-SELECT 'item ' || arg_min(item_id, item_id * 1099511627776 + pos) AS topic, word,
-       min(item_id * 1099511627776 + pos) AS idx
+SELECT 'item ' || arg_min(item_id, (item_id, pos)) AS topic, word,
+       CAST(min(CAST(item_id AS HUGEINT) * 100000000000000000000 + pos) AS VARCHAR) AS idx
 FROM mentions GROUP BY word""",
     # --- adapters
     "norm_twitter_text": f"WITH {TWEETS} SELECT id, "

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from suite import inputs as src
-from suite.inputs import TOPICS
+from suite.inputs import TOPICS, spread
 from termtide.functions.text import (
     clean_text,
     expand_contractions,
@@ -38,7 +38,7 @@ from termtide.plans.preprocess import (
 from termtide.session import scratch_path
 from termtide.sinks import preprocessed_output, record_counts, write_csv, write_json
 from termtide.sources.lists import parse_mapping, parse_topics
-from termtide.sources.posts import read_raw, spread
+from termtide.sources.posts import read_raw
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -152,7 +152,8 @@ def topic_table(spark, sf):
     documents = src.table(spark, sf, "benchmark").select(
         "item_id", F.to_json(F.array(topic)).alias("value")
     )
-    return parse_topics(documents, order="item_id")
+    topics = parse_topics(documents, order="item_id")
+    return topics.select("topic", "word", F.col("idx").cast("string").alias("idx"))
 
 
 # --- adapters ---------------------------------------------------------------

@@ -10,9 +10,14 @@ from pyspark.sql import functions as F
 from termtide.functions.contractions import CONTRACTIONS
 from termtide.functions.lookup import literal_map
 
+# What Unicode counts as white space, for the inside of a class; ``\s`` means ASCII only.
+SPACE = (
+    r"\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+)
+
 # Everything matched by the first group survives the removal of punctuation.
 # No look-around, so the same patterns run on any RE2-style engine.
-PUNCTUATION_OUTSIDE_URLS = r"(https?://\S*|[@#])|[\p{P}\p{S}]"
+PUNCTUATION_OUTSIDE_URLS = rf"(https?://[^{SPACE}]*|[@#])|[\p{{P}}\p{{S}}]"
 PUNCTUATION_EVERYWHERE = r"([@#'])|[\p{P}\p{S}]"
 
 PERCENT_RUN = r"(?:%[0-9A-Fa-f]{2})+"

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from termtide.functions.lookup import member_of
 from termtide.functions.text import (
+    SPACE,
     _col,
     clean_text,
     expand_contractions,
@@ -18,37 +19,52 @@ from termtide.functions.text import (
 _WORD = r"[\p{L}\p{M}\p{N}_]"
 _LETTER = r"[\p{L}\p{M}]"
 
-# What counts as one token of a post, most specific form first.  No alternative
-# looks ahead, looks behind or crosses white space, so tokenising the tokens
-# joined by spaces gives the same tokens again.
-POST_TOKEN = "|".join(
-    [
-        r"https?://\S*[\p{L}\p{N}/]",                            # URL
-        r"[\p{L}\p{N}_.+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+",  # mail address
-        rf"@{_WORD}+",                                           # handle
-        rf"#+{_WORD}(?:[{_WORD[1:-1]}'-]*{_WORD})?",             # hashtag
-        rf"{_LETTER}+(?:['_-]+{_LETTER}+)+",                     # word with inner ' - _
-        r"[+-]?\p{N}+(?:[,/.:-]\p{N}+)+",                        # number, date, time
-        rf"{_WORD}+",                                            # plain word
-        r"\.{2,}",                                               # ellipsis
-        r"\S",                                                   # any other character
-    ]
-)
+
+def _post_token(more: str) -> str:
+    """What counts as one token of a post, most specific form first.
+
+    No alternative looks ahead, looks behind or crosses white space, so tokenising the
+    tokens joined by spaces gives the same tokens again.  ``more`` repeats a group.
+    """
+    return "|".join(
+        [
+            rf"https?://[^{SPACE}]*[\p{{L}}\p{{N}}/]",  # URL
+            rf"[\p{{L}}\p{{N}}_.+-]+@[\p{{L}}\p{{N}}-]+(?:\.[\p{{L}}\p{{N}}-]+){more}",  # mail address
+            rf"@{_WORD}+",  # handle
+            rf"#+{_WORD}(?:[{_WORD[1:-1]}'-]*{_WORD})?",  # hashtag
+            rf"{_LETTER}+(?:['_-]+{_LETTER}+){more}",  # word with inner ' - _
+            rf"[+-]?\p{{N}}+(?:[,/.:-]\p{{N}}+){more}",  # number, date, time
+            rf"{_WORD}+",  # plain word
+            r"\.{2,}",  # ellipsis
+            rf"[^{SPACE}]",  # any other character
+        ]
+    )
+
+
+# Java takes a repeated group for a recursion unless it is possessive, and a token of some thousand
+# parts would exhaust its stack.  Nothing follows these groups, so the matches are the same.
+POST_TOKEN, _POST_TOKEN_JAVA = _post_token("+"), _post_token("++")
 
 # A text of nothing but letters, digits and white space needs no pattern: its
 # tokens are what white space separates.
-_NOT_PLAIN = r"[^\p{L}\p{M}\p{N}\s]"
+_NOT_PLAIN = rf"[^\p{{L}}\p{{M}}\p{{N}}{SPACE}]"
 
 # Spanish: words keep their inner dots and commas, brackets and marks stand alone.
-_ES_MARK = r"\s!\"$%&'(),.:;?\[\]{|}~¡¿«»‘’“”°…"
-SPANISH_TOKEN = "|".join(
-    [
-        r"https?://\S*[\p{L}\p{N}/]",
-        r"\.{2,}|,{2,}|-{2,}",
-        rf"[^{_ES_MARK}]+(?:[.,:][^{_ES_MARK}]+)*",
-        r"\S",
-    ]
-)
+_ES_MARK = rf"{SPACE}!\"$%&'(),.:;?\[\]{{|}}~¡¿«»‘’“”°…"
+
+
+def _spanish_token(more: str) -> str:
+    return "|".join(
+        [
+            rf"https?://[^{SPACE}]*[\p{{L}}\p{{N}}/]",
+            r"\.{2,}|,{2,}|-{2,}",
+            rf"[^{_ES_MARK}]+(?:[.,:][^{_ES_MARK}]+){more}",
+            rf"[^{SPACE}]",
+        ]
+    )
+
+
+SPANISH_TOKEN, _SPANISH_TOKEN_JAVA = _spanish_token("*"), _spanish_token("*+")
 
 # Code points that Unicode lists as emoji, and the marks that join
 # or colour them.
@@ -72,17 +88,24 @@ _EMOJI_BASE = (
 )
 _EMOJI_MARK = r"\x{FE0F}\x{20E3}\x{1F3FB}-\x{1F3FF}\x{E0020}-\x{E007F}"
 
-EMOJI = (
-    r"(?:[0-9#*]\x{FE0F}?\x{20E3}"
-    r"|[\x{1F1E6}-\x{1F1FF}]{2}"
-    rf"|[{_EMOJI_BASE}][{_EMOJI_MARK}]*(?:\x{{200D}}[{_EMOJI_BASE}][{_EMOJI_MARK}]*)*)"
-)
-EMOJI_OR_WORD = rf"{EMOJI}|[^\s{_EMOJI_BASE}]+"
+
+
+def _emoji(more: str) -> str:
+    return (
+        r"(?:[0-9#*]\x{FE0F}?\x{20E3}"
+        r"|[\x{1F1E6}-\x{1F1FF}]{2}"
+        rf"|[{_EMOJI_BASE}][{_EMOJI_MARK}]*(?:\x{{200D}}[{_EMOJI_BASE}][{_EMOJI_MARK}]*){more})"
+    )
+
+
+EMOJI, _EMOJI_JAVA = _emoji("*"), _emoji("*+")
+EMOJI_OR_WORD = rf"{EMOJI}|[^{SPACE}{_EMOJI_BASE}]+"
 
 # The same for Java, which goes through a class from left to right: the ranges below
 # the first emojis settle most characters at once.
 _EMOJI_OR_WORD_FAST = (
-    rf"{EMOJI}|[\x21-\x{{A8}}\x{{AA}}-\x{{AD}}\x{{AF}}-\x{{203B}}[^\s{_EMOJI_BASE}]]+"
+    rf"{_EMOJI_JAVA}|[\x21-\x{{84}}\x{{86}}-\x{{9F}}\x{{A1}}-\x{{A8}}\x{{AA}}-\x{{AD}}\x{{AF}}-\x{{167F}}"
+    rf"[^{SPACE}{_EMOJI_BASE}]]+"
 )
 
 
@@ -94,12 +117,12 @@ def _tokenize_post(c: Column) -> Column:
     text = F.lower(c)
     return F.when(
         F.regexp_like(text, F.lit(_NOT_PLAIN)),
-        F.regexp_extract_all(text, F.lit(POST_TOKEN), F.lit(0)),
-    ).otherwise(F.array_remove(F.split(text, r"\s+"), ""))
+        F.regexp_extract_all(text, F.lit(_POST_TOKEN_JAVA), F.lit(0)),
+    ).otherwise(F.array_remove(F.split(text, f"[{SPACE}]+"), ""))
 
 
 def _tokenize_spanish(c: Column) -> Column:
-    return F.regexp_extract_all(c, F.lit(SPANISH_TOKEN), F.lit(0))
+    return F.regexp_extract_all(c, F.lit(_SPANISH_TOKEN_JAVA), F.lit(0))
 
 
 def tokenize(c: Column | str, lang: Column | str = "en") -> Column:
@@ -144,7 +167,7 @@ def filter_tokens(
         if emojis:
             # As many bytes as characters: plain ASCII, which is never an emoji.
             plain = F.octet_length(token) == F.length(token)
-            kept = kept & (plain | (F.regexp_replace(token, EMOJI, "") != ""))
+            kept = kept & (plain | (F.regexp_replace(token, _EMOJI_JAVA, "") != ""))
         if hashtags:
             kept = kept & ~token.startswith("#")
         return kept

@@ -155,7 +155,10 @@ def normalize_gallup_survey_2016(df: DataFrame) -> DataFrame:
 
 
 def normalize_event_registry(df: DataFrame) -> DataFrame:
-    return df.withColumns({"id_str": F.col("uri"), "full_text": F.col("body")})
+    columns = {"id_str": F.col("uri"), "full_text": F.col("body")}
+    if "date" in df.columns:
+        columns["date"] = F.col("date").try_cast("date")
+    return df.withColumns(columns)
 
 
 def normalize_reddit_comments(df: DataFrame) -> DataFrame:

@@ -43,17 +43,28 @@ def unpivot_series(
 def fill_missing_days(
     series: DataFrame, *, topic: str = "topic", value: str = "count", date: str = "Date"
 ) -> DataFrame:
-    """Every topic gets every day from the first to the last of the table, zero where absent."""
-    span = series.select(F.struct(F.min(date).alias("first"), F.max(date).alias("last"))).scalar()
+    """Every topic gets every day from the first to the last of the table, zero where absent.
+
+    A NULL topic is a topic.  Cells without a day stay as they are.
+    """
+    cells = series.groupBy(topic, date).agg(F.sum(value).alias(value))
+    span = cells.select(F.struct(F.min(date).alias("first"), F.max(date).alias("last"))).scalar()
     days = F.sequence(F.col("_span.first"), F.col("_span.last"), F.expr("interval 1 day"))
     spine = (
-        series.select(topic)
+        cells.where(F.col(date).isNotNull())
+        .select(topic)
         .distinct()
         .withColumn("_span", span)
-        .select(topic, F.explode(days).alias(date))
+        .select(topic, F.explode(days).alias(date), F.lit(0).alias("_zero"))
+    )
+    # The spine is summed with the cells, which takes NULL for a key like any other.
+    zeros = spine.select(topic, date, F.col("_zero").cast(cells.schema[value].dataType).alias(value))
+    return (
+        cells.unionByName(zeros)
+        .groupBy(topic, date)
+        .agg(F.coalesce(F.sum(value), F.lit(0)).alias(value))
+        .select(topic, date, value)
     )
-    cells = series.groupBy(topic, date).agg(F.sum(value).alias(value))
-    return spine.join(cells, [topic, date], "left").na.fill(0, [value]).select(topic, date, value)
 
 
 def fill_missing_days_wide(wide: DataFrame, *, date: str = "Date") -> DataFrame:
@@ -112,11 +123,14 @@ def roll_up(
     date: str = "Date",
     **bounds,
 ) -> DataFrame:
-    """Sums per category; topics without one are left out."""
+    """Sums per category; topics without one, and cells without a topic, come under NULL.
+
+    A topic that is listed more than once counts under each of its categories.
+    """
     cells = series.groupBy(date, topic).agg(F.sum(value).alias(value))
-    side = mapping.select(topic, category)
+    side = mapping.select(topic, category).distinct()
     return (
-        lookup_join(cells, side, [topic], "inner", **bounds)
+        lookup_join(cells, side, [topic], "left", **bounds)
         .groupBy(date, category)
         .agg(F.sum(value).alias(value))
     )
@@ -164,10 +178,20 @@ def diff_series(
     value: str = "count",
     date: str = "Date",
 ) -> DataFrame:
-    """Cells in which two versions of a series differ, a missing cell included."""
+    """Cells in which two versions of a series differ, a missing cell included.
+
+    Each version is summed by cell first.  NULL is a topic and a day like any other.
+    """
     keys = [date, topic]
-    a = left.select(*keys, F.col(value).alias("left_count"))
-    b = right.select(*keys, F.col(value).alias("right_count"))
-    return a.join(b, keys, "full_outer").where(
-        ~F.col("left_count").eqNullSafe(F.col("right_count"))
+    sides = [
+        table.groupBy(*keys).agg(F.sum(value).alias(name), F.lit(1).alias(f"_{name}"))
+        for table, name in ((left, "left_count"), (right, "right_count"))
+    ]
+    both = sides[0].unionByName(sides[1], allowMissingColumns=True)
+    names = ("left_count", "right_count")
+    cells = both.groupBy(*keys).agg(
+        *(F.max(n).alias(n) for n in names), *(F.max(f"_{n}").alias(f"_{n}") for n in names)
     )
+    same = F.col("left_count").eqNullSafe(F.col("right_count"))
+    there = F.col("_left_count").eqNullSafe(F.col("_right_count"))
+    return cells.where(~(same & there)).select(*keys, *names)

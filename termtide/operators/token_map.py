@@ -43,6 +43,12 @@ def with_mapped_tokens(
     """
     if not isinstance(mapping, DataFrame):
         return df.withColumn(tokens, map_tokens(tokens, mapping, exclude))
+    # One head for each token, whatever the form: the least of those that are listed.
+    mapping = (
+        mapping.where(F.col(key).isNotNull() & F.col(value).isNotNull())
+        .groupBy(F.col(key).alias(key))
+        .agg(F.min(value).alias(value))
+    )
     if exclude:
         mapping = mapping.where(~F.col(key).isin(list(exclude)))
     entries = bounded_dict(mapping, key, value, max_literal)

@@ -40,7 +40,7 @@ from termtide.sinks.writers import (
     write_json,
 )
 from termtide.sources.lists import read_source_metadata, read_topics
-from termtide.sources.posts import read_raw, split_paths
+from termtide.sources.posts import DECLARED_SCHEMAS, read_raw, source_format, split_paths
 
 
 @dataclass(frozen=True)
@@ -94,10 +94,13 @@ def select_posts(raw: DataFrame, selection: PostSelection, metadata: DataFrame |
 
 
 def read_posts(spark: SparkSession, selection: PostSelection) -> DataFrame:
+    # A collection that is known is read as declared, without a pass to infer its schema.
+    declared = selection.schema or DECLARED_SCHEMAS.get(selection.dataset)
+    as_json = source_format(split_paths(selection.input)) == "json"
     raw = read_raw(
         spark,
         selection.input,
-        schema=selection.schema,
+        schema=declared if as_json else selection.schema,
         csv_options=dict(selection.csv_options),
     )
     metadata = selection.news_metadata and read_source_metadata(spark, selection.news_metadata)

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-import warnings
 from collections.abc import Iterable, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from termtide.session import ensure_checkpoint_dir
-
-# A result up to this size is written as one file when one file is asked for.
-MAX_SINGLE_FILE_ROWS = 5_000_000
+# Fields as they are: quotes are doubled, white space at the ends stays.
+_CSV = {
+    "header": "true",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def output_name(directory: str, parameters: Iterable[Any], input_path: str | None = None) -> str:
@@ -42,22 +44,15 @@ def write_csv(
 ) -> str:
     """Write CSV with a header; returns the path, which ends in ``.csv``.
 
-    Files are written in parallel, in the given order.  A single file is written
-    when the result is proven small, else the parts stay parts.
+    Files are written in parallel, in the given order.  For a single file the sorted
+    parts are passed on, one after the other, by one task that holds a row at a time.
     """
     path = with_extension(path, ".csv")
-    if single_file:
-        ensure_checkpoint_dir(df.sparkSession)
-        df = df.checkpoint()
-        single_file = df.limit(MAX_SINGLE_FILE_ROWS + 1).count() <= MAX_SINGLE_FILE_ROWS
-        if not single_file:
-            warnings.warn(f"{path}: too large for one file, writing parts", stacklevel=2)
-    if single_file:
-        df = df.repartition(1)
-        df = df.sortWithinPartitions(*order) if order else df
-    elif order:
+    if order:
         df = df.orderBy(*order)
-    df.write.mode(mode).option("header", True).csv(path)
+    if single_file:
+        df = df.coalesce(1)
+    df.write.mode(mode).options(**_CSV).csv(path)
     return path
 
 

@@ -16,7 +16,6 @@ from termtide.sources.posts import (
     read_raw,
     source_format,
     split_paths,
-    spread,
 )
 
 __all__ = [
@@ -34,6 +33,5 @@ __all__ = [
     "read_topics",
     "source_format",
     "split_paths",
-    "spread",
     "topics_from_json",
 ]

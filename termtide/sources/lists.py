@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 from pyspark.ml.feature import StopWordsRemover
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from termtide.functions.lookup import MAX_LITERAL_ENTRIES
@@ -67,10 +67,10 @@ def read_stopwords(spark: SparkSession, path: str) -> DataFrame:
 def default_stopwords(lang: str = "en") -> list[str]:
     """Spark's own list for the language, and the extras.
 
-    Spark has no Arabic list, so Arabic needs a file.
+    Spark has no Arabic list; Arabic has the extras alone, and more from a file.
     """
     if lang == "ar":
-        raise ValueError("there is no built-in Arabic stop-word list; read one from a file")
+        return list(EXTRA_STOPWORDS)
     language = _STOPWORD_LANGUAGES.get(lang, "english")
     return [*StopWordsRemover.loadDefaultStopWords(language), *EXTRA_STOPWORDS]
 
@@ -79,16 +79,21 @@ def default_stopwords(lang: str = "en") -> list[str]:
 
 
 def parse_topics(documents: DataFrame, json: str = "value", order: str | None = None) -> DataFrame:
-    """``(topic, word, idx)`` from JSON ``[{"topic": ..., "words": [...]}, ...]``.
+    """``(topic, word, idx)`` from JSON ``[{"topic": ..., "words": [...]}, ...]`` or one such object.
 
-    Words are lower-cased.  ``idx`` puts all words of all topics in listing order.
-    A word listed more than once stays with its first mention, because a word that
-    has been matched is out of the running for everything after it.
+    Words are lower-cased.  ``idx`` puts all words of all topics in listing order: by
+    the number of the document (``order``, not below zero), of the topic and of the word, ten digits each
+    for the last two.  A word listed more than once stays with its first mention,
+    because a word that has been matched is out of the running for everything after it.
+    Malformed JSON raises.
     """
+    parsed = F.from_json(F.col(json), TOPIC_JSON, {"mode": "FAILFAST"})
     topics = documents.select(
-        (F.col(order) if order else F.lit(0)).cast("long").alias("_doc"),
-        F.posexplode(F.from_json(F.col(json), TOPIC_JSON)).alias("_topic_pos", "_topic"),
+        (F.col(order) if order else F.lit(0)).cast("decimal(18,0)").alias("_doc"),
+        F.posexplode(parsed).alias("_topic_pos", "_topic"),
     )
+    ten = F.lit(10**10).cast("decimal(11,0)")
+    place = (F.col("_doc") * ten + F.col("_topic_pos")).cast("decimal(28,0)") * ten
     words = topics.select(
         "_doc",
         "_topic_pos",
@@ -97,21 +102,23 @@ def parse_topics(documents: DataFrame, json: str = "value", order: str | None =
     ).select(
         "topic",
         F.lower("_word").alias("word"),
-        F.shiftleft(F.col("_doc"), 40)
-        .bitwiseOR(F.shiftleft(F.col("_topic_pos").cast("long"), 20))
-        .bitwiseOR(F.col("_word_pos").cast("long"))
-        .alias("idx"),
+        (place.cast("decimal(38,0)") + F.col("_word_pos")).cast("decimal(38,0)").alias("idx"),
     )
     return (
         words.where(F.col("word").isNotNull())
         .groupBy("word")
-        .agg(F.min_by("topic", "idx").alias("topic"), F.min("idx").alias("idx"))
-        .select("topic", "word", "idx")
+        .agg(F.min(F.struct("idx", "topic")).alias("_first"))
+        .select("_first.topic", "word", "_first.idx")
     )
 
 
 def read_topics(spark: SparkSession, path: str) -> DataFrame:
-    return parse_topics(spark.read.text(path, wholetext=True))
+    """Topics of all files of a path; files are in the order of their paths."""
+    files = spark.read.text(path, wholetext=True).withColumn("_path", F.col("_metadata.file_path"))
+    numbers = files.select("_path").distinct().select(
+        "_path", (F.row_number().over(Window.orderBy("_path")) - 1).alias("_number")
+    )
+    return parse_topics(files.join(numbers, "_path"), order="_number")
 
 
 def topics_from_json(spark: SparkSession, json: str) -> DataFrame:

@@ -42,19 +42,15 @@ def split_paths(paths: str | Iterable[str]) -> list[str]:
 def existing_paths(spark: SparkSession, paths: Iterable[str]) -> list[str]:
     """Keep the paths (or globs) that exist, warn about the rest.
 
-    Asks the file system for names only; no Spark job runs.
+    Asks the file system for names only; no Spark job runs.  Only what the file system says is
+    absent is left out: a path that cannot be asked for raises.
     """
     jvm = spark.sparkContext._jvm
     hadoop_conf = spark._jsparkSession.sessionState().newHadoopConf()
     found = []
     for path in paths:
         hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-        try:
-            matches = hadoop_path.getFileSystem(hadoop_conf).globStatus(hadoop_path)
-        except Exception as error:  # an unreachable or unknown file system
-            warnings.warn(f"skipping {path}: {error}", stacklevel=2)
-            continue
-        if matches:
+        if hadoop_path.getFileSystem(hadoop_conf).globStatus(hadoop_path):
             found.append(path)
         else:
             warnings.warn(f"skipping {path}: nothing there", stacklevel=2)
@@ -104,18 +100,6 @@ def read_raw(
     return reader.option("multiLine", False).json(paths)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core work when the input has fewer splits than there are cores.
-
-    One small file with one row group is a single task, however heavy the text
-    work behind it.  A large input has more splits than cores and is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
-
-
 def file_name(path):
     """Last part of a path column."""
     return F.element_at(F.split(path, "/"), -1)
