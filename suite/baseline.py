@@ -17,6 +17,11 @@ from termtide.functions.text import PUNCTUATION_OUTSIDE_URLS
 from termtide.functions.tokens import POST_TOKEN
 
 
+def _for_python(pattern: str) -> str:
+    """Code points written as Python writes them."""
+    return regex.sub(r"\\x\{([0-9A-F]+)\}", lambda m: f"\\U{int(m[1], 16):08x}", pattern)
+
+
 def emitted(tokens: list[str], topics: list[dict]) -> Counter:
     """How often each ``(topic, word)`` co-occurs in one post.
 
@@ -31,8 +36,8 @@ def emitted(tokens: list[str], topics: list[dict]) -> Counter:
 
 
 def cooccur_daily_in_python(spark: SparkSession, sf_dir: str) -> DataFrame:
-    token = regex.compile(POST_TOKEN)
-    marks = regex.compile(PUNCTUATION_OUTSIDE_URLS)
+    token = regex.compile(_for_python(POST_TOKEN))
+    marks = regex.compile(_for_python(PUNCTUATION_OUTSIDE_URLS))
     short = regex.compile(r"\b(?:" + "|".join(CONTRACTIONS) + r")\b")
     stopwords = list(inputs.STOPWORDS)
     topics = [

@@ -320,6 +320,19 @@ SELECT id_str, text, replace(text, '''s', '') AS text_dropped FROM long""",
     "url_decode": f"WITH {POSTS} SELECT id_str, replace(full_text, '.', '++') AS text FROM posts",
     # --- tokens
     "tokens_tweet": f"SELECT page_id, {shown(post_tokens('url || chr(32) || html'))} FROM pages",
+    "tokens_long": f"""WITH t AS (SELECT doc_id, regexp_replace(text, '\\s+',
+    CASE WHEN doc_id % 2 = 0 THEN '-' ELSE ',' END, 'g') AS text FROM documents),
+k AS (SELECT doc_id, {post_tokens('text')} AS toks FROM t)
+SELECT doc_id, {shown('toks')} FROM k""",
+    "stopwords_large": f"""WITH {POSTS},
+words AS (SELECT DISTINCT unnest({post_tokens('url || chr(32) || html')}) AS word FROM pages),
+listed AS (SELECT id_str, {post_tokens('full_text')} AS toks FROM posts),
+rows_ AS (SELECT id_str, unnest(toks) AS token, generate_subscripts(toks, 1) AS pos FROM listed),
+kept AS (SELECT * FROM rows_
+  WHERE token NOT IN ('', '\'\'', ':') AND token NOT IN (SELECT word FROM words))
+SELECT id_str, coalesce(string_agg(token, ' ' ORDER BY pos), '') AS tokens,
+       CAST(count(token) AS INTEGER) AS n_tokens
+FROM posts LEFT JOIN kept USING (id_str) GROUP BY id_str""",
     "tokens_multilang": f"""WITH {POSTS}, t AS (
   SELECT id_str, CASE WHEN lang = 'es' THEN {spanish_tokens('full_text')}
                       ELSE {post_tokens('full_text')} END AS toks FROM posts)
@@ -378,6 +391,22 @@ FROM days CROSS JOIN topics LEFT JOIN series USING ("Date", topic)""",
 topics AS (SELECT DISTINCT topic FROM series)
 SELECT topic, "Date", coalesce("count", 0) AS "count"
 FROM days CROSS JOIN topics LEFT JOIN series USING ("Date", topic)""",
+    "series_gapfill_null": f"""WITH {ORDERS}, s AS (
+  SELECT CASE WHEN topic <> '5-LOW' THEN topic END AS topic, "Date", "count" FROM series), days AS (
+  SELECT CAST(unnest(generate_series(min("Date"), max("Date"), INTERVAL 1 DAY)) AS DATE) AS "Date"
+  FROM s),
+topics AS (SELECT DISTINCT topic FROM s)
+SELECT t.topic, d."Date", coalesce("count", 0) AS "count"
+FROM days d CROSS JOIN topics t
+LEFT JOIN s ON s."Date" = d."Date" AND s.topic IS NOT DISTINCT FROM t.topic""",
+    "series_rollup_null": f"""WITH {ORDERS}
+SELECT "Date", CASE WHEN topic IN ('1-URGENT', '2-HIGH') THEN 'soon'
+                    WHEN topic = '3-MEDIUM' THEN 'later' END AS category,
+       CAST(sum("count") AS BIGINT) AS "count"
+FROM series GROUP BY 1, 2""",
+    "series_diff_null": f"""WITH {ORDERS}
+SELECT "Date", topic, "count" AS left_count, CAST(NULL AS BIGINT) AS right_count
+FROM series WHERE topic = '1-URGENT'""",
     "series_gapfill_wide": f"""WITH {ORDERS}, days AS (
   SELECT CAST(unnest(generate_series(min("Date"), max("Date"), INTERVAL 1 DAY)) AS DATE) AS "Date"
   FROM series)

@@ -34,6 +34,7 @@ from termtide.plans.preprocess import (
     preprocess,
     preprocess_tokens,
     with_job_tokens,
+    without_listed,
 )
 from termtide.session import scratch_path
 from termtide.sinks import preprocessed_output, record_counts, write_csv, write_json
@@ -421,6 +422,15 @@ def tokens_tweet(spark, sf):
     return pages.select("page_id", *_tokens(tokenize(F.concat_ws(" ", "url", "html"))))
 
 
+@query
+def tokens_long(spark, sf):
+    """Texts without white space: their tokens are as long as they are."""
+    mark = F.when(F.col("doc_id") % 2 == 0, "-").otherwise(",")
+    text = F.regexp_replace("text", F.lit(r"\s+"), mark)
+    documents = spread(src.table(spark, sf, "documents"))
+    return documents.select("doc_id", *_tokens(tokenize(text)))
+
+
 @query
 def tokens_multilang(spark, sf):
     posts = src.posts(spark, sf)
@@ -478,6 +488,15 @@ def stopword_anti_salted(spark, sf):
     return kept.groupBy("token").agg(F.count("*").alias("n"))
 
 
+@query
+def stopwords_large(spark, sf):
+    """Tokens of the documents that are no token of any page."""
+    pages = src.table(spark, sf, "pages")
+    words = pages.select(F.explode(tokenize(F.concat_ws(" ", "url", "html"))).alias("word"))
+    kept = without_listed(_tokenized(spark, sf), words.distinct())
+    return kept.select("id_str", *_tokens(F.col("tokens")))
+
+
 def _tokenized(spark, sf):
     return src.posts(spark, sf).select("id_str", tokenize("full_text").alias("tokens"))
 
@@ -637,6 +656,33 @@ def series_gapfill(spark, sf):
     return series.fill_missing_days(src.order_series(spark, sf))
 
 
+def _without_low(df: DataFrame) -> DataFrame:
+    """The series with the lowest priority unnamed."""
+    return df.withColumn("topic", F.when(F.col("topic") != "5-LOW", F.col("topic")))
+
+
+@query
+def series_gapfill_null(spark, sf):
+    return series.fill_missing_days(_without_low(src.order_series(spark, sf)))
+
+
+@query
+def series_rollup_null(spark, sf):
+    """Priorities rolled up by urgency; some are in no category, one has no name."""
+    mapping = spark.createDataFrame(
+        [("1-URGENT", "soon"), ("2-HIGH", "soon"), ("3-MEDIUM", "later")], "topic string, category string"
+    )
+    return series.roll_up(_without_low(src.order_series(spark, sf)), mapping)
+
+
+@query
+def series_diff_null(spark, sf):
+    """The series against itself with the urgent orders left out."""
+    orders = _without_low(src.order_series(spark, sf))
+    others = orders.where(~F.col("topic").eqNullSafe("1-URGENT"))
+    return series.diff_series(orders, others)
+
+
 @query
 def series_gapfill_wide(spark, sf):
     orders = src.order_series(spark, sf)

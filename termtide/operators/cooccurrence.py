@@ -39,7 +39,7 @@ class TopicSet:
 
     @classmethod
     def of(cls, topics: Iterable[Mapping]) -> TopicSet:
-        topics = list(topics)
+        topics = [topics] if isinstance(topics, Mapping) else list(topics)
         owner: dict[str, str] = {}
         for topic in topics:
             for word in topic["words"]:
@@ -57,7 +57,7 @@ class TopicSet:
         if len(rows) > limit:
             return None
         owner: dict[str, str] = {}
-        for row in sorted(rows, key=lambda r: r["idx"]):
+        for row in sorted(rows, key=lambda r: (r["idx"], r["topic"], r["word"])):
             owner.setdefault(row["word"], row["topic"])
         return cls(tuple((t, w) for w, t in owner.items()), len({r["topic"] for r in rows}))
 
@@ -122,6 +122,40 @@ def _topic_hits(entries: Column, runs_are_whole: bool) -> Column:
     )
 
 
+def with_word_counts(df: DataFrame, tokens: str, output: str) -> DataFrame:
+    """The distinct tokens of each row with how often they occur, as ``(word, n)`` structs.
+
+    The sorted tokens are cut where the word changes.  Every step is a column, because
+    what a lambda takes from outside is evaluated again for every element.
+    """
+    size = F.size(tokens)
+    changes = F.filter(
+        F.sequence(F.lit(1), size),
+        lambda i: ~F.get("_sorted", i - 1).eqNullSafe(F.get("_sorted", i - 2)),
+    )
+    return (
+        df.withColumn("_sorted", F.sort_array(tokens))
+        .withColumn("_begins", F.when(size > 0, changes).otherwise(F.array().cast("array<int>")))
+        .withColumn(
+            "_ends", F.concat(F.slice("_begins", 2, F.greatest(size, F.lit(1))), F.array(size + 1))
+        )
+        .withColumn(
+            output,
+            F.when(
+                size > 0,
+                F.zip_with(
+                    "_begins",
+                    "_ends",
+                    lambda a, b: F.struct(
+                        F.get("_sorted", a - 1).alias("word"), (b - a).alias("n")
+                    ),
+                ),
+            ),
+        )
+        .drop("_sorted", "_begins", "_ends")
+    )
+
+
 # An explode of a bare column makes Catalyst derive "is not empty" and evaluate
 # everything behind the column a second time to test that.  Each explode below is
 # therefore of the column under its own condition, which also skips useless rows.
@@ -147,68 +181,87 @@ def _token_rows_from_plan(posts: DataFrame, topics: TopicSet) -> DataFrame:
         found = F.array_intersect("_tokens", literal_array(topics.words))
     else:
         found = F.filter(F.array_distinct("_tokens"), lambda t: place(t).isNotNull())
-    return (
+    matched = (
         posts.withColumn("_found", found)
         .withColumn("_entries", F.array_sort(F.transform("_found", entry)))
         .withColumn("_hits", _topic_hits(F.col("_entries"), runs_are_whole=True))
-        .select(
+    )
+    if len(topics) < _LOOK_UP_FROM:
+        return matched.select(
             "_label",
             F.lit(1).alias("_copies"),
             "_hits",
             F.explode(F.when(F.size("_hits") > 0, F.col("_tokens"))).alias("_word"),
-        )
-        .withColumn("_idx", place(F.col("_word")))
+        ).withColumn("_idx", place(F.col("_word")))
+    # Many topics match a post, so its words are counted before they meet the topics.
+    counted = with_word_counts(
+        matched.withColumn("_tokens", F.when(F.size("_hits") > 0, F.col("_tokens"))), "_tokens", "_bag"
+    )
+    bag = F.explode(F.when(F.size("_hits") > 0, F.col("_bag"))).alias("_token")
+    return counted.select("_label", "_hits", bag).select(
+        "_label",
+        F.col("_token.n").alias("_copies"),
+        "_hits",
+        F.col("_token.word").alias("_word"),
+        place(F.col("_token.word")).alias("_idx"),
     )
 
 
 def _token_rows_from_table(posts: DataFrame, topics: DataFrame, **bounds) -> DataFrame:
     """The same by joining, for vocabularies of any size.
 
-    Equal posts of one interval are folded into one row first: posts are put
-    together again by content, and copies would all meet in one place.
+    A post is taken apart into its distinct words and one row that carries it whole.  Words meet
+    the vocabulary, those that are in it go back to their post, and the others end there.  Equal posts of
+    one interval have one key and are counted before they are put together.
     """
     content = F.to_json(F.struct("_label", "_tokens"), {"ignoreNullFields": "false"})
-    distinct_posts = (
-        posts.withColumn("_key", F.unhex(F.sha2(content, 256)))
-        .groupBy("_key")
-        .agg(
-            F.first("_label").alias("_label"),
-            F.first("_tokens").alias("_tokens"),
-            F.count("*").alias("_copies"),
-        )
+    keyed = posts.withColumn("_key", F.unhex(F.sha2(content, 256)))
+    kind = posts.select(F.struct("_label", "_tokens").alias("p")).schema["p"].dataType
+    whole = F.struct(
+        F.concat(F.lit("\x00"), F.hex("_key")).alias("word"),
+        F.struct("_label", "_tokens").alias("post"),
+    )
+    rows = keyed.select(
+        "_key",
+        F.inline(
+            F.concat(
+                F.array(whole),
+                F.transform(
+                    F.array_distinct(F.coalesce("_tokens", F.array().cast("array<string>"))),
+                    lambda w: F.struct(w.alias("word"), F.lit(None).cast(kind).alias("post")),
+                ),
+            )
+        ),
     )
-    vocabulary = topics.groupBy("word").agg(
-        F.min_by("topic", "idx").alias("topic"), F.min("idx").alias("idx")
+    first = F.min(F.struct("idx", "topic")).alias("_first")
+    vocabulary = (
+        topics.groupBy("word")
+        .agg(first)
+        .select("word", "_first.topic", F.struct("_first.idx", "_first.topic", "word").alias("idx"))
     )
-    words = distinct_posts.select("_key", "_label", "_copies", F.explode("_tokens").alias("word"))
-    bags = (
-        lookup_join(words, vocabulary, ["word"], "left", **bounds)
+    entry = F.struct("idx", F.col("topic").alias("run"), "topic", "word")
+    matched = (
+        lookup_join(rows, vocabulary, ["word"], "left", **bounds)
+        .where(F.col("post").isNotNull() | F.col("topic").isNotNull())
         .groupBy("_key")
         .agg(
-            F.first("_label").alias("_label"),
-            F.first("_copies").alias("_copies"),
-            F.collect_list(
-                F.struct("idx", F.xxhash64("topic").alias("run"), "topic", "word")
-            ).alias("_bag"),
+            F.first("post", ignorenulls=True).alias("_post"),
+            F.count("post").alias("_posts"),
+            F.collect_set(F.when(F.col("topic").isNotNull(), entry)).alias("_found"),
         )
-    )
-    entries = F.array_sort(F.array_distinct(F.filter("_bag", lambda e: e["idx"].isNotNull())))
-    return (
-        bags.withColumn("_entries", entries)
+        .where(F.size("_found") > 0)
+        .select("_post.*", "_posts", F.array_sort("_found").alias("_entries"))
         .withColumn("_hits", _topic_hits(F.col("_entries"), runs_are_whole=False))
-        .select(
-            "_label",
-            "_copies",
-            "_hits",
-            F.explode(F.when(F.size("_hits") > 0, F.col("_bag"))).alias("_token"),
-        )
-        .select(
-            "_label",
-            "_copies",
-            "_hits",
-            F.col("_token.word").alias("_word"),
-            F.col("_token.idx").alias("_idx"),
-        )
+    )
+    places = F.map_from_entries(F.transform("_entries", lambda e: F.struct(e["word"], e["idx"])))
+    counted = with_word_counts(matched.withColumn("_places", places), "_tokens", "_bag")
+    bag = F.explode(F.when(F.size("_hits") > 0, F.col("_bag"))).alias("_token")
+    return counted.select("_label", "_posts", "_hits", "_places", bag).select(
+        "_label",
+        (F.col("_posts") * F.col("_token.n")).alias("_copies"),
+        "_hits",
+        F.col("_token.word").alias("_word"),
+        F.col("_places")[F.col("_token.word")].alias("_idx"),
     )
 
 
@@ -239,6 +292,11 @@ def cooccurrence(
         listed = None if join_bounds is not None else TopicSet.from_table(topics)
     else:
         listed = topics if isinstance(topics, TopicSet) else TopicSet.of(topics)
+        if len(listed) > MAX_LITERAL_WORDS:  # as a table, like any other of that size
+            entries = [(t, w, i) for i, (t, w) in enumerate(listed.entries)]
+            spark = posts.sparkSession
+            topics = spark.createDataFrame(entries, "topic string, word string, idx long")
+            listed = None
     if listed is not None:
         rows = _token_rows_from_plan(prepared, listed)
     else:

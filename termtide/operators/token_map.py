@@ -55,27 +55,49 @@ def with_mapped_tokens(
     if entries is not None:
         return df.withColumn(tokens, map_tokens(tokens, entries))
 
-    keyed = df.withColumn("_key", F.unhex(F.sha2(F.to_json(F.col(tokens)), 256)))
-    rows = (
-        keyed.groupBy("_key")
-        .agg(F.first(tokens).alias("_tokens"))
-        .select("_key", F.posexplode("_tokens").alias("_pos", "_token"))
+    # A row is taken apart into its distinct tokens and one that carries it whole; tokens with an
+    # entry go back to their row.  Equal rows are counted before they are put together.
+    names = df.columns
+    everything = F.struct(*(F.col(f"`{c}`") for c in names))
+    kind = df.select(everything.alias("r")).schema["r"].dataType
+    content = F.to_json(everything, {"ignoreNullFields": "false"})
+    keyed = df.select(F.unhex(F.sha2(content, 256)).alias("_key"), everything.alias("_row"))
+    listed = F.coalesce(F.col("_row")[tokens], F.array().cast("array<string>"))
+    rows = keyed.select(
+        "_key",
+        F.inline(
+            F.concat(
+                F.array(
+                    F.struct(
+                        F.concat(F.lit("\x00"), F.hex("_key")).alias("_token"),
+                        F.col("_row").alias("_whole"),
+                    )
+                ),
+                F.transform(
+                    F.array_distinct(listed),
+                    lambda t: F.struct(t.alias("_token"), F.lit(None).cast(kind).alias("_whole")),
+                ),
+            )
+        ),
     )
     side = mapping.select(F.col(key).alias("_token"), F.col(value).alias("_mapped"))
+    pair = F.struct("_token", "_mapped")
     mapped = (
         lookup_join(rows, side, ["_token"], "left", **bounds)
+        .where(F.col("_whole").isNotNull() | F.col("_mapped").isNotNull())
         .groupBy("_key")
         .agg(
-            F.array_sort(
-                F.collect_list(F.struct("_pos", F.coalesce("_mapped", "_token").alias("_out")))
-            ).alias("_list")
+            F.first("_whole", ignorenulls=True).alias("_whole"),
+            F.count("_whole").alias("_rows"),
+            F.collect_set(F.when(F.col("_mapped").isNotNull(), pair)).alias("_pairs"),
+        )
+        .withColumn("_map", F.map_from_entries("_pairs"))
+        .withColumn(
+            "_out",
+            F.transform(F.col("_whole")[tokens], lambda t: F.coalesce(F.col("_map")[t], t)),
         )
-        .select("_key", F.transform("_list", lambda x: x["_out"]).alias("_mapped_tokens"))
     )
-    joined = keyed.join(mapped, "_key", "left")
-    return joined.select(
-        *[
-            F.coalesce("_mapped_tokens", F.col(tokens)).alias(c) if c == tokens else F.col(c)
-            for c in df.columns
-        ]
+    out = mapped.select("_whole", "_out", F.explode(F.array_repeat(F.lit(1), F.col("_rows").cast("int"))))
+    return out.select(
+        *[(F.col("_out") if c == tokens else F.col("_whole")[c]).alias(c) for c in names]
     )

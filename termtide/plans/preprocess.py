@@ -43,8 +43,9 @@ class PreprocessOptions:
     ``stopwords`` of None with the choice ``stopwords`` means the built-in list of
     the language.  ``synonyms`` and ``lemmas`` replace phrases in the text;
     ``stems`` and ``lemma_tokens`` replace single tokens and may be tables
-    ``(synonym, head)`` of any size.  Stop words ``(word)``, synonyms and lemmas may
-    be tables up to the literal bound; they are collected when the options are made.
+    ``(synonym, head)`` of any size, and so may stop words ``(word)`` be.  Synonyms and
+    lemmas may be tables up to the literal bound; they are collected when the options are
+    made.
     """
 
     choices: Sequence[str] = ()
@@ -69,27 +70,40 @@ class PreprocessOptions:
             if isinstance(table, DataFrame):
                 columns = ("word", "word") if name == "stopwords" else ("synonym", "head")
                 entries = bounded_dict(table, *columns)
+                if entries is None and name == "stopwords":
+                    continue  # taken out by a join
                 if entries is None:
                     raise ValueError(
-                        f"{name}: more than {MAX_LITERAL_ENTRIES} entries; replace single "
-                        "tokens by a table, or take stop words out of token rows by a join"
+                        f"{name}: more than {MAX_LITERAL_ENTRIES} phrases; "
+                        "give those of a single token as a table of stems or lemmas"
                     )
                 object.__setattr__(self, name, list(entries) if name == "stopwords" else entries)
 
     @property
     def stopword_list(self) -> list[str]:
+        if isinstance(self.stopwords, DataFrame):
+            return []
         if self.stopwords is not None:
             return list(self.stopwords)
         return default_stopwords(self.lang) if "stopwords" in self.choices else []
 
+    @property
+    def stopword_table(self) -> DataFrame | None:
+        """Stop words ``(word)`` that are too many for a list."""
+        return self.stopwords if isinstance(self.stopwords, DataFrame) else None
+
+    @property
+    def has_stopwords(self) -> bool:
+        return self.stopword_table is not None or bool(self.stopword_list)
+
     @property
     def is_needed(self) -> bool:
-        return bool(self.choices or self.synonyms or self.lemmas or self.stopword_list)
+        return bool(self.choices or self.synonyms or self.lemmas or self.has_stopwords)
 
     @property
     def works_on_tokens(self) -> bool:
         token_choices = {"stopwords", "lemmatize", "stemmed", "hashtags", "emojis", "urls"}
-        return bool(token_choices & set(self.choices) or self.synonyms or self.stopword_list)
+        return bool(token_choices & set(self.choices) or self.synonyms or self.has_stopwords)
 
 
 def preprocess_text(
@@ -134,6 +148,7 @@ def preprocess_tokens(
     if stopwords or any(switches.values()):
         kept = filter_tokens(tokens, stopwords, **switches)
         df = df.withColumn(tokens, F.when(F.size(tokens) > 0, kept).otherwise(F.col(tokens)))
+    df = without_listed(df, options.stopword_table, tokens)
     if "stemmed" in choices:
         df = with_mapped_tokens(df, options.stems, tokens=tokens)
     if "lemmatize" in choices:
@@ -143,9 +158,19 @@ def preprocess_tokens(
         if "stopwords" in choices:
             # A lemma may be a stop word although the token was none.
             df = df.withColumn(tokens, filter_tokens(tokens, stopwords, **switches))
+            df = without_listed(df, options.stopword_table, tokens)
     return df
 
 
+def without_listed(df: DataFrame, words: DataFrame | None, tokens: str = "tokens", **bounds) -> DataFrame:
+    """Rows without the tokens of a table ``(word)`` of any size, and without empty ones."""
+    if words is None:
+        return df
+    nothing = words.select(F.col("word").alias("synonym"), F.lit("").alias("head"))
+    df = with_mapped_tokens(df, nothing, tokens=tokens, max_literal=0, **bounds)
+    return df.withColumn(tokens, filter_tokens(tokens))
+
+
 def preprocess(
     df: DataFrame,
     options: PreprocessOptions,

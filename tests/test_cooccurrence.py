@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import sys
 from collections import Counter
 
 import pytest
@@ -162,3 +163,36 @@ def test_saturating_words_computes_the_counts_once(spark):
     df = QUERIES["saturating_words"](spark, "/root/testdata/sf0.001")
     df.collect()
     assert "ReusedExchange [_groupingexpression" in plan_of(df)
+
+
+def test_forms_agree_where_places_are_shared(spark, monkeypatch):
+    """Several words in one place, repeated posts, and each way to count."""
+    module = sys.modules["termtide.operators.cooccurrence"]
+    posts = spark.createDataFrame(
+        [("d", ["w", "x", "y", "x", "z"]), ("d", ["w", "x", "y", "x", "z"]), ("e", ["y"]), ("e", []), ("e", None)],
+        "date string, tokens array<string>",
+    )
+    topics = spark.createDataFrame(
+        [("b", "w", 0), ("a", "w", 0), ("b", "x", 0), ("a", "y", 0), ("c", "z", 1)],
+        "topic string, word string, idx long",
+    )
+    counting = dict(count_filter=0, word_length_filter=0)
+
+    def counts(**more):
+        found = module.cooccurrence(posts, topics, **counting, **more).collect()
+        return sorted((r["date"], r["topic"], r["word"], r["count"]) for r in found)
+
+    in_plan = counts()
+    assert in_plan and in_plan == counts(join_bounds={}) == counts(join_bounds={"max_rows": 0})
+    monkeypatch.setattr(module, "_LOOK_UP_FROM", 1)
+    assert counts() == in_plan
+
+
+def test_topic_lists_of_any_size_and_single_topics(spark):
+    posts = spark.createDataFrame([("d", ["w7", "other", "w59999"])], "date string, tokens array<string>")
+    many = [{"topic": f"t{i}", "words": [f"w{i}"]} for i in range(60_000)]
+    found = cooccurrence(posts, many, count_filter=0).collect()
+    assert sorted((r["topic"], r["word"]) for r in found) == [
+        ("t59999", "other"), ("t7", "other"), ("t7", "w59999"),
+    ]
+    assert cooccurrence(posts, {"topic": "t", "words": ["w7"]}, count_filter=0).count() == 2

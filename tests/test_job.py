@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import json
 
 import pytest
@@ -29,7 +30,6 @@ from termtide.sources import (
     read_topics,
     source_format,
     split_paths,
-    spread,
     topics_from_json,
 )
 
@@ -109,14 +109,50 @@ def test_lists(spark, tmp_path):
 def test_default_stopwords(spark):
     assert {"the", "rt", "amp"} <= set(default_stopwords("en"))
     assert "los" in default_stopwords("es") and "les" in default_stopwords("fr")
-    with pytest.raises(ValueError):
-        default_stopwords("ar")
+    assert default_stopwords("ar") == ["rt", "amp"]
+
+
+def test_topics_of_several_files_are_in_the_order_of_their_paths(spark, tmp_path):
+    write(tmp_path / "topics" / "b.json", '[{"topic": "y", "words": ["w", "v"]}]')
+    write(tmp_path / "topics" / "a.json", '{"topic": "x", "words": ["W", "u"]}')
+    rows = read_topics(spark, str(tmp_path / "topics")).orderBy("idx").collect()
+    assert [(r["topic"], r["word"]) for r in rows] == [("x", "w"), ("x", "u"), ("y", "v")]
+
 
+def test_malformed_topics_raise(spark):
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        topics_from_json(spark, '[{"topic": ').collect()
+
+
+def test_a_bad_date_of_the_news_is_no_date(spark, tmp_path):
+    lines = [
+        {"uri": "a", "body": "police here", "date": "n/a", "source": {"uri": "s"}},
+        {"uri": "b", "body": "police there", "date": "2020-06-02", "source": {"uri": "s"}},
+    ]
+    path = write(tmp_path / "news.json", "\n".join(map(json.dumps, lines)) + "\n")
+    selection = PostSelection(path, dataset="event_registry")
+    posts = read_posts(spark, selection)
+    assert sorted((r["id_str"], str(r["date"])) for r in posts.collect()) == [("a", "None"), ("b", "2020-06-02")]
+    dated = PostSelection(path, dataset="event_registry", start_date="2020-06-01")
+    assert [r["id_str"] for r in read_posts(spark, dated).collect()] == ["b"]
 
-def test_spread_leaves_many_splits_alone(spark):
-    many = spark.range(0, 100, 1, 64)
-    assert spread(many) is many
-    assert spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == 8
+
+def test_csv_keeps_fields_as_they_are(spark, tmp_path):
+    values = [' a ', 'say "so"', "x,y", "back\\slash"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    path = write_csv(df, str(tmp_path / "fields"), order=[F.asc("i")], single_file=True)
+    (part,) = (tmp_path / "fields.csv").glob("part-*.csv")
+    with part.open(newline="") as lines:
+        assert [r["v"] for r in csv.DictReader(lines)] == values
+    assert path.endswith("fields.csv")
+
+
+def test_one_file_is_in_order_whatever_the_number_of_parts(spark, tmp_path):
+    df = spark.range(0, 5000, 1, 16).select((F.hash("id") % 10_000).alias("v"))
+    write_csv(df, str(tmp_path / "sorted"), order=[F.asc("v")], single_file=True)
+    (part,) = (tmp_path / "sorted.csv").glob("part-*.csv")
+    found = [int(v) for v in part.read_text().split()[1:]]
+    assert found == sorted(found) and len(found) == 5000
 
 
 def test_output_names():
@@ -174,8 +210,21 @@ def test_preprocess_chain(column, spark):
     for wrong in ("upper", "stemmed", "lemmatize"):
         with pytest.raises(ValueError):
             PreprocessOptions(choices=[wrong])
+    many = spark.range(50_001).select(F.col("id").cast("string").alias("synonym"), F.lit("x").alias("head"))
     with pytest.raises(ValueError):
-        PreprocessOptions(stopwords=spark.range(50_001).select(F.col("id").cast("string").alias("word")))
+        PreprocessOptions(synonyms=many)
+
+
+def test_stop_words_of_any_number(spark):
+    words = spark.range(60_000).select(F.concat(F.lit("w"), F.col("id").cast("string")).alias("word"))
+    posts = spark.createDataFrame(
+        [("1", "W1 stays w59999 and w60000"), ("2", None), ("3", "w5 w5"), ("3", "w5 w5"), ("4", "none of them")],
+        "id_str string, full_text string",
+    )
+    out = preprocess(posts, PreprocessOptions(choices=("lowercase",), stopwords=words))
+    assert sorted((r["id_str"], r["preprocessed_text"]) for r in out.collect()) == [
+        ("1", "stays and w60000"), ("2", ""), ("3", ""), ("3", ""), ("4", "none of them"),
+    ]
 
 
 def test_tokens_used_directly_equal_tokens_of_the_text(spark):

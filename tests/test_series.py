@@ -95,3 +95,29 @@ def test_differences_between_versions(spark):
         (day("2020-05-03"), "a", 5, None), (day("2020-05-06"), "a", 7, None),
         (day("2020-05-01"), "b", 4, 5), (day("2020-05-01"), "c", None, 1),
     ]
+
+
+NULLS = [*CELLS, (None, "2020-05-01", 5), (None, "2020-05-02", None), ("a", None, 2), ("a", "2020-05-01", 1)]
+
+
+def test_a_missing_topic_is_a_topic(spark):
+    filled = rows(series.fill_missing_days(long(spark, NULLS)), "topic", "Date")
+    assert [r for r in filled if r[0] is None] == [
+        (None, day(f"2020-05-0{i}"), 5 if i == 1 else 0) for i in range(1, 7)
+    ]
+    assert ("a", None, 2) in filled and ("a", day("2020-05-01"), 4) in filled
+
+
+def test_roll_up_keeps_what_has_no_category(spark):
+    mapping = spark.createDataFrame([("a", "all")], "topic string, category string")
+    for bounds in ({}, {"max_rows": 0}):
+        summed = series.roll_up(long(spark, NULLS), mapping, **bounds)
+        on_first = {r["category"]: r["count"] for r in summed.where("Date = '2020-05-01'").collect()}
+        assert on_first == {"all": 4, None: 9}
+        assert summed.agg(F.sum("count")).first()[0] == sum(c for *_, c in NULLS if c)
+
+
+def test_a_series_does_not_differ_from_itself(spark):
+    assert series.diff_series(long(spark, NULLS), long(spark, NULLS)).count() == 0
+    less = series.diff_series(long(spark, NULLS), long(spark, [c for c in NULLS if c[2] is not None]))
+    assert rows(less, "Date") == [(day("2020-05-02"), None, None, None)]

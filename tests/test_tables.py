@@ -221,3 +221,21 @@ def test_stopword_rows(spark):
     stop = spark.createDataFrame([("b",), ("b",)], "word string")
     for bounds in ({}, {"max_rows": 0}):
         assert sorted(rows(joins.without_stopwords(tokens, stop, **bounds))) == [("a",), ("a",), ("c",)]
+
+
+def test_both_forms_of_a_dictionary_agree(spark):
+    """Tokens listed twice, entries without a token or head, repeated rows, no tokens."""
+    mapping = spark.createDataFrame(
+        [("a", "x"), ("a", "w"), (None, "n"), ("b", None), ("c", "a")], "synonym string, head string"
+    )
+    posts = spark.createDataFrame(
+        [(1, ["a", "b", "a"]), (1, ["a", "b", "a"]), (2, []), (3, None), (4, ["z", "c"]), (None, ["a"])],
+        "k int, tokens array<string>",
+    )
+    forms = [{}, {"max_literal": 0}, {"max_literal": 0, "max_rows": 0}]
+    got = [
+        sorted(((r["k"], r["tokens"]) for r in with_mapped_tokens(posts, mapping, **f).collect()), key=str)
+        for f in forms
+    ]
+    want = [(1, ["w", "b", "w"])] * 2 + [(2, []), (3, None), (4, ["z", "a"]), (None, ["w"])]
+    assert got[0] == got[1] == got[2] == sorted(want, key=str)

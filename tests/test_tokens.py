@@ -84,3 +84,27 @@ def test_tokenising_joined_tokens_changes_nothing(column, texts):
 def test_quick_emoji_pattern_equals_the_portable_one(column, texts):
     portable = F.regexp_extract_all("c", F.lit(EMOJI_OR_WORD), F.lit(0))
     assert column(texts, split_emojis("c")) == column(texts, portable)
+
+
+def test_tokens_of_a_hundred_thousand_parts(spark):
+    """None of the patterns may recurse for every part of a token."""
+    n = 100_000
+    shapes = {
+        "en": ["1" + ",1" * n, "a" + "-a" * n, "x@a" + ".b" * n, "#" + "a-" * n + "a"],
+        "es": ["a" + ".b" * n],
+        "emoji": ["\U0001F468" + "\u200d\U0001F468" * n],
+    }
+    for kind, texts in shapes.items():
+        df = spark.createDataFrame([(t,) for t in texts], "c string")
+        tokens = split_emojis("c") if kind == "emoji" else tokenize("c", kind)
+        assert [r[0] for r in df.select(F.size(tokens)).collect()] == [1] * len(texts)
+    df = spark.createDataFrame([(shapes["emoji"][0],)], "c string")
+    assert df.select(F.size(filter_tokens(F.array("c"), emojis=True))).first()[0] == 0
+
+
+def test_white_space_of_any_script_separates(column):
+    for space in "\u00a0\u2003\u3000\u1680\u0085\u202f\x1c":
+        text = f"foo{space}bar!{space}http://a.b/c{space}next"
+        assert column([text], tokenize("c")) == [["foo", "bar", "!", "http://a.b/c", "next"]]
+        assert column([f"uno{space}dos,{space}tres"], tokenize("c", "es")) == [["uno", "dos", ",", "tres"]]
+        assert column([f"a{space}b\U0001F600c"], split_emojis("c")) == [["a", "b", "\U0001F600", "c"]]
