@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from termtide.functions.intervals import interval_label
 from termtide.functions.lookup import literal_array, literal_map
-from termtide.operators.joins import lookup_join
+from termtide.operators.joins import content_key, lookup_join
 
 # Topic vocabularies up to this size travel inside the plan, larger ones are joined.
 MAX_LITERAL_WORDS = 20_000
@@ -214,11 +214,10 @@ def _token_rows_from_table(posts: DataFrame, topics: DataFrame, **bounds) -> Dat
     the vocabulary, those that are in it go back to their post, and the others end there.  Equal posts of
     one interval have one key and are counted before they are put together.
     """
-    content = F.to_json(F.struct("_label", "_tokens"), {"ignoreNullFields": "false"})
-    keyed = posts.withColumn("_key", F.unhex(F.sha2(content, 256)))
+    keyed = posts.withColumn("_key", content_key(posts, "_label", "_tokens"))
     kind = posts.select(F.struct("_label", "_tokens").alias("p")).schema["p"].dataType
     whole = F.struct(
-        F.concat(F.lit("\x00"), F.hex("_key")).alias("word"),
+        F.concat(F.lit("\x00"), F.to_json(F.struct("_key"))).alias("word"),
         F.struct("_label", "_tokens").alias("post"),
     )
     rows = keyed.select(

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 MAX_BROADCAST_ROWS = 500_000
 MAX_BROADCAST_BYTES = 64 << 20
@@ -55,6 +56,22 @@ def lookup_join(
     return dealt.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
+def content_key(df: DataFrame, *columns: str) -> Column:
+    """A key of 128 bits that rows of equal content share."""
+    names = [f"`{c}`" for c in columns]
+    if any(_holds_map(df.schema[c].dataType) for c in columns):
+        return F.unhex(F.sha2(F.to_json(F.struct(*names), {"ignoreNullFields": "false"}), 256))
+    return F.struct(F.xxhash64(*names).alias("a"), F.xxhash64(F.lit(1), *names).alias("b"))
+
+
+def _holds_map(kind: DataType) -> bool:
+    if isinstance(kind, StructType):
+        return any(_holds_map(f.dataType) for f in kind.fields)
+    if isinstance(kind, ArrayType):
+        return _holds_map(kind.elementType)
+    return isinstance(kind, (MapType, VariantType))
+
+
 def join_source_metadata(articles: DataFrame, metadata: DataFrame, **bounds) -> DataFrame:
     """Articles with the metadata of their source, articles without one included.
 

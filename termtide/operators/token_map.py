@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termtide.functions.lookup import MAX_LITERAL_ENTRIES, literal_map
-from termtide.operators.joins import lookup_join
+from termtide.operators.joins import content_key, lookup_join
 from termtide.sources.lists import bounded_dict
 
 # Words that lemmatising leaves alone.
@@ -60,8 +60,7 @@ def with_mapped_tokens(
     names = df.columns
     everything = F.struct(*(F.col(f"`{c}`") for c in names))
     kind = df.select(everything.alias("r")).schema["r"].dataType
-    content = F.to_json(everything, {"ignoreNullFields": "false"})
-    keyed = df.select(F.unhex(F.sha2(content, 256)).alias("_key"), everything.alias("_row"))
+    keyed = df.select(content_key(df, *names).alias("_key"), everything.alias("_row"))
     listed = F.coalesce(F.col("_row")[tokens], F.array().cast("array<string>"))
     rows = keyed.select(
         "_key",
@@ -69,7 +68,7 @@ def with_mapped_tokens(
             F.concat(
                 F.array(
                     F.struct(
-                        F.concat(F.lit("\x00"), F.hex("_key")).alias("_token"),
+                        F.concat(F.lit("\x00"), F.to_json(F.struct("_key"))).alias("_token"),
                         F.col("_row").alias("_whole"),
                     )
                 ),
