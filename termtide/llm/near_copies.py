@@ -10,8 +10,8 @@ place: those whose common shingles could be 0.8 of all of theirs are aligned wit
 pair cannot leave (the longest run of common shingles in the order of both, over all shingles of both,
 must reach ``SIMILARITY``).  Pairs that are already connected there are not aligned, and a pair is
 looked at under its first common key only, so a key of n texts yields less than n links.  Keys of more than
-``BLOCK`` texts are split into blocks, and every pair of blocks is a place of its own: no pair is left
-out, and no place holds more than two blocks.  Classes are the connected components of the links.
+``BLOCK`` texts, or of more than ``BLOCK_BYTES`` of text, are split into blocks, and every pair of blocks is
+a place of its own: no pair is left out, and no place holds more than two blocks.  Classes are the connected components of the links.
 
 Null text is empty.  Equal texts, also empty ones, are one class; texts without words are only like
 equal texts, those of fewer than five words have one shingle.  Repeated rows are in one class; the
@@ -34,6 +34,7 @@ KEYS = 10
 LEAST = 2
 SIMILARITY = 0.8
 BLOCK = 1024
+BLOCK_BYTES = 16 << 20
 _NULL_ID = -(2**63)
 _MOST = U64(0xFFFFFFFFFFFFFFFF)
 
@@ -106,13 +107,14 @@ def alignment(a: np.ndarray, b: np.ndarray, at_least: float = SIMILARITY) -> flo
 def _sketcher(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keys = []
-        for low, high in runs(bytes_of(batch.column("text"))[1]):
+        starts = bytes_of(batch.column("text"))[1]
+        for low, high in runs(starts):
             keys.append(order_sketch(*labelled_shingles(batch.column("text").slice(low, high - low))))
         flat = np.concatenate(keys).view(np.int64) if keys else np.zeros((0, KEYS), np.int64)
         shape = pa.FixedSizeListArray.from_arrays(pa.array(flat.reshape(-1)), KEYS)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("digest"), shape.cast(pa.list_(pa.int64()))],
-            names=["doc_id", "digest", "keys"],
+            [batch.column("doc_id"), batch.column("digest"), pa.array(np.diff(starts)), shape.cast(pa.list_(pa.int64()))],
+            names=["doc_id", "digest", "size", "keys"],
         )
 
 
@@ -254,20 +256,22 @@ def near_copies(docs: DataFrame) -> DataFrame:
         "text",
     )
     sketches = stored(
-        rows.mapInArrow(_sketcher, "doc_id long, digest binary, keys array<long>"), "sketches"
+        rows.mapInArrow(_sketcher, "doc_id long, digest binary, size long, keys array<long>"), "sketches"
     )
     ident = F.coalesce(F.col("doc_id"), F.lit(_NULL_ID))
     nodes = stored(
         sketches.groupBy("digest")
-        .agg(F.min(ident).alias("least_id"), F.first("keys").alias("keys"))
+        .agg(F.min(ident).alias("least_id"), F.first("size").alias("size"), F.first("keys").alias("keys"))
         .withColumn("node", F.monotonically_increasing_id()),
         "texts",
     )
-    keyed = nodes.select("node", "digest", "least_id", "keys", F.posexplode("keys").alias("number", "key")).where(
-        F.col("key") != 0
-    )
-    shared = keyed.groupBy("key", "number").count().where("count > 1")
-    blocks = F.ceil(F.col("count") / BLOCK).cast("int")
+    keyed = nodes.select(
+        "node", "digest", "least_id", "size", "keys", F.posexplode("keys").alias("number", "key")
+    ).where(F.col("key") != 0)
+    # A text larger than a block counts as one: it can be split no further.
+    filled = F.sum(F.least("size", F.lit(BLOCK_BYTES))).alias("filled")
+    shared = keyed.groupBy("key", "number").agg(F.count("*").alias("count"), filled).where("count > 1")
+    blocks = F.ceil(F.greatest(F.col("count") / BLOCK, F.col("filled") / BLOCK_BYTES)).cast("int")
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     others = F.sequence(F.lit(0), F.col("blocks") - 1)
     places = F.transform(

@@ -243,8 +243,9 @@ def test_classes_of_near_copies(odd, odd_rows):
     assert by_id(near_copies.near_copies(odd).collect(), "doc_id", "class_id") == classes_by_brute_force(odd_rows)
 
 
-def test_large_group_of_near_copies_is_one_class(spark, monkeypatch):
-    monkeypatch.setattr(near_copies, "BLOCK", 16)
+@pytest.mark.parametrize("bound, least", [("BLOCK", 16), ("BLOCK_BYTES", 9000), ("BLOCK_BYTES", 100)])
+def test_large_group_of_near_copies_is_one_class(spark, monkeypatch, bound, least):
+    monkeypatch.setattr(near_copies, bound, least)
     base = [f"w{i}" for i in range(150)]
     rows = []
     for i in range(120):
