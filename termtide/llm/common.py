@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from termtide.session import configure, scratch_path
 
-# Rows of one Arrow batch, and bytes of text that are worked on at once.
+# Rows of one Arrow batch, and bytes of text that are worked on at once (with one more a power of
+# two, so that tables of powers need not be twice as long).
 BATCH_ROWS = 1024
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = (1 << 20) - 1
 
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15

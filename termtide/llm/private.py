@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termtide.llm.common import bytes_of
+from termtide.llm.common import CHUNK_BYTES, bytes_of, runs
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("", *KINDS)
@@ -323,11 +323,12 @@ def _held(texts: pa.Array) -> list[int]:
 def _found(texts: pa.Array, model: SkipChain) -> tuple[list[list[Span]], list[list[Span]]]:
     base: list[list[Span]] = [[] for _ in range(len(texts))]
     spans = list(base)
-    held = _held(texts)
-    some = [texts[i].as_py() for i in held]
-    found = [base_spans(t) for t in some]
-    for i, b, s in zip(held, found, model.spans(some, found)):
-        base[i], spans[i] = b, s
+    for low, high in runs(bytes_of(texts)[1], CHUNK_BYTES // 4):
+        held = [low + i for i in _held(texts.slice(low, high - low))]
+        some = [texts[i].as_py() for i in held]
+        found = [base_spans(t) for t in some]
+        for i, b, s in zip(held, found, model.spans(some, found)):
+            base[i], spans[i] = b, s
     return base, spans
 
 

@@ -17,12 +17,12 @@ import numpy as np
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-from termtide.llm.common import bytes_of, runs, span_hashes
+from termtide.llm.common import CHUNK_BYTES, bytes_of, runs, span_hashes
 
 # Pieces kept between batches; further ones are encoded again when they come.
 CACHE_PIECES = 500_000
 CACHED_BYTES = 48
-ENCODED_BYTES = 2 << 20
+ENCODED_BYTES = CHUNK_BYTES
 
 # Classes of bytes: white space, letters, ASCII punctuation, and what needs the tokenizer itself.
 _SPACE, _LETTER, _MARK, _OTHER = range(4)
