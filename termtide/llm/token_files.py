@@ -29,12 +29,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from termtide.llm.common import bytes_of, runs, stored
-from termtide.llm.tokens import ENCODED_BYTES, encoder
+from termtide.llm.tokens import encoder
 
 BLOCK = 512
 PERCENTILE = 0.9
 SEGMENT_IDS = 1 << 16
 END_ID = 0
+ENCODED_BYTES = 2 << 20  # of text at once: the more, the fewer words are looked up again
 _HEAD = np.dtype([("start", "<u4"), ("least", "<u4"), ("width", "u1"), ("exceptions", "<u2")])
 
 
@@ -141,7 +142,7 @@ def _writer(path: str):
         for batch in batches:
             doc_ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
             for low, high in runs(bytes_of(texts)[1], ENCODED_BYTES):
-                ids, at = encode(texts.slice(low, high - low))
+                ids, at = encode(texts.slice(low, high - low), ENCODED_BYTES)
                 for i in range(high - low):
                     own = np.append(ids[at[i] : at[i + 1]], np.uint32(END_ID))
                     held.append((doc_ids[low + i], own))

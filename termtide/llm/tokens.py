@@ -143,11 +143,11 @@ class Encoder:
         ids = pool[np.repeat((np.cumsum(length) - length)[code] - (ends - n), n) + np.arange(total)]
         return ids, np.concatenate(([0], ends))[np.searchsorted(begin, starts)]
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array, at_once: int = ENCODED_BYTES) -> tuple[np.ndarray, np.ndarray]:
         """All ids in one array, and where each row starts; null is empty."""
         data, starts = bytes_of(texts)
         parts, bounds, so_far = [], [np.zeros(1, np.int64)], 0
-        for low, high in runs(starts, ENCODED_BYTES):
+        for low, high in runs(starts, at_once):
             ids, at = self._encode(data[starts[low] : starts[high]], starts[low : high + 1] - starts[low])
             parts.append(ids)
             bounds.append(at[1:] + so_far)
