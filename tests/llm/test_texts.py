@@ -398,6 +398,39 @@ def test_texts_without_letters_have_no_language(odd, odd_rows):
     assert found.select("row.*").columns == odd.columns
 
 
+def _scripts(texts_of, n=40):
+    """Labelled texts of words drawn from an alphabet of each label."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for name, letters in texts_of.items():
+        for _ in range(n):
+            text = "".join(rng.choice(list(letters), 60)) + "。" if len(letters) > 20 else " ".join(
+                "".join(rng.choice(list(letters), 5)) for _ in range(20)
+            )
+            rows.append((len(rows), text, name))
+    return rows
+
+
+def test_languages_beyond_the_first_planes(spark):
+    zh = "的一是不了在人有我他这个们中来上大为和国地到以说时要就出会可也你对生能而子那得于着下自之年过"
+    ja = "のにはをたがでてとしれさあるいるもするからなことして日本語年大人出中会社東京時間学校私彼女"
+    ko = "이그는을의가다에고한지도로를서은하나기들만사일어정리시인대자수해보부아전주상있것"
+    rows = _scripts({"zh": zh, "ja": ja, "ko": ko, "yy": "𐐀𐐁𐐂𐐃𐐄𐐅𐐆𐐇𐐈𐐉𐐊𐐋", "en": "etaoinshr"})
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = language.identify(docs, language.learn(docs), ["doc_id", "lang"]).collect()
+    assert [r.row.lang for r in found] == [r.lang_pred for r in found]
+    assert language.symbols("日本、 東京。").tolist() == [*map(ord, "日本"), 32, *map(ord, "東京"), 32]
+
+
+def test_search_in_large_alphabets_is_the_table(monkeypatch):
+    rng = np.random.default_rng(6)
+    samples = {n: ["".join(map(chr, rng.integers(0x4E00, 0x4E00 + 300, 900)))] for n in ("a", "b", "c")}
+    texts = [samples[n][0][i : i + 50] + samples["b"][0][:9] for n in samples for i in (0, 300, 700)]
+    small = language.LanguageModel.fit(samples).costs(texts)
+    monkeypatch.setattr(language, "TABLE_BYTES", 0)
+    assert (language.LanguageModel.fit(samples).costs(texts) == small).all()
+
+
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
