@@ -260,13 +260,9 @@ def learn(docs: DataFrame) -> list[LanguageModel]:
     parameters above.
     """
     labelled = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    common = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(2 * LANGUAGES)
-    names = [r["lang"] for r in common.collect()]
-    slices = max(16, min(SLICES, 8 * SLICES // max(1, len(names))))
     order = F.xxhash64("doc_id", "text")
     rows = (
-        labelled.where(F.col("lang").isin(names))
-        .groupBy("lang", F.pmod(order, F.lit(slices)).alias("slice"))
+        labelled.groupBy("lang", F.pmod(order, F.lit(SLICES)).alias("slice"))
         .agg(F.min_by(F.substring("text", 1, SNIPPET), order).alias("text"))
         .collect()
     )

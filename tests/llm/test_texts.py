@@ -431,6 +431,27 @@ def test_search_in_large_alphabets_is_the_table(monkeypatch):
     assert (language.LanguageModel.fit(samples).costs(texts) == small).all()
 
 
+def test_every_label_is_learnt_and_none_depends_on_the_number_of_others(spark):
+    # 70 labels of their own pairs of letters; the rarest come last.
+    letters = [chr(0x100 + i) for i in range(256) if chr(0x100 + i).islower()]
+    rows = [r for i in range(70) for r in _scripts({f"l{i:02}": letters[i : i + 3]}, 8 if i < 64 else 5)]
+    rows = [(i, t, n) for i, (_, t, n) in enumerate(rows)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    models = language.learn(docs)
+    assert sum((m.names for m in models), []) == sorted({r[2] for r in rows})
+    found = language.identify(docs, models, ["doc_id", "lang"]).collect()
+    assert len(found) == len(rows)
+    assert np.mean([r.row.lang == r.lang_pred for r in found]) > 0.98
+    samples = {n: [t for _, t, m in rows if m == n] for n in {r[2] for r in rows}}
+    names, scores = language.LanguageModel.fit(samples).predict([r[1] for r in rows[:40]])
+    parted = [language.LanguageModel.fit({n: samples[n] for n in sorted(samples)[i : i + 9]}) for i in range(0, 70, 9)]
+    best = None
+    for model in parted:
+        best = model.best([r[1] for r in rows[:40]], best)
+    again, also = best.judged([r[1] for r in rows[:40]])
+    assert names == again and scores == pytest.approx(also)
+
+
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
