@@ -5,7 +5,8 @@ longest piece that is left and completed by branch and bound: fillings of the re
 enumerated with the longest pieces first and in falling order, so that each is met once and those that
 another filling dominates (a longer piece would fit in a shorter one's stead) come after it; a branch
 ends where even all that fits cannot beat the incumbent's waste, and the best fit so
-far is the incumbent.  No waste ends the search at once.
+far is the incumbent.  No waste ends the search at once.  Pieces of one length are one branch, whatever their number, and the
+first filling is always finished; ``STEPS`` bounds the branches that are tried after it.
 
 Pieces are dealt by number into groups of about ``GROUP``, which are packed apart.  The pieces of
 sequences that stay below ``FULL`` of the capacity are then dealt and packed again, until
@@ -34,7 +35,7 @@ CAPACITY = 4096
 END_ID = 1
 GROUP = 16_384
 FULL = 0.98
-STEPS = 400  # branches that may be looked at to complete one sequence
+STEPS = 400  # branches that may be looked at to better the first filling of one sequence
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -70,44 +71,44 @@ class Left:
             self.count[n] = self.count.get(n, 0) + 1
         self.sorted = sorted(self.count)
 
-    def take(self, n: int) -> None:
-        self.count[n] -= 1
+    def take(self, n: int, times: int = 1) -> None:
+        self.count[n] -= times
         if not self.count[n]:
             del self.count[n]
             del self.sorted[bisect.bisect_left(self.sorted, n)]
 
-    def completion(self, space: int) -> list[int]:
-        """Lengths that fill ``space`` best."""
-        best: list[int] = []
+    def completion(self, space: int) -> list[tuple[int, int]]:
+        """Lengths that fill ``space`` best, and how many of each."""
+        best: list[tuple[int, int]] = []
         best_waste, steps = space, 0
-        used: dict[int, int] = {}
+        descending = True  # the first, greedy, filling is not limited
 
-        def branch(space: int, most: int, chosen: list[int]) -> bool:
-            nonlocal best, best_waste, steps
+        def branch(space: int, below: int, chosen: list[tuple[int, int]]) -> bool:
+            nonlocal best, best_waste, steps, descending
             if space < best_waste:
                 best, best_waste = list(chosen), space
             if best_waste == 0:
                 return True
-            at = bisect.bisect_right(self.sorted, min(space, most)) - 1
+            at = bisect.bisect_left(self.sorted, min(space + 1, below)) - 1
             shortest = self.sorted[0] if self.sorted else space + 1
             for n in map(self.sorted.__getitem__, range(at, -1, -1)):
                 # No more than space // shortest pieces fit, and none is longer than n.
                 if space - space // shortest * n >= best_waste:
                     return False
-                steps += 1
-                if steps > STEPS:
-                    return True
-                if self.count[n] > used.get(n, 0):
-                    used[n] = used.get(n, 0) + 1
-                    chosen.append(n)
-                    done = branch(space - n, n, chosen)
+                for times in range(min(self.count[n], space // n), 0, -1):
+                    if not descending:
+                        steps += 1
+                        if steps > STEPS:
+                            return True
+                    chosen.append((n, times))
+                    done = branch(space - times * n, n, chosen)
                     chosen.pop()
-                    used[n] -= 1
                     if done:
                         return True
+            descending = False
             return False
 
-        branch(space, space, [])
+        branch(space, space + 1, [])
         return best
 
 
@@ -120,9 +121,9 @@ def pack_lengths(lengths: list[int], capacity: int = CAPACITY) -> list[list[int]
     while left.sorted:
         chosen = [left.sorted[-1]]
         left.take(chosen[0])
-        for n in left.completion(capacity - chosen[0]):
-            left.take(n)
-            chosen.append(n)
+        for n, times in left.completion(capacity - chosen[0]):
+            left.take(n, times)
+            chosen += [n] * times
         sequences.append([where[n].pop() for n in chosen])
     return sequences
 
@@ -145,11 +146,11 @@ def _pack_group(capacity: int):
     return run
 
 
-def _packed(pieces: DataFrame, n: int, capacity: int) -> DataFrame:
+def _packed(pieces: DataFrame, n: int, level: int, capacity: int) -> DataFrame:
     groups = max(1, -(-n // GROUP))
     return (
         pieces.select("uid", "length")
-        .groupBy(F.pmod(F.xxhash64("uid"), F.lit(groups)).alias("group"))
+        .groupBy(F.pmod(F.xxhash64("uid", F.lit(level)), F.lit(groups)).alias("group"))
         .applyInPandas(
             _pack_group(capacity),
             "uid long, length long, group long, sequence long, offset long, load long",
@@ -168,20 +169,27 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) ->
     )
     todo = pieces.where(F.col("length") < capacity).select("uid", "length")
     n, level, done = todo.count(), 0, [whole]
+    columns = ("uid", "level", "group", "sequence", "offset")
+    before = earlier = None  # how many sequences the pieces took in the round before, and their places there
     while n:
         level += 1
-        packed = stored(_packed(todo, n, capacity), f"packed-{level}")
-        poor = F.col("load") < FULL * capacity
-        again = packed.where(poor).count() if n > GROUP else 0
-        last = again == 0 or again > 0.5 * n
-        placed = packed if last else packed.where(~poor)
-        done.append(placed.select("uid", F.lit(level).alias("level"), "group", "sequence", "offset"))
-        todo, n = packed.where(poor).select("uid", "length"), 0 if last else again
+        packed = stored(_packed(todo, n, level, capacity).withColumn("level", F.lit(level)), f"packed-{level}")
+        poor, begins = F.col("load") < FULL * capacity, (F.col("offset") == 0).cast("long")
+        sequences, again, left = packed.agg(
+            F.sum(begins), F.count_if(poor), F.coalesce(F.sum(F.when(poor, begins)), F.lit(0))
+        ).first()
+        if before is not None and sequences >= before:
+            done.append(earlier.select(*columns))
+            break
+        last = again == 0 or n <= GROUP
+        done.append((packed if last else packed.where(~poor)).select(*columns))
+        earlier, before = packed.where(poor), left
+        todo, n = earlier.select("uid", "length"), 0 if last else again
     places = done[0]
     for other in done[1:]:
         places = places.unionByName(other)
     # Whole pieces have the number of their row, the others numbers below zero.
-    number = -(F.col("level") + 64 * (F.col("sequence") + (1 << 20) * F.col("group")))
+    number = -(F.col("level") + (1 << 16) * (F.col("sequence") + (1 << 20) * F.col("group")))
     sequence = F.when(F.col("level") == 0, F.col("group")).otherwise(number)
     return pieces.join(places.withColumn("sequence_id", sequence), "uid").select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"

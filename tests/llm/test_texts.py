@@ -185,6 +185,36 @@ def _fewest(lengths, capacity):
     return best[0]
 
 
+@pytest.mark.parametrize("length", [1, 2, 5, 8])
+def test_short_pieces_fill_a_sequence(length):
+    found = packing.pack_lengths([length] * 9000)
+    assert len(found) == -(-9000 // (4096 // length))
+
+
+def test_first_filling_is_finished_whatever_the_number_of_lengths():
+    lengths = [*range(1, 1300)] * 2
+    found = packing.pack_lengths(lengths)
+    assert sorted(i for s in found for i in s) == list(range(len(lengths)))
+    assert len(found) <= -(-sum(lengths) // 4096) + 1
+
+
+def test_ten_thousand_empty_texts_take_three_sequences(spark):
+    docs = spark.range(10_000).selectExpr("id as doc_id", "if(id % 2 = 0, '', null) as text")
+    found = packing.pack_documents(docs, WORD).collect()
+    assert len(found) == 10_000 and {r.length for r in found} == {1}
+    assert len({r.sequence_id for r in found}) == 3
+    assert len({(r.sequence_id, r.offset) for r in found}) == 10_000
+
+
+def test_badly_filled_sequences_are_packed_again_while_that_saves_some(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP", 50)
+    # A group has about 50 tokens, so more than half of the pieces are in badly filled sequences.
+    docs = spark.range(1000).selectExpr("id as doc_id", "'' as text")
+    found = packing.pack_documents(docs, WORD, capacity=52).collect()
+    assert len({r.sequence_id for r in found}) <= 21
+    assert len({(r.sequence_id, r.offset) for r in found}) == 1000
+
+
 # near copies ----------------------------------------------------------------------------
 
 
