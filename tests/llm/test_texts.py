@@ -533,6 +533,18 @@ def test_field_labels_repeated_tokens(spark):
     assert private.redact(text, spans).count("<phone>") == 1 + len(extra)
 
 
+def test_field_labels_tokens_without_a_pattern_in_the_text(spark):
+    model = private.learn(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    rng = np.random.default_rng(8)
+    planted = ["({}) {}-{}".format(*rng.integers((200, 200, 1000), (999, 999, 9999))) for _ in range(20)]
+    other = ["432958", "2019-05-01", "3.14", "12:30", "2020", "1,000,000", "555-0000", "2.0.", "3."]
+    texts = [f"Please note {x} for later use." for x in planted + other]
+    spans = model.spans(texts, [private.base_spans(t) for t in texts])
+    assert not any(private.base_spans(t) for t in texts)
+    assert all(spans[: len(planted)]) and {k for s in spans for _, _, k in s} == {"phone"}
+    assert not any(spans[len(planted) :])
+
+
 def test_long_runs_take_no_longer_than_their_length():
     for text in ("a" * 300_000, "1" * 300_000, "1." * 100_000, "+" * 100_000, "a@" * 100_000, "+1" + " " * 200_000):
         private.base_spans(text)
