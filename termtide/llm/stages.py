@@ -14,10 +14,10 @@ from termtide.llm.packing import pack_documents
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that have a language; those without a letter have none and go."""
+    """Documents with a letter, whatever was learnt; null texts and those without a letter go."""
     prepare(spark)
     found = language.identify(docs, language.learn(docs), docs.columns)
-    return found.where(F.col("lang_pred") != language.UNKNOWN).select("row.*")
+    return found.where("has_letter").select("row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

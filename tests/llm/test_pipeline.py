@@ -84,3 +84,12 @@ def test_pipeline_by_brute_force(spark, odd, odd_rows, tmp_path):
             at += length
         assert at <= 4096
     assert len(sequences) <= -(-sum(r.length for r in found) // 4096) + 1
+
+
+def test_pipeline_without_labels_keeps_its_documents(spark, tmp_path):
+    import corpus_pipeline
+
+    rows = [(1, "one text of some words", None, "a", 22), (2, "другой текст", None, "a", 12), (3, "12 !", None, "a", 4), (4, None, None, "a", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == {1, 2}
