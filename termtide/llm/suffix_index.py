@@ -21,7 +21,8 @@ batches, in the order of doc_id, are scanned against levels that merge geometric
 A passage that is in very many documents is reduced to one stretch per batch of texts before it moves.
 
 Null text is empty.  Documents of fewer than ``LENGTH`` bytes lose nothing.  A null doc_id counts as less than
-any other.  Rows that repeat a doc_id have to repeat its text too, and lose nothing to each other.
+any other.  Every row has a number of its own, by which its places are joined; rows of the same doc_id, or of
+none, may have different texts, and lose nothing to each other.
 Further columns of the input are ignored.
 """
 
@@ -156,18 +157,19 @@ def _spans_of(ids: np.ndarray, at: np.ndarray, n: np.ndarray) -> Iterator[tuple[
 
 
 _ENTRIES = ["key", "sides", "side_high", "doc", "at_low", "at_high", "n"]
-_DEALT = "bucket long, doc_ids binary, " + ", ".join(f"{c} binary" for c in _ENTRIES)
-_DEALT_NAMES = ["bucket", "doc_ids", *_ENTRIES]
+_DEALT = "bucket long, uids binary, doc_ids binary, " + ", ".join(f"{c} binary" for c in _ENTRIES)
+_DEALT_NAMES = ["bucket", "uids", "doc_ids", *_ENTRIES]
 
 
 def _dealer(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Stretches by bucket; what a smaller document of the same batch has goes as spans (no entries)."""
         for batch in batches:
-            all_ids = batch.column("doc_id").to_numpy()
-            data, starts = bytes_of(batch.column("text"))
+            all_ids, all_uids = batch.column("doc_id").to_numpy(), batch.column("uid").to_numpy()
+            raws = [_raw(p) for p in batch.column("packed").to_pylist()]
+            data, starts = bytes_of(pa.array(raws, pa.large_binary()))
             for low, high in runs(starts, CHUNK):
-                ids = all_ids[low:high]
+                ids, uids = all_ids[low:high], all_uids[low:high]
                 s = Stretches(data[starts[low] : starts[high]], starts[low : high + 1] - starts[low])
                 bucket = (s.anchor >> U64(ANCHOR_BITS)) % U64(buckets)
                 key = (s.anchor << U64(STRETCH_BITS)) | (s.stretch >> U64(64 - STRETCH_BITS))
@@ -178,8 +180,8 @@ def _dealer(buckets: int):
                 first = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))
                 gone = d > d[first] if len(order) else same
                 rows = []
-                for doc, spans in _spans_of(d[gone], s.at[order[gone]], s.n[order[gone]]):
-                    rows.append((hash(doc) % buckets, doc.to_bytes(8, "little", signed=True), spans, *[None] * 6))
+                for uid, spans in _spans_of(uids[s.row[order[gone]]], s.at[order[gone]], s.n[order[gone]]):
+                    rows.append((hash(uid) % buckets, uid.to_bytes(8, "little"), None, spans, *[None] * 6))
                 order = order[~gone]
                 at_bucket = bucket[order]
                 begin = np.flatnonzero(np.append(True, at_bucket[1:] != at_bucket[:-1])) if len(order) else []
@@ -190,6 +192,7 @@ def _dealer(buckets: int):
                     rows.append(
                         (
                             int(at_bucket[a]),
+                            uids[docs].astype("<i8").tobytes(),
                             np.diff(ids[docs], prepend=0).astype("<i8").tobytes(),
                             key[e].tobytes(),
                             (sides & 0xFFFF).astype("<u2").tobytes(),
@@ -201,7 +204,7 @@ def _dealer(buckets: int):
                         )
                     )
                 if rows:
-                    kinds = [pa.int64(), *[pa.binary()] * 8]
+                    kinds = [pa.int64(), *[pa.binary()] * 9]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=_DEALT_NAMES
                     )
@@ -234,7 +237,7 @@ class _Bucket:
         doc = at("doc", "<u4" if len(docs) > 65535 else "<u2")
         sides = at("sides", "<u2").astype(np.int64) | at("side_high", "u1").astype(np.int64) << 16
         place = at("at_low", "<u2").astype(np.int64) | at("at_high", "<u2").astype(np.int64) << 16
-        part = (key, docs[doc], sides, place, at("n", "u1"))
+        part = (key, docs[doc], at("uids", "<i8")[doc], sides, place, at("n", "u1"))
         self.parts.append(part)
         self.batch.append(part[:2])
         self.size += len(key)
@@ -247,11 +250,11 @@ class _Bucket:
         self.batch, self.size = [], 0
 
     def settle(self) -> Iterator[tuple[int, bytes | None, bytes | None]]:
-        """(doc, spans that go, stretches to look at) from the finished levels."""
+        """(uid, spans that go, stretches to look at) from the finished levels."""
         if not self.parts:
             return
         self.close_batch()
-        key, doc, sides, at, n = (np.concatenate(x) for x in zip(*self.parts))
+        key, doc, uid, sides, at, n = (np.concatenate(x) for x in zip(*self.parts))
         keys, least = self.levels.whole()
         place = np.searchsorted(keys, key)
         first = np.zeros(len(keys), np.int64)
@@ -260,12 +263,12 @@ class _Bucket:
         gone = (least[place] < doc) & like
         left, right = sides[first] & 4095, sides[first] >> 12
         look = (_sides(keys, left) | _sides(keys, right))[place] & ~gone | ~like
-        for one, spans in _spans_of(doc[gone], at[gone], n[gone]):
+        for one, spans in _spans_of(uid[gone], at[gone], n[gone]):
             yield one, spans, None
         packed = np.zeros(int(look.sum()), _OPEN)
         anchors = U64(self.number) << U64(ANCHOR_BITS) | key[look] >> U64(STRETCH_BITS)
         packed["anchor"], packed["at"], packed["n"] = anchors, at[look], n[look]
-        ids = doc[look]
+        ids = uid[look]
         order = np.argsort(ids, kind="stable")
         ids, packed = ids[order], packed[order]
         begin = np.flatnonzero(np.append(True, ids[1:] != ids[:-1])) if len(ids) else []
@@ -280,14 +283,14 @@ def _settler(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def out(rows):
         return pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.binary(), pa.binary()))],
-            names=["doc_id", "spans", "open"],
+            names=["uid", "spans", "open"],
         )
 
     for batch in batches:
         rows = []
         for row in batch.to_pylist():
             if row["n"] is None:
-                rows.append((int.from_bytes(row["doc_ids"], "little", signed=True), row["key"], None))
+                rows.append((int.from_bytes(row["uids"], "little"), row["key"], None))
                 continue
             if row["bucket"] != bucket.number:
                 rows += bucket.settle()
@@ -306,12 +309,14 @@ _CODEC = pa.Codec("zstd", 3)
 def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts as compressed bytes, each after its length; they move more than once."""
     for batch in batches:
-        packed = []
+        packed, sizes = [], []
         for text in batch.column("text").to_pylist():
             raw = (text or "").encode()
+            sizes.append(len(raw))
             packed.append(len(raw).to_bytes(8, "little") + _CODEC.compress(raw, asbytes=True))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(packed, pa.binary())], names=["doc_id", "packed"]
+            [batch.column("uid"), batch.column("doc_id"), pa.array(packed, pa.binary()), pa.array(sizes, pa.int64())],
+            names=["uid", "doc_id", "packed", "size"],
         )
 
 
@@ -328,11 +333,11 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             raw = _raw(row["packed"])
             for part in row["open"]:
                 for anchor, at, n in np.frombuffer(part, _OPEN).tolist():
-                    rows.append((anchor - (1 << 63), row["doc_id"], at, raw[at : at + n - 1 + LENGTH]))
+                    rows.append((anchor - (1 << 63), row["uid"], row["doc_id"], at, raw[at : at + n - 1 + LENGTH]))
         if rows:
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+            kinds = (*[pa.int64()] * 4, pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["anchor", "doc_id", "at", "bytes"]
+                [pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["anchor", "uid", "doc_id", "at", "bytes"]
             )
 
 
@@ -343,29 +348,29 @@ def _matcher(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     size = 0
 
     def scan() -> Iterator[pa.RecordBatch]:
-        raw = np.frombuffer(b"".join(x[2] for x in held), np.uint8)
-        lengths = np.array([len(x[2]) for x in held])
+        raw = np.frombuffer(b"".join(x[3] for x in held), np.uint8)
+        lengths = np.array([len(x[3]) for x in held])
         n = lengths - LENGTH + 1
         first = np.repeat(np.cumsum(lengths) - lengths, n)
         inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         strings = raw[(first + inner)[:, None] + np.arange(LENGTH)].reshape(-1).view(f"S{LENGTH}")
-        docs = np.repeat(np.array([x[0] for x in held], np.int64), n)
-        at = np.repeat(np.array([x[1] for x in held], np.int64), n) + inner
+        uids, docs, at = (np.repeat(np.array([x[i] for x in held], np.int64), n) for i in range(3))
+        at = at + inner
         own = Levels.sorted(strings, docs)  # the suffix array of the batch
         smallest = np.minimum(own[1], levels.scan(own[0]))
         gone = smallest[np.searchsorted(own[0], strings)] < docs
         levels.add(*own)
-        found = list(_spans_of(docs[gone], at[gone], np.ones(int(gone.sum()), np.uint8)))
+        found = list(_spans_of(uids[gone], at[gone], np.ones(int(gone.sum()), np.uint8)))
         if found:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.binary())],
-                names=["doc_id", "spans"],
+                names=["uid", "spans"],
             )
 
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "at", "bytes"))):
+        for row in zip(*(batch.column(c).to_pylist() for c in ("uid", "doc_id", "at", "bytes"))):
             held.append(row)
-            size += len(row[2]) - LENGTH + 1
+            size += len(row[3]) - LENGTH + 1
             if size >= BATCH:
                 yield from scan()
                 held, size = [], 0
@@ -400,42 +405,45 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, spans): packed places of the strings of each document that a smaller one has too."""
-    spark = docs.sparkSession
-    rows = _rows(docs)
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+def repeated_spans(rows: DataFrame) -> DataFrame:
+    """(uid, spans): packed places of the strings of each row of ``_rows`` that a smaller document has too."""
+    spark = rows.sparkSession
+    size = rows.agg(F.sum("size")).first()[0] or 0
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(parts, -(-size // BUCKET_BYTES))
+    packed = rows.select("uid", "doc_id", "packed")
     first = stored(
-        rows.mapInArrow(_dealer(buckets), _DEALT)
+        packed.mapInArrow(_dealer(buckets), _DEALT)
         .repartition(buckets, "bucket")
         .sortWithinPartitions("bucket")
-        .mapInArrow(_settler, "doc_id long, spans binary, open binary"),
+        .mapInArrow(_settler, "uid long, spans binary, open binary"),
         "first-scan",
     )
-    opened = first.where(F.col("open").isNotNull()).groupBy("doc_id").agg(F.collect_list("open").alias("open"))
-    packed = rows.mapInArrow(_squeeze, "doc_id long, packed binary")
+    opened = first.where(F.col("open").isNotNull()).groupBy("uid").agg(F.collect_list("open").alias("open"))
     second = (
-        packed.join(opened, "doc_id")
-        .mapInArrow(_fetch, "anchor long, doc_id long, at long, bytes binary")
+        packed.join(opened, "uid")
+        .mapInArrow(_fetch, "anchor long, uid long, doc_id long, at long, bytes binary")
         .repartition(buckets, "anchor")
         .sortWithinPartitions("doc_id")
-        .mapInArrow(_matcher, "doc_id long, spans binary")
+        .mapInArrow(_matcher, "uid long, spans binary")
     )
-    return first.where(F.col("spans").isNotNull()).select("doc_id", "spans").unionByName(second)
+    return first.where(F.col("spans").isNotNull()).select("uid", "spans").unionByName(second)
 
 
 def _rows(docs: DataFrame) -> DataFrame:
+    """(uid, doc_id, packed, size): every row of the input with a number of its own, stored."""
     ident = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID))
-    return docs.select(ident.alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = docs.select(ident.alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.withColumn("uid", F.monotonically_increasing_id())
+    squeezed = rows.mapInArrow(_squeeze, "uid long, doc_id long, packed binary, size long")
+    return stored(squeezed, "texts")
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256), a row for each document."""
-    spans = repeated_spans(docs).groupBy("doc_id").agg(F.collect_list("spans").alias("spans"))
-    packed = _rows(docs).mapInArrow(_squeeze, "doc_id long, packed binary")
-    out = packed.join(spans, "doc_id", "left").mapInArrow(
+    rows = _rows(docs)
+    spans = repeated_spans(rows).groupBy("uid").agg(F.collect_list("spans").alias("spans"))
+    out = rows.select("uid", "doc_id", "packed").join(spans, "uid", "left").mapInArrow(
         _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )
     return out.withColumn("doc_id", F.when(F.col("doc_id") != _NULL_ID, F.col("doc_id")))

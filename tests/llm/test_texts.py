@@ -75,6 +75,15 @@ def test_repeats_of_shifted_and_periodic_texts(spark):
     assert by_id(found.collect(), *fields) == kept_by_brute_force(rows)
 
 
+def test_rows_without_a_doc_id_keep_their_own_places(spark):
+    line = "a line that stands in every one of these texts and is long enough to count"
+    texts = ["", "x" + line + "1", line + "2 and more", None, "short", "before " + line]
+    rows = [(None, t) for t in texts] + [(5, "five " + line + " 5"), (5, line), (7, "seven " + line)]
+    found = suffix_index.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    fields = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert by_id(found.collect(), *fields) == kept_by_brute_force(rows)
+
+
 def test_levels_merge_geometrically():
     levels, rng = suffix_index.Levels(np.uint64), np.random.default_rng(1)
     least: dict[int, int] = {}
