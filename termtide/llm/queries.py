@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termtide.llm import mixing, neighbours, private
+from termtide.llm import hard_negatives, mixing, neighbours, prefix_trie, private
 from termtide.llm.common import table
 from termtide.llm.fingerprints import fingerprint_neighbours
 from termtide.llm.language import held_out, identify, learn
@@ -17,6 +17,7 @@ from termtide.llm.near_copies import near_copies
 from termtide.llm.neighbours import nearest
 from termtide.llm.packing import pack_documents
 from termtide.llm.sharding import shard
+from termtide.llm.simhash import simhash_copies
 from termtide.llm.suffix_index import remove_repeats
 from termtide.llm.token_files import read_token_files, write_token_files
 
@@ -68,6 +69,18 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_neighbours(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_copies(table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_repeats": op1_suffix_repeats,
     "op2_packing": op2_packing,
@@ -79,6 +92,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_nearest": op8_nearest,
     "op9_token_files": op9_token_files,
     "op10_fingerprints": op10_fingerprints,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_simhash": op12_simhash,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
-ORACLES: dict[str, str] = {"op4_mixing": mixing.ORACLE, "op8_nearest": neighbours.ORACLE}
+ORACLES: dict[str, str] = {
+    "op4_mixing": mixing.ORACLE,
+    "op8_nearest": neighbours.ORACLE,
+    "op11_hard_negatives": hard_negatives.ORACLE,
+    "op13_prefix_trie": prefix_trie.ORACLE,
+}
