@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termtide.functions.tokens import tokenize
+from termtide.operators.phrases import RUN
 from termtide.session import configure
 
 TOPICS = [
@@ -185,3 +186,23 @@ def stems(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_words(spark, sf_dir).select(
         F.col("word").alias("synonym"), F.substring("word", 1, 4).alias("head")
     )
+
+
+def page_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every two words of the pages with one space between, and the same with an underscore."""
+    runs = F.regexp_extract_all(F.lower(F.concat_ws(" ", "url", "html")), F.lit(RUN), F.lit(0))
+    pages = spread(table(spark, sf_dir, "pages")).select(runs.alias("runs"))
+    places = F.filter(
+        F.sequence(F.lit(1), F.greatest(F.size("runs") - 2, F.lit(1))),
+        lambda i: (F.get("runs", i) == " ") & F.get("runs", i + 1).isNotNull(),
+    )
+    pair = F.transform(places, lambda i: F.struct(F.get("runs", i - 1).alias("a"), F.get("runs", i + 1).alias("b")))
+    return pages.select(F.inline(pair)).distinct().select(
+        F.concat_ws(" ", "a", "b").alias("synonym"), F.concat_ws("_", "a", "b").alias("head")
+    )
+
+
+def page_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The distinct tokens of the pages."""
+    text = F.concat_ws(" ", "url", "html")
+    return spread(table(spark, sf_dir, "pages")).select(F.explode(tokenize(text)).alias("word")).distinct()

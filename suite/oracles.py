@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from suite import stem_sql
 from suite.inputs import CONCEPTS, NEWS_REGIONS, PHRASES, STOPWORDS, TOPICS
+
 from termtide.functions.contractions import CONTRACTIONS
 from termtide.functions.tokens import EMOJI, EMOJI_OR_WORD, POST_TOKEN, SPANISH_TOKEN
+from termtide.operators.lemmas import DETACHMENT, IRREGULAR
 
 
 def q(text: str) -> str:
@@ -486,3 +489,79 @@ _STOP = f"token NOT IN ('', '''', ':') AND token NOT IN ({strings([*STOPWORDS, '
 ORACLES["token_map_excl"] = _mapped(
     "token IN ('hein', 'therble', 'thin')", _STOP, _STOP, clean("full_text")
 )
+
+
+# --- phrases, stems and lemmas of any number --------------------------------------
+
+RUNS = r"[\p{L}\p{M}\p{N}_]+|[^\p{L}\p{M}\p{N}_]+"
+
+# Of pairs that overlap in a row, every other one from the first on is the leftmost.
+ORACLES["phrases_large"] = rf"""
+WITH {POSTS},
+page_runs AS (SELECT regexp_extract_all(lower(concat_ws(' ', url, html)), '{RUNS}') AS runs FROM pages),
+pairs AS (
+  SELECT DISTINCT runs[i] AS a, runs[i + 2] AS b
+  FROM (SELECT runs, unnest(range(1, len(runs) - 1)) AS i FROM page_runs) WHERE runs[i + 1] = ' '),
+post_runs AS (SELECT id_str, regexp_extract_all(lower(full_text), '{RUNS}') AS runs FROM posts),
+placed AS (
+  SELECT id_str, i, runs[i] AS run, runs[i + 1] AS gap, runs[i + 2] AS following
+  FROM (SELECT id_str, runs, unnest(range(1, len(runs) + 1)) AS i FROM post_runs)),
+matched AS (
+  SELECT id_str, i FROM placed JOIN pairs ON run = a AND following = b WHERE gap = ' '),
+streaks AS (
+  SELECT id_str, i, i // 2 - row_number() OVER (PARTITION BY id_str ORDER BY i) AS streak FROM matched),
+chosen AS (
+  SELECT id_str, i FROM streaks
+  QUALIFY (row_number() OVER (PARTITION BY id_str, streak ORDER BY i)) % 2 = 1),
+covered AS (SELECT id_str, i, i AS first FROM chosen UNION ALL SELECT id_str, i + d, i FROM chosen, range(1, 3) r(d)),
+shown AS (
+  SELECT p.id_str, p.i,
+         CASE WHEN c.first = p.i THEN p.run || '_' || p.following WHEN c.i IS NOT NULL THEN '' ELSE p.run END AS piece
+  FROM placed p LEFT JOIN covered c ON c.id_str = p.id_str AND c.i = p.i)
+SELECT id_str, string_agg(piece, '' ORDER BY i) AS text FROM shown GROUP BY id_str
+UNION ALL
+SELECT id_str, lower(full_text) FROM posts WHERE coalesce(full_text, '') = ''"""
+
+
+def _words(lang: str, tokens: str) -> str:
+    return f"WITH {POSTS}, words AS (SELECT DISTINCT unnest({tokens}) AS word FROM posts WHERE lang = '{lang}')"
+
+
+ORACLES["stem_en"] = _words("en", post_tokens("full_text")) + ", " + stem_sql.english("words")
+ORACLES["stem_es"] = _words("es", spanish_tokens("full_text")) + ", " + stem_sql.spanish("words")
+ORACLES["stem_posts"] = f"""
+WITH {POSTS},
+listed AS (SELECT id_str, {without(post_tokens(clean("lower(coalesce(full_text, ''))")))} AS t FROM posts),
+words AS (SELECT DISTINCT unnest(t) AS word FROM listed),
+stems AS MATERIALIZED (WITH {stem_sql.english("words")}),
+placed AS (
+  SELECT id_str, i, t[i] AS word FROM (SELECT id_str, t, unnest(range(1, len(t) + 1)) AS i FROM listed)),
+mapped AS (
+  SELECT id_str, list(coalesce(stem, word) ORDER BY i) AS t FROM placed LEFT JOIN stems USING (word) GROUP BY id_str)
+SELECT id_str, {shown("coalesce(m.t, [])")} FROM posts LEFT JOIN mapped m USING (id_str)"""
+
+
+def _lemma_rows(classes: tuple[str, ...]) -> tuple[str, str]:
+    endings = sorted({rule for c in classes for rule in DETACHMENT[c]})
+    forms = sorted({(w, lemma) for c in classes for w, lemma in IRREGULAR[c].items()})
+    return tuple(", ".join(f"({q(a)}, {q(b)})" for a, b in rows) for rows in (endings, forms))
+
+
+_ENDINGS, _FORMS = _lemma_rows(("n", "v", "a"))
+ORACLES["lemmatize_rules"] = f"""
+WITH {POSTS},
+words AS (SELECT DISTINCT unnest({post_tokens("full_text")}) AS word FROM posts),
+known AS (SELECT DISTINCT unnest({post_tokens("concat_ws(' ', url, html)")}) AS lemma FROM pages),
+rules(tail, head) AS (VALUES {_ENDINGS}),
+forms(word, lemma) AS (VALUES {_FORMS}),
+irregular AS (
+  SELECT word, min((length(lemma), lemma))[2] AS lemma FROM words JOIN forms USING (word) GROUP BY word),
+candidates AS (
+  SELECT word, word AS lemma FROM words
+  UNION SELECT word, left(word, length(word) - length(tail)) || head FROM words, rules
+  WHERE ends_with(word, tail) AND length(word) > length(tail)),
+best AS (
+  SELECT word, min((length(lemma), lemma))[2] AS lemma
+  FROM candidates JOIN known USING (lemma) WHERE word NOT IN (SELECT word FROM irregular) GROUP BY word)
+SELECT word, lemma FROM irregular WHERE word <> lemma
+UNION ALL SELECT word, lemma FROM best WHERE word <> lemma"""

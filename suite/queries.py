@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from suite import inputs as src
 from suite.inputs import TOPICS, spread
+from termtide.functions.stems import word_stems
 from termtide.functions.text import (
     clean_text,
     expand_contractions,
@@ -25,6 +26,8 @@ from termtide.functions.tokens import (
 )
 from termtide.operators import filters, joins, normalize, series
 from termtide.operators.cooccurrence import TopicSet, cooccurrence, sort_counts
+from termtide.operators.lemmas import lemma_table
+from termtide.operators.phrases import with_replaced_phrases
 from termtide.operators.saturation import saturating_words
 from termtide.operators.token_map import with_mapped_tokens
 from termtide.plans.job import topic_cooccurrence
@@ -405,6 +408,13 @@ def replace_phrases_q(spark, sf):
     return posts.select("id_str", replace_phrases(F.lower("full_text"), src.PHRASES).alias("text"))
 
 
+@query
+def phrases_large(spark, sf):
+    """Every pair of neighbouring words of the pages is a phrase, looked for by joining."""
+    posts = src.posts(spark, sf).select("id_str", F.lower("full_text").alias("text"))
+    return with_replaced_phrases(posts, src.page_pairs(spark, sf), text="text", max_literal=0)
+
+
 @query
 def url_decode_q(spark, sf):
     escaped = F.col("full_text")
@@ -515,6 +525,37 @@ def token_map_joined(spark, sf):
     return mapped.select("id_str", *_tokens(F.col("tokens")))
 
 
+def _words_of(spark, sf, lang: str) -> DataFrame:
+    posts = src.posts(spark, sf).where(F.col("lang") == lang)
+    return posts.select(F.explode(tokenize("full_text", lang)).alias("word"))
+
+
+@query
+def stem_en(spark, sf):
+    return word_stems(_words_of(spark, sf, "en"), "en")
+
+
+@query
+def stem_es(spark, sf):
+    return word_stems(_words_of(spark, sf, "es"), "es")
+
+
+@query
+def stem_posts(spark, sf):
+    """The chain with stems made of the posts' own words."""
+    options = PreprocessOptions(choices=("lowercase", "stopwords", "stemmed"), stopwords=src.STOPWORDS)
+    tokens = preprocess_tokens(src.posts(spark, sf), options)
+    return tokens.select("id_str", *_tokens(F.col("tokens")))
+
+
+@query
+def lemmatize_rules(spark, sf):
+    """Words of the documents that some rule takes to a word of the pages."""
+    words = src.posts(spark, sf).select(F.explode(tokenize("full_text")).alias("word"))
+    lemmas = lemma_table(words, src.page_words(spark, sf), classes=("n", "v", "a"))
+    return lemmas.select(F.col("synonym").alias("word"), F.col("head").alias("lemma"))
+
+
 @query
 def token_map_excl(spark, sf):
     """Lemmas with exclusions, and the stop words taken out once more afterwards."""

@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from termtide.functions.intervals import interval_label
 from termtide.functions.lookup import literal_array, literal_map
-from termtide.operators.joins import content_key, lookup_join
+from termtide.operators.joins import with_entries
+from termtide.session import numbered_rows
 
 # Topic vocabularies up to this size travel inside the plan, larger ones are joined.
 MAX_LITERAL_WORDS = 20_000
@@ -210,54 +211,33 @@ def _token_rows_from_plan(posts: DataFrame, topics: TopicSet) -> DataFrame:
 def _token_rows_from_table(posts: DataFrame, topics: DataFrame, **bounds) -> DataFrame:
     """The same by joining, for vocabularies of any size.
 
-    A post is taken apart into its distinct words and one row that carries it whole.  Words meet
-    the vocabulary, those that are in it go back to their post, and the others end there.  Equal posts of
-    one interval have one key and are counted before they are put together.
+    Posts are stored once.  Their distinct words meet the vocabulary with the number of the post alone, those
+    that are in it go back to their post, and the others end there.
     """
-    keyed = posts.withColumn("_key", content_key(posts, "_label", "_tokens"))
-    kind = posts.select(F.struct("_label", "_tokens").alias("p")).schema["p"].dataType
-    whole = F.struct(
-        F.concat(F.lit("\x00"), F.to_json(F.struct("_key"))).alias("word"),
-        F.struct("_label", "_tokens").alias("post"),
-    )
-    rows = keyed.select(
-        "_key",
-        F.inline(
-            F.concat(
-                F.array(whole),
-                F.transform(
-                    F.array_distinct(F.coalesce("_tokens", F.array().cast("array<string>"))),
-                    lambda w: F.struct(w.alias("word"), F.lit(None).cast(kind).alias("post")),
-                ),
-            )
-        ),
-    )
     first = F.min(F.struct("idx", "topic")).alias("_first")
     vocabulary = (
         topics.groupBy("word")
         .agg(first)
-        .select("word", "_first.topic", F.struct("_first.idx", "_first.topic", "word").alias("idx"))
+        .select(
+            F.struct("_first.idx", "_first.topic", "word").alias("idx"),
+            F.col("_first.topic").alias("run"),
+            F.col("_first.topic").alias("topic"),
+            "word",
+        )
     )
-    entry = F.struct("idx", F.col("topic").alias("run"), "topic", "word")
+    rows = numbered_rows(posts.where(F.size("_tokens") > 0), "posts")
     matched = (
-        lookup_join(rows, vocabulary, ["word"], "left", **bounds)
-        .where(F.col("post").isNotNull() | F.col("topic").isNotNull())
-        .groupBy("_key")
-        .agg(
-            F.first("post", ignorenulls=True).alias("_post"),
-            F.count("post").alias("_posts"),
-            F.collect_set(F.when(F.col("topic").isNotNull(), entry)).alias("_found"),
-        )
-        .where(F.size("_found") > 0)
-        .select("_post.*", "_posts", F.array_sort("_found").alias("_entries"))
+        with_entries(rows, F.col("_tokens"), vocabulary, "word", "_found", **bounds)
+        .where(F.col("_found").isNotNull())
+        .select("_label", "_tokens", F.array_sort("_found").alias("_entries"))
         .withColumn("_hits", _topic_hits(F.col("_entries"), runs_are_whole=False))
     )
     places = F.map_from_entries(F.transform("_entries", lambda e: F.struct(e["word"], e["idx"])))
     counted = with_word_counts(matched.withColumn("_places", places), "_tokens", "_bag")
     bag = F.explode(F.when(F.size("_hits") > 0, F.col("_bag"))).alias("_token")
-    return counted.select("_label", "_posts", "_hits", "_places", bag).select(
+    return counted.select("_label", "_hits", "_places", bag).select(
         "_label",
-        (F.col("_posts") * F.col("_token.n")).alias("_copies"),
+        F.col("_token.n").alias("_copies"),
         "_hits",
         F.col("_token.word").alias("_word"),
         F.col("_places")[F.col("_token.word")].alias("_idx"),

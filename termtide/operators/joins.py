@@ -6,11 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 MAX_BROADCAST_ROWS = 500_000
 MAX_BROADCAST_BYTES = 64 << 20
 SALTS = 32
+# A key is dealt out over the salts from this share of the facts on.
+HEAVY_SHARE = 0.005
 
 
 def fits_broadcast(
@@ -30,6 +31,17 @@ def fits_broadcast(
     return rows <= max_rows and octets <= max_bytes
 
 
+def heavy_keys(facts: DataFrame, on: Sequence[str], support: float = HEAVY_SHARE) -> list:
+    """Every key that holds at least ``support`` of the facts, and perhaps some that hold less.
+
+    One pass with a frequent-items sketch of at most ``1 / support`` counters in each task; as many keys come
+    back at most.
+    """
+    key = F.struct(*on)
+    items = facts.select(F.to_json(key).alias("key")).stat.freqItems(["key"], support).first()[0]
+    return [k for k in items if k is not None]
+
+
 def lookup_join(
     facts: DataFrame,
     side: DataFrame,
@@ -42,34 +54,39 @@ def lookup_join(
 ) -> DataFrame:
     """Equi-join facts to a side table.
 
-    A side table of proven size is broadcast and the facts do not move.  A larger
-    one is shuffled, with every row repeated once per salt and the facts dealt out
-    over the salts, so a key that holds a third of the facts is spread over many
-    tasks.  ``how`` is one of inner, left, left_semi, left_anti.
+    A side table of proven size is broadcast and the facts do not move.  A larger one is shuffled.  Keys
+    that hold a large share of the facts are found in a pass over the key columns; facts of such a key, or
+    without a key, are dealt out over the salts, and the side's rows of these keys alone are repeated once per
+    salt.  All others join plainly.  ``how`` is one of inner, left, left_semi, left_anti.
     """
     on = list(on)
     if fits_broadcast(side, max_rows, max_bytes):
         return facts.join(F.broadcast(side), on, how)
+    heavy = heavy_keys(facts, on)
+    is_heavy = F.to_json(F.struct(*on)).isin(heavy) if heavy else F.lit(False)
+    missing = F.coalesce(*(F.when(F.col(c).isNull(), True) for c in on), F.lit(False))
     # The number of the partition is the same however often a task is retried.
-    dealt = facts.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-    repeated = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return dealt.join(repeated, [*on, "_salt"], how).drop("_salt")
+    dealt = F.when(is_heavy | missing, F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(0)
+    copies = F.when(is_heavy, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    repeated = side.withColumn("_salt", F.explode(copies)).hint("merge")
+    return facts.withColumn("_salt", dealt).join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
-def content_key(df: DataFrame, *columns: str) -> Column:
-    """A key of 128 bits that rows of equal content share."""
-    names = [f"`{c}`" for c in columns]
-    if any(_holds_map(df.schema[c].dataType) for c in columns):
-        return F.unhex(F.sha2(F.to_json(F.struct(*names), {"ignoreNullFields": "false"}), 256))
-    return F.struct(F.xxhash64(*names).alias("a"), F.xxhash64(F.lit(1), *names).alias("b"))
-
+def with_entries(
+    rows: DataFrame, keys: Column, side: DataFrame, key: str, output: str, number: str = "_row", **bounds
+) -> DataFrame:
+    """Stored rows with the entries of a side table for the keys of each row, as an array of structs.
 
-def _holds_map(kind: DataType) -> bool:
-    if isinstance(kind, StructType):
-        return any(_holds_map(f.dataType) for f in kind.fields)
-    if isinstance(kind, ArrayType):
-        return _holds_map(kind.elementType)
-    return isinstance(kind, (MapType, VariantType))
+    Only (row number, key) meets the side table, only what it holds goes back, and the rows themselves
+    move once, at the end.  ``rows`` have a number of their own and are read more than once.
+    """
+    asked = rows.select(number, F.explode(F.array_distinct(keys)).alias(key))
+    found = (
+        lookup_join(asked, side, [key], "inner", **bounds)
+        .groupBy(number)
+        .agg(F.collect_list(F.struct(*side.columns)).alias(output))
+    )
+    return rows.join(found, number, "left")
 
 
 def join_source_metadata(articles: DataFrame, metadata: DataFrame, **bounds) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termtide.functions.lookup import MAX_LITERAL_ENTRIES, literal_map
-from termtide.operators.joins import content_key, lookup_join
+from termtide.operators.joins import with_entries
+from termtide.session import numbered_rows
 from termtide.sources.lists import bounded_dict
 
 # Words that lemmatising leaves alone.
@@ -38,8 +39,8 @@ def with_mapped_tokens(
     """Map the tokens of every row through a dictionary table of any size.
 
     Up to ``max_literal`` entries the dictionary is a plan constant and nothing is
-    shuffled.  Beyond that the token lists are taken apart, joined and put together
-    again, once per distinct list.
+    shuffled.  Beyond that the rows are stored once, their distinct tokens meet the
+    dictionary by row number, and what is found is put in place within the row.
     """
     if not isinstance(mapping, DataFrame):
         return df.withColumn(tokens, map_tokens(tokens, mapping, exclude))
@@ -55,48 +56,13 @@ def with_mapped_tokens(
     if entries is not None:
         return df.withColumn(tokens, map_tokens(tokens, entries))
 
-    # A row is taken apart into its distinct tokens and one that carries it whole; tokens with an
-    # entry go back to their row.  Equal rows are counted before they are put together.
-    names = df.columns
-    everything = F.struct(*(F.col(f"`{c}`") for c in names))
-    kind = df.select(everything.alias("r")).schema["r"].dataType
-    keyed = df.select(content_key(df, *names).alias("_key"), everything.alias("_row"))
-    listed = F.coalesce(F.col("_row")[tokens], F.array().cast("array<string>"))
-    rows = keyed.select(
-        "_key",
-        F.inline(
-            F.concat(
-                F.array(
-                    F.struct(
-                        F.concat(F.lit("\x00"), F.to_json(F.struct("_key"))).alias("_token"),
-                        F.col("_row").alias("_whole"),
-                    )
-                ),
-                F.transform(
-                    F.array_distinct(listed),
-                    lambda t: F.struct(t.alias("_token"), F.lit(None).cast(kind).alias("_whole")),
-                ),
-            )
-        ),
-    )
+    rows = numbered_rows(df, "token-rows")
     side = mapping.select(F.col(key).alias("_token"), F.col(value).alias("_mapped"))
-    pair = F.struct("_token", "_mapped")
-    mapped = (
-        lookup_join(rows, side, ["_token"], "left", **bounds)
-        .where(F.col("_whole").isNotNull() | F.col("_mapped").isNotNull())
-        .groupBy("_key")
-        .agg(
-            F.first("_whole", ignorenulls=True).alias("_whole"),
-            F.count("_whole").alias("_rows"),
-            F.collect_set(F.when(F.col("_mapped").isNotNull(), pair)).alias("_pairs"),
-        )
-        .withColumn("_map", F.map_from_entries("_pairs"))
-        .withColumn(
-            "_out",
-            F.transform(F.col("_whole")[tokens], lambda t: F.coalesce(F.col("_map")[t], t)),
-        )
-    )
-    out = mapped.select("_whole", "_out", F.explode(F.array_repeat(F.lit(1), F.col("_rows").cast("int"))))
-    return out.select(
-        *[(F.col("_out") if c == tokens else F.col("_whole")[c]).alias(c) for c in names]
+    listed = F.coalesce(F.col(tokens), F.array().cast("array<string>"))
+    mapped = with_entries(rows, listed, side, "_token", "_pairs", **bounds).withColumn(
+        "_map", F.map_from_entries("_pairs")
     )
+    out = F.when(
+        F.col("_map").isNull(), F.col(tokens)
+    ).otherwise(F.transform(tokens, lambda t: F.coalesce(F.col("_map")[t], t)))
+    return mapped.withColumn(tokens, out).select(*(f"`{c}`" for c in df.columns))

@@ -9,15 +9,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termtide.functions.lookup import MAX_LITERAL_ENTRIES
+from termtide.functions.stems import STEMMED_LANGUAGES, stem_table
 from termtide.functions.text import (
     clean_text,
     expand_contractions,
     lower_text,
     remove_punctuation,
-    replace_phrases,
 )
 from termtide.functions.tokens import filter_tokens, join_tokens, tokenize
+from termtide.operators.lemmas import lemma_table
+from termtide.operators.phrases import with_replaced_phrases
 from termtide.operators.token_map import LEMMA_EXCLUSIONS, with_mapped_tokens
+from termtide.session import stored
 from termtide.sources.lists import bounded_dict, default_stopwords
 
 CHOICES = (
@@ -41,11 +44,11 @@ class PreprocessOptions:
     """Choices and dictionaries of the chain.
 
     ``stopwords`` of None with the choice ``stopwords`` means the built-in list of
-    the language.  ``synonyms`` and ``lemmas`` replace phrases in the text;
-    ``stems`` and ``lemma_tokens`` replace single tokens and may be tables
-    ``(synonym, head)`` of any size, and so may stop words ``(word)`` be.  Synonyms and
-    lemmas may be tables up to the literal bound; they are collected when the options are
-    made.
+    the language.  ``synonyms`` and ``lemmas`` replace phrases in the text and
+    ``stems`` and ``lemma_tokens`` single tokens; all of them, and stop words ``(word)``, may be
+    lists or tables ``(synonym, head)`` of any size.  The choice ``stemmed`` without ``stems`` makes
+    the stems of the texts' own words by the rules of the language; ``lemmatize`` without ``lemma_tokens``
+    takes them to base forms that ``lemma_vocabulary``, a table ``(word)`` or ``(word, word_class)``, holds.
     """
 
     choices: Sequence[str] = ()
@@ -55,6 +58,7 @@ class PreprocessOptions:
     lemmas: DataFrame | Mapping[str, str] = field(default_factory=dict)
     stems: DataFrame | Mapping[str, str] | None = None
     lemma_tokens: DataFrame | Mapping[str, str] | None = None
+    lemma_vocabulary: DataFrame | None = None
     lemma_exclusions: Sequence[str] = LEMMA_EXCLUSIONS
     drop_contraction_ownership: bool = False
 
@@ -62,39 +66,36 @@ class PreprocessOptions:
         unknown = set(self.choices) - set(CHOICES)
         if unknown:
             raise ValueError(f"unknown preprocessing choices {sorted(unknown)}")
-        for choice, table in (("stemmed", "stems"), ("lemmatize", "lemma_tokens")):
-            if choice in self.choices and getattr(self, table) is None:
-                raise ValueError(f"the choice {choice!r} needs the dictionary {table!r}")
-        for name in ("stopwords", "synonyms", "lemmas"):
-            table = getattr(self, name)
-            if isinstance(table, DataFrame):
-                columns = ("word", "word") if name == "stopwords" else ("synonym", "head")
-                entries = bounded_dict(table, *columns)
-                if entries is None and name == "stopwords":
-                    continue  # taken out by a join
-                if entries is None:
-                    raise ValueError(
-                        f"{name}: more than {MAX_LITERAL_ENTRIES} phrases; "
-                        "give those of a single token as a table of stems or lemmas"
-                    )
-                object.__setattr__(self, name, list(entries) if name == "stopwords" else entries)
+        if "stemmed" in self.choices and self.stems is None and self.lang not in STEMMED_LANGUAGES:
+            raise ValueError(f"the choice 'stemmed' needs the dictionary 'stems' for {self.lang!r}")
+        if "lemmatize" in self.choices and self.lemma_tokens is None and self.lemma_vocabulary is None:
+            raise ValueError("the choice 'lemmatize' needs 'lemma_tokens' or 'lemma_vocabulary'")
+        if isinstance(self.stopwords, DataFrame):
+            entries = bounded_dict(self.stopwords, "word", "word")
+            if entries is not None:  # else taken out by a join
+                object.__setattr__(self, "stopwords", list(entries))
 
     @property
     def stopword_list(self) -> list[str]:
+        """Stop words that are few enough for the plan."""
         if isinstance(self.stopwords, DataFrame):
             return []
         if self.stopwords is not None:
-            return list(self.stopwords)
+            listed = list(self.stopwords)
+            return listed if len(listed) <= MAX_LITERAL_ENTRIES else []
         return default_stopwords(self.lang) if "stopwords" in self.choices else []
 
-    @property
-    def stopword_table(self) -> DataFrame | None:
+    def stopword_table(self, df: DataFrame) -> DataFrame | None:
         """Stop words ``(word)`` that are too many for a list."""
-        return self.stopwords if isinstance(self.stopwords, DataFrame) else None
+        if self.stopwords is None or isinstance(self.stopwords, DataFrame):
+            return self.stopwords
+        if self.stopword_list or not self.stopwords:
+            return None
+        return df.sparkSession.createDataFrame([(w,) for w in set(self.stopwords)], "word string")
 
     @property
     def has_stopwords(self) -> bool:
-        return self.stopword_table is not None or bool(self.stopword_list)
+        return isinstance(self.stopwords, DataFrame) or bool(self.stopwords) or bool(self.stopword_list)
 
     @property
     def is_needed(self) -> bool:
@@ -123,10 +124,9 @@ def preprocess_text(
         df = df.withColumn(output, expand_contractions(output, options.drop_contraction_ownership))
     if options.synonyms:
         # The text is in lower case by now, so the keys have to be as well.
-        synonyms = {k.lower(): v for k, v in options.synonyms.items()}
-        df = df.withColumn(output, replace_phrases(output, synonyms))
+        df = with_replaced_phrases(df, options.synonyms, text=output, lower=True)
     if options.lemmas:
-        df = df.withColumn(output, replace_phrases(output, options.lemmas))
+        df = with_replaced_phrases(df, options.lemmas, text=output)
     if "punctuation" in choices:
         df = df.withColumn(output, remove_punctuation(output))
     return df
@@ -148,20 +148,33 @@ def preprocess_tokens(
     if stopwords or any(switches.values()):
         kept = filter_tokens(tokens, stopwords, **switches)
         df = df.withColumn(tokens, F.when(F.size(tokens) > 0, kept).otherwise(F.col(tokens)))
-    df = without_listed(df, options.stopword_table, tokens)
+    listed = options.stopword_table(df)
+    df = without_listed(df, listed, tokens)
     if "stemmed" in choices:
-        df = with_mapped_tokens(df, options.stems, tokens=tokens)
+        stems = options.stems
+        if stems is None:
+            df, words = with_own_words(df, tokens)
+            stems = stem_table(words, options.lang)
+        df = with_mapped_tokens(df, stems, tokens=tokens)
     if "lemmatize" in choices:
-        df = with_mapped_tokens(
-            df, options.lemma_tokens, tokens=tokens, exclude=options.lemma_exclusions
-        )
+        lemmas = options.lemma_tokens
+        if lemmas is None:
+            df, words = with_own_words(df, tokens)
+            lemmas = lemma_table(words, options.lemma_vocabulary)
+        df = with_mapped_tokens(df, lemmas, tokens=tokens, exclude=options.lemma_exclusions)
         if "stopwords" in choices:
             # A lemma may be a stop word although the token was none.
             df = df.withColumn(tokens, filter_tokens(tokens, stopwords, **switches))
-            df = without_listed(df, options.stopword_table, tokens)
+            df = without_listed(df, listed, tokens)
     return df
 
 
+def with_own_words(df: DataFrame, tokens: str = "tokens") -> tuple[DataFrame, DataFrame]:
+    """The rows stored once, and their distinct tokens as a table ``(word)``."""
+    rows = stored(df, "tokenized")
+    return rows, rows.select(F.explode(tokens).alias("word")).distinct()
+
+
 def without_listed(df: DataFrame, words: DataFrame | None, tokens: str = "tokens", **bounds) -> DataFrame:
     """Rows without the tokens of a table ``(word)`` of any size, and without empty ones."""
     if words is None:

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Dates and times are those of UTC wherever the cluster stands.
 SETTINGS = {
@@ -46,3 +47,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing else uses."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows of ``df`` as a table in the shared folder: read back, never computed again."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    # Parquet has no column without a type.
+    untyped = [c for c, kind in df.dtypes if kind == "void"]
+    df.drop(*untyped).write.parquet(path)
+    found = spark.read.schema(df.drop(*untyped).schema).parquet(path)
+    return found.withColumns({c: F.lit(None) for c in untyped}).select(*(f"`{c}`" for c in df.columns))
+
+
+def numbered_rows(df: DataFrame, name: str, number: str = "_row") -> DataFrame:
+    """``df`` stored once, every row with a number of its own."""
+    return stored(df.withColumn(number, F.monotonically_increasing_id()), name)
