@@ -30,6 +30,9 @@ MAX_LITERAL_WORDS = 20_000
 # every post; from here on every token is looked up by hash instead.
 _LOOK_UP_FROM = 64
 
+# Sums that stand side by side where there are many topics.
+_COLUMNS = 64
+
 
 @dataclass(frozen=True)
 class TopicSet:
@@ -178,34 +181,85 @@ def _token_rows_from_plan(posts: DataFrame, topics: TopicSet) -> DataFrame:
         _ENTRY,
     )
     place = literal_map({w: i for i, w in enumerate(topics.words)}, "bigint")
-    if len(topics) < _LOOK_UP_FROM:
-        found = F.array_intersect("_tokens", literal_array(topics.words))
-    else:
-        found = F.filter(F.array_distinct("_tokens"), lambda t: place(t).isNotNull())
     matched = (
-        posts.withColumn("_found", found)
+        posts.withColumn("_found", F.array_intersect("_tokens", literal_array(topics.words)))
         .withColumn("_entries", F.array_sort(F.transform("_found", entry)))
         .withColumn("_hits", _topic_hits(F.col("_entries"), runs_are_whole=True))
     )
-    if len(topics) < _LOOK_UP_FROM:
-        return matched.select(
-            "_label",
-            F.lit(1).alias("_copies"),
-            "_hits",
-            F.explode(F.when(F.size("_hits") > 0, F.col("_tokens"))).alias("_word"),
-        ).withColumn("_idx", place(F.col("_word")))
-    # Many topics match a post, so its words are counted before they meet the topics.
-    counted = with_word_counts(
-        matched.withColumn("_tokens", F.when(F.size("_hits") > 0, F.col("_tokens"))), "_tokens", "_bag"
-    )
-    bag = F.explode(F.when(F.size("_hits") > 0, F.col("_bag"))).alias("_token")
-    return counted.select("_label", "_hits", bag).select(
+    return matched.select(
         "_label",
-        F.col("_token.n").alias("_copies"),
+        F.lit(1).alias("_copies"),
         "_hits",
-        F.col("_token.word").alias("_word"),
-        place(F.col("_token.word")).alias("_idx"),
+        F.explode(F.when(F.size("_hits") > 0, F.col("_tokens"))).alias("_word"),
+    ).withColumn("_idx", place(F.col("_word")))
+
+
+def _pivoted_counts(
+    posts: DataFrame, topics: TopicSet, labels: list[Column], word_length: int, least: int
+) -> DataFrame:
+    """``(label, topic number, word, count)`` above ``least`` for many topics in the plan.
+
+    With many topics a word of a post meets most of them, and a row for each would be the whole cost.  So runs of
+    topic words stand side by side, ``_COLUMNS`` in a row, and each has a sum of its own; only what
+    is above the limit becomes rows again.
+
+    The matched words of a post are ranked in listing order.  A run has its words at ``start`` and the ``n`` - 1
+    places after it, and a word that comes after ``rank`` matched words has as weight how many of these are the run's.
+    """
+    numbers = {name: n for n, name in enumerate(topics.names)}
+    runs = [(topic, list(words)) for topic, words in groupby(topics.entries, key=lambda e: e[0])]
+    places = ((run, word) for run, (_, words) in enumerate(runs) for _, word in words)
+    entry = literal_map(
+        {word: {"idx": idx, "run": run, "topic": 0, "word": word} for idx, (run, word) in enumerate(places)}, _ENTRY
+    )
+    group = lambda run: F.floor(run / _COLUMNS).cast("int")
+    size = F.size("_runs")
+
+    def beside(g: Column) -> Column:
+        at = F.transform(F.sequence(F.lit(0), F.lit(_COLUMNS - 1)), lambda j: F.array_position("_runs", g * _COLUMNS + j))
+        last = F.transform(F.sequence(F.lit(0), F.lit(_COLUMNS - 1)), lambda j: F.array_position("_back", g * _COLUMNS + j))
+        n = F.zip_with(at, last, lambda a, b: F.when(a > 0, size - a - b + 2).otherwise(0).cast("int"))
+        return F.struct(g.alias("group"), F.transform(at, lambda a: (a - 1).cast("int")).alias("start"), n.alias("n"))
+
+    found = F.array_sort(F.array_compact(F.transform(F.array_distinct("_tokens"), entry)))
+    matched = (
+        posts.withColumn("_entries", found)
+        .withColumn("_runs", F.transform("_entries", lambda e: e["run"]))
+        .withColumn("_words", F.transform("_entries", lambda e: e["word"]))
+        .withColumn("_back", F.reverse("_runs"))
+        .withColumn("_group", F.array_distinct(F.transform("_runs", group)))
+        .withColumn("_tokens", F.when(size > 0, F.filter("_tokens", lambda t: F.length(t) > word_length)))
+    )
+    # A column that is used once would be put inside the lambda that uses it, so each is used twice.
+    bag = with_word_counts(matched, "_tokens", "_bag").withColumn(
+        "_beside", F.when(F.col("_back").isNotNull(), F.transform("_group", beside))
+    )
+
+    def ranked(t: Column) -> Column:
+        place = F.array_position("_words", t["word"])
+        return F.struct(t["word"], t["n"], F.when(place > 0, place - 1).otherwise(size).cast("int").alias("rank"))
+
+    rows = (
+        bag.withColumn("_bag", F.when(F.col("_words").isNotNull(), F.transform("_bag", ranked)))
+        .select(*labels, "_beside", F.inline(F.when(F.size("_beside") > 0, F.col("_bag"))))
+        .select(*labels, "word", F.col("n").alias("_copies"), "rank", F.inline(F.when(F.col("rank") >= 0, F.col("_beside"))))
+    )
+    weight = lambda j: F.greatest(
+        F.lit(0), F.least(F.col("rank") - F.get("start", F.lit(j)), F.get("n", F.lit(j)))
+    )
+    keys = [c for c in ("_label",) if labels]
+    sums = rows.groupBy(*keys, "group", "word").agg(
+        *(F.sum((F.col("_copies") * weight(j)).cast("long")).alias(f"_{j}") for j in range(_COLUMNS))
     )
+    apart = sums.select(
+        *keys, "word", "group", F.posexplode(F.array(*(F.col(f"_{j}") for j in range(_COLUMNS)))).alias("_j", "count")
+    )
+    topic_of = literal_array([numbers[topic] for topic, _ in runs], "int")
+    topic = F.get(topic_of, F.col("group") * _COLUMNS + F.col("_j")).alias("topic")
+    counts = apart.where(F.col("count") > 0).select(*keys, topic, "word", "count")
+    if len(runs) > len(numbers):  # a topic whose words are not listed together
+        counts = counts.groupBy(*keys, "topic", "word").agg(F.sum("count").alias("count"))
+    return counts.where(F.col("count") > least)
 
 
 def _token_rows_from_table(posts: DataFrame, topics: DataFrame, **bounds) -> DataFrame:
@@ -225,7 +279,7 @@ def _token_rows_from_table(posts: DataFrame, topics: DataFrame, **bounds) -> Dat
             "word",
         )
     )
-    rows = numbered_rows(posts.where(F.size("_tokens") > 0), "posts")
+    rows = numbered_rows(posts, "posts")
     matched = (
         with_entries(rows, F.col("_tokens"), vocabulary, "word", "_found", **bounds)
         .where(F.col("_found").isNotNull())
@@ -233,14 +287,9 @@ def _token_rows_from_table(posts: DataFrame, topics: DataFrame, **bounds) -> Dat
         .withColumn("_hits", _topic_hits(F.col("_entries"), runs_are_whole=False))
     )
     places = F.map_from_entries(F.transform("_entries", lambda e: F.struct(e["word"], e["idx"])))
-    counted = with_word_counts(matched.withColumn("_places", places), "_tokens", "_bag")
-    bag = F.explode(F.when(F.size("_hits") > 0, F.col("_bag"))).alias("_token")
-    return counted.select("_label", "_hits", "_places", bag).select(
-        "_label",
-        F.col("_token.n").alias("_copies"),
-        "_hits",
-        F.col("_token.word").alias("_word"),
-        F.col("_places")[F.col("_token.word")].alias("_idx"),
+    word = F.explode(F.when(F.size("_hits") > 0, F.col("_tokens"))).alias("_word")
+    return matched.withColumn("_places", places).select("_label", "_hits", "_places", word).select(
+        "_label", F.lit(1).alias("_copies"), "_hits", "_word", F.col("_places")[F.col("_word")].alias("_idx")
     )
 
 
@@ -276,6 +325,13 @@ def cooccurrence(
             spark = posts.sparkSession
             topics = spark.createDataFrame(entries, "topic string, word string, idx long")
             listed = None
+    # One label for all rows need not be part of the key.
+    labels = [] if interval == "overall" else [F.col("_label").alias(label_name)]
+    if listed is not None and len(listed) >= _LOOK_UP_FROM:
+        key = [F.col("_label")] if labels else []
+        counts = _pivoted_counts(prepared, listed, key, word_length_filter, max(count_filter, 0))
+        name = F.get(literal_array(listed.names), F.col("topic")).alias("topic")
+        return counts.select(*(labels or [label.alias(label_name)]), name, "word", "count")
     if listed is not None:
         rows = _token_rows_from_plan(prepared, listed)
     else:
@@ -287,8 +343,6 @@ def cooccurrence(
         .when(idx < hit["first"], F.lit(0))
         .otherwise(hit["own"][word])
     )
-    # One label for all rows need not be part of the key.
-    labels = [] if interval == "overall" else [F.col("_label").alias(label_name)]
     counts = (
         rows.withColumn(
             "_hit", F.explode(F.when(F.length(word) > word_length_filter, F.col("_hits")))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,8 +12,10 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 500_000
 MAX_BROADCAST_BYTES = 64 << 20
 SALTS = 32
-# A key is dealt out over the salts from this share of the facts on.
-HEAVY_SHARE = 0.005
+# A key is dealt out over the salts if it holds more facts than this and is one of the largest.
+HEAVY_ROWS = 100_000
+MAX_HEAVY = 200
+SMALL_BYTES = 64 << 20
 
 
 def fits_broadcast(
@@ -21,6 +25,8 @@ def fits_broadcast(
 
     Reads at most ``max_rows + 1`` rows and brings back two numbers.
     """
+    if max_rows <= 0:
+        return False
     size = F.octet_length(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}))
     rows, octets = (
         df.limit(max_rows + 1)
@@ -31,15 +37,17 @@ def fits_broadcast(
     return rows <= max_rows and octets <= max_bytes
 
 
-def heavy_keys(facts: DataFrame, on: Sequence[str], support: float = HEAVY_SHARE) -> list:
-    """Every key that holds at least ``support`` of the facts, and perhaps some that hold less.
+def heavy_keys(facts: DataFrame, on: Sequence[str]) -> list[tuple]:
+    """The keys that hold the most facts, if these are more than ``HEAVY_ROWS``.
 
-    One pass with a frequent-items sketch of at most ``1 / support`` counters in each task; as many keys come
-    back at most.
+    Facts are counted by key, before the shuffle already, and at most ``MAX_HEAVY`` keys come back; one
+    that is left out holds less than one in ``MAX_HEAVY`` of the facts.  Facts that any one task can hold
+    are not counted.
     """
-    key = F.struct(*on)
-    items = facts.select(F.to_json(key).alias("key")).stat.freqItems(["key"], support).first()[0]
-    return [k for k in items if k is not None]
+    if facts._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < SMALL_BYTES:
+        return []
+    counts = facts.groupBy(*on).agg(F.count("*").alias("_n")).where(F.col("_n") > HEAVY_ROWS)
+    return [tuple(r)[:-1] for r in counts.orderBy(F.desc("_n")).limit(MAX_HEAVY).collect()]
 
 
 def lookup_join(
@@ -62,8 +70,9 @@ def lookup_join(
     on = list(on)
     if fits_broadcast(side, max_rows, max_bytes):
         return facts.join(F.broadcast(side), on, how)
-    heavy = heavy_keys(facts, on)
-    is_heavy = F.to_json(F.struct(*on)).isin(heavy) if heavy else F.lit(False)
+    heavy = [k for k in heavy_keys(facts, on) if None not in k]
+    tests = [reduce(and_, (F.col(c) == v for c, v in zip(on, key))) for key in heavy]
+    is_heavy = F.coalesce(reduce(or_, tests, F.lit(False)), F.lit(False))
     missing = F.coalesce(*(F.when(F.col(c).isNull(), True) for c in on), F.lit(False))
     # The number of the partition is the same however often a task is retried.
     dealt = F.when(is_heavy | missing, F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(0)

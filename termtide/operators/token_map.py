@@ -15,6 +15,9 @@ from termtide.sources.lists import bounded_dict
 # Words that lemmatising leaves alone.
 LEMMA_EXCLUSIONS = ("pence", "chose")
 
+# Maps that the dictionary entries of one row are dealt into.
+_BUCKETS = 64
+
 
 def map_tokens(
     tokens: Column | str, mapping: Mapping[str, str], exclude: Sequence[str] = ()
@@ -59,10 +62,29 @@ def with_mapped_tokens(
     rows = numbered_rows(df, "token-rows")
     side = mapping.select(F.col(key).alias("_token"), F.col(value).alias("_mapped"))
     listed = F.coalesce(F.col(tokens), F.array().cast("array<string>"))
-    mapped = with_entries(rows, listed, side, "_token", "_pairs", **bounds).withColumn(
-        "_map", F.map_from_entries("_pairs")
+    mapped = with_entries(rows, listed, side, "_token", "_pairs", **bounds)
+    return _looked_up(mapped, tokens).select(*(f"`{c}`" for c in df.columns))
+
+
+def _looked_up(df: DataFrame, tokens: str) -> DataFrame:
+    """Tokens replaced through the pairs of their row.
+
+    A map is searched from end to end, so the pairs of a row are dealt into some small ones.  Every column here is
+    used twice by the next one: an expression used once would be put inside the lambda and run for each element.
+    """
+    bucket = lambda token: F.pmod(F.hash(token), F.lit(_BUCKETS))
+    pair = lambda p: F.struct(bucket(p["_token"]).alias("bucket"), p["_token"], p["_mapped"])
+    maps = F.transform(
+        F.sequence(F.lit(0), F.lit(_BUCKETS - 1)),
+        lambda b: F.map_from_entries(
+            F.transform(
+                F.filter("_pairs", lambda p: p["bucket"] == b), lambda p: F.struct(p["_token"], p["_mapped"])
+            )
+        ),
+    )
+    mapped = F.transform(tokens, lambda t: F.coalesce(F.get("_maps", bucket(t))[t], t))
+    return (
+        df.withColumn("_pairs", F.transform("_pairs", pair))
+        .withColumn("_maps", F.when(F.col("_pairs").isNotNull(), maps))
+        .withColumn(tokens, F.when(F.col("_maps").isNull(), F.col(tokens)).otherwise(mapped))
     )
-    out = F.when(
-        F.col("_map").isNull(), F.col(tokens)
-    ).otherwise(F.transform(tokens, lambda t: F.coalesce(F.col("_map")[t], t)))
-    return mapped.withColumn(tokens, out).select(*(f"`{c}`" for c in df.columns))
