@@ -9,7 +9,8 @@ bytes in ``BINS`` equal cells of the node's range, twice, the second time within
 holds it: sums per node and cell are all that moves.
 
 Rows of equal text are one point and stay together as long as they are less than
-1/``TOGETHER`` of a shard; a larger group is dealt out by document.  Law ``bytes``: the sizes
+1/``TOGETHER`` of a shard; a larger group is dealt out row by row, by a number that every row gets
+when it is stored, so rows without an id, or of one id, are dealt like any other.  Law ``bytes``: the sizes
 of the shards are near equal.
 
 Null text has size 8 (no bytes) and the crc32 of empty text; null source and language
@@ -40,6 +41,7 @@ def _place(text: Column) -> Column:
 
 def _points(docs: DataFrame, shards: int) -> DataFrame:
     rows = docs.select(
+        F.monotonically_increasing_id().alias("number"),
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("long").alias("size"),
         F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
@@ -55,9 +57,10 @@ def _points(docs: DataFrame, shards: int) -> DataFrame:
         .agg(F.sum("size").alias("bytes"), *(F.min(f"x{d}").alias(f"g{d}") for d in range(3)))
         .withColumn("apart", F.col("bytes") > most)
     )
-    apart = F.xxhash64("group", "doc_id")
+    apart = F.xxhash64("group", "number")
     unit = F.when(F.col("apart"), apart).otherwise(F.col("group"))
     rows = rows.join(large, "group").select(
+        "number",
         "doc_id",
         "size",
         "text_crc32",
@@ -171,14 +174,14 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 def _slots(rows: DataFrame, n: int) -> DataFrame:
     """A gapless place in each shard: the rows of the ranges before, and the place within the range."""
     ranges = max(1, -(-n // ROWS_PER_RANGE))
-    rows = rows.withColumn("range", F.pmod(F.xxhash64("doc_id", "unit"), F.lit(ranges)))
+    rows = rows.withColumn("range", F.pmod(F.xxhash64("number"), F.lit(ranges)))
     earlier = Window.partitionBy("shard").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         rows.groupBy("shard", "range")
         .agg(F.count("*").alias("rows"))
         .withColumn("start", F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
     )
-    inside = Window.partitionBy("shard", "range").orderBy("doc_id", "unit")
+    inside = Window.partitionBy("shard", "range").orderBy("number")
     return rows.withColumn("inside", F.row_number().over(inside) - 1).join(
         starts, ["shard", "range"]
     ).select(

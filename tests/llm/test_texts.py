@@ -387,6 +387,21 @@ def test_shards_are_near_equal(spark):
     assert all(r.size == len(text[r.doc_id]) + 8 and r.text_crc32 == zlib.crc32(text[r.doc_id].encode()) for r in found)
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_shards_of_many_rows_of_one_id(spark, doc_id):
+    """A third of all bytes in equal texts without an id, or of one id, is dealt out like any other."""
+    rows = [(i, "x" * (50 + i * 37 % 400), f"s{i % 3}", "en") for i in range(2000)]
+    rows += [(doc_id, "the same text of all these rows", "s0", "en")] * 6000
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").repartition(6)
+    size, slots = Counter(), defaultdict(list)
+    for r in sharding.shard(docs).collect():
+        size[r.shard] += r.size
+        slots[r.shard].append(r.slot)
+    mean = sum(size.values()) / 24
+    assert sorted(size) == list(range(24)) and all(abs(v - mean) < 0.03 * mean for v in size.values())
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+
+
 def test_shards_of_odd_rows(odd, odd_rows):
     found = sharding.shard(odd).collect()
     want = [(r[0], len((r[1] or "").encode()) + 8, zlib.crc32((r[1] or "").encode())) for r in odd_rows]
