@@ -25,8 +25,6 @@ def fits_broadcast(
 
     Reads at most ``max_rows + 1`` rows and brings back two numbers.
     """
-    if max_rows <= 0:
-        return False
     size = F.octet_length(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}))
     rows, octets = (
         df.limit(max_rows + 1)
@@ -68,7 +66,7 @@ def lookup_join(
     salt.  All others join plainly.  ``how`` is one of inner, left, left_semi, left_anti.
     """
     on = list(on)
-    if fits_broadcast(side, max_rows, max_bytes):
+    if max_rows > 0 and fits_broadcast(side, max_rows, max_bytes):
         return facts.join(F.broadcast(side), on, how)
     heavy = [k for k in heavy_keys(facts, on) if None not in k]
     tests = [reduce(and_, (F.col(c) == v for c, v in zip(on, key))) for key in heavy]

@@ -207,12 +207,12 @@ def test_preprocess_chain(column, spark):
     assert texts(synonyms=table, stopwords=stop) == [
         "cats cannot #run . http://x.y 😀 #tag", "",
     ]
-    for wrong in ("upper", "stemmed", "lemmatize"):
+    for wrong in ("upper", "lemmatize"):
         with pytest.raises(ValueError):
             PreprocessOptions(choices=[wrong])
-    many = spark.range(50_001).select(F.col("id").cast("string").alias("synonym"), F.lit("x").alias("head"))
-    with pytest.raises(ValueError):
-        PreprocessOptions(synonyms=many)
+    many = spark.range(50_001).select(F.concat(F.lit("w"), F.col("id")).alias("synonym"), F.lit("x").alias("head"))
+    posts = spark.createDataFrame([("a w7 and w50001",)], "full_text string")
+    assert preprocess(posts, PreprocessOptions(synonyms=many)).first()["preprocessed_text"] == "a x and w50001"
 
 
 def test_stop_words_of_any_number(spark):
