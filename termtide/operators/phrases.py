@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from termtide.functions.lookup import MAX_LITERAL_ENTRIES, literal_array
 from termtide.functions.text import replace_phrases
 from termtide.operators.joins import lookup_join
-from termtide.session import numbered_rows
+from termtide.session import numbered_rows, stored
 from termtide.sources.lists import bounded_dict
 
 # Word characters and others in turns.  A phrase begins and ends where they change, so it is a
@@ -18,8 +18,9 @@ from termtide.sources.lists import bounded_dict
 RUN = r"(?U)\w+|\W+"
 _WORD_RUN = r"(?U)^\w"
 
-# Bits of the filter that tells most runs of text from phrases before anything moves.
-FILTER_BITS = 1 << 22
+# Bits of the filter that tells most runs of text from phrases before anything moves, and how many of them a phrase sets.
+FILTER_BITS = 1 << 24
+PROBES = 2
 
 
 def phrase_table(phrases: DataFrame | Mapping[str, str], df: DataFrame, lower: bool = False) -> DataFrame:
@@ -35,8 +36,8 @@ def phrase_table(phrases: DataFrame | Mapping[str, str], df: DataFrame, lower: b
     )
 
 
-def _bit(phrase: Column) -> Column:
-    return F.pmod(F.xxhash64(phrase), F.lit(FILTER_BITS))
+def _bit(phrase: Column, probe: int) -> Column:
+    return F.pmod(F.xxhash64(phrase, F.lit(probe)), F.lit(FILTER_BITS))
 
 
 def _mask(bit: Column) -> Column:
@@ -44,11 +45,12 @@ def _mask(bit: Column) -> Column:
 
 
 def _filter(phrases: DataFrame) -> Column:
-    """A bit for every phrase, as a plan constant of ``FILTER_BITS`` bits however many phrases there are."""
-    bit = _bit(F.col("synonym"))
+    """Bits for every phrase, as a plan constant of ``FILTER_BITS`` bits however many phrases there are."""
+    bit = F.explode(F.array(*(_bit(F.col("synonym"), probe) for probe in range(PROBES)))).alias("bit")
     words = (
-        phrases.groupBy(F.floor(bit / 32).cast("int").alias("word"))
-        .agg(F.bit_or(_mask(bit)).alias("bits"))
+        phrases.select(bit)
+        .groupBy(F.floor(F.col("bit") / 32).cast("int").alias("word"))
+        .agg(F.bit_or(_mask(F.col("bit"))).alias("bits"))
         .collect()
     )
     bits = [0] * (FILTER_BITS // 32)
@@ -80,16 +82,22 @@ def with_replaced_phrases(
         return df.withColumn(text, replace_phrases(text, entries))
 
     runs_of = lambda c: F.regexp_extract_all(c, F.lit(RUN), F.lit(0))
+    phrases = stored(phrases, "phrases")
     # As many numbers as phrases have lengths.
     lengths = sorted(r[0] for r in phrases.select(F.size(runs_of(F.col("synonym")))).distinct().collect())
-    rows = numbered_rows(df.withColumn("_runs", runs_of(F.col(text))), "phrase-rows")
+    rows = numbered_rows(df, "phrase-rows")
+    runs = rows.select("_row", runs_of(F.col(text)).alias("_runs"))
     hits = (
-        lookup_join(_candidates(rows, lengths, _filter(phrases)), phrases, ["synonym"], "inner", **bounds)
+        lookup_join(_candidates(runs, lengths, _filter(phrases)), phrases, ["synonym"], "inner", **bounds)
         .groupBy("_row")
         .agg(F.sort_array(F.collect_list(F.struct("at", (-F.col("n")).alias("longest"), "head"))).alias("_hits"))
     )
-    found = rows.join(hits, "_row", "left").withColumn("_chosen", _leftmost(F.col("_hits")))
-    out = F.when(F.col("_hits").isNull(), F.col(text)).otherwise(_sewn("_runs", "_chosen"))
+    found = (
+        rows.join(hits, "_row", "left")
+        .withColumn("_chosen", _leftmost(F.col("_hits")))
+        .withColumn("_runs", F.when(F.col("_chosen").isNotNull(), runs_of(F.col(text))))
+    )
+    out = F.when(F.col("_chosen").isNull(), F.col(text)).otherwise(_sewn("_runs", "_chosen"))
     return found.withColumn(text, out).select(*(f"`{c}`" for c in df.columns))
 
 
@@ -119,10 +127,11 @@ def _candidates(rows: DataFrame, lengths: list[int], bits: Column) -> DataFrame:
             ),
         )
     )
-    bit = _bit(F.col("synonym"))
-    word_of = F.get(bits, F.floor(bit / 32).cast("int"))
-    marked = word_of.bitwiseAND(_mask(bit)) != 0
-    return rows.select("_row", F.inline(sequences)).where(marked)
+    found = rows.select("_row", F.inline(sequences))
+    for probe in range(PROBES):
+        bit = _bit(F.col("synonym"), probe)
+        found = found.where(F.get(bits, F.floor(bit / 32).cast("int")).bitwiseAND(_mask(bit)) != 0)
+    return found
 
 
 def _leftmost(hits: Column) -> Column:
