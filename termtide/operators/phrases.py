@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termtide.functions.lookup import MAX_LITERAL_ENTRIES, literal_array
+from termtide.functions.lookup import MAX_LITERAL_ENTRIES
 from termtide.functions.text import replace_phrases
 from termtide.operators.joins import lookup_join
 from termtide.session import numbered_rows, stored
@@ -44,19 +44,15 @@ def _mask(bit: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 32).cast("int"))
 
 
-def _filter(phrases: DataFrame) -> Column:
-    """Bits for every phrase, as a plan constant of ``FILTER_BITS`` bits however many phrases there are."""
+def _filter(phrases: DataFrame) -> DataFrame:
+    """``(word, bits)``: the bits of all phrases, at most ``FILTER_BITS / 32`` rows however many phrases there are."""
     bit = F.explode(F.array(*(_bit(F.col("synonym"), probe) for probe in range(PROBES)))).alias("bit")
     words = (
         phrases.select(bit)
-        .groupBy(F.floor(F.col("bit") / 32).cast("int").alias("word"))
+        .groupBy(F.floor(F.col("bit") / 32).alias("word"))
         .agg(F.bit_or(_mask(F.col("bit"))).alias("bits"))
-        .collect()
     )
-    bits = [0] * (FILTER_BITS // 32)
-    for word, value in words:
-        bits[word] = value
-    return literal_array(bits, "bigint")
+    return stored(words, "phrase-filter")
 
 
 def with_replaced_phrases(
@@ -101,7 +97,7 @@ def with_replaced_phrases(
     return found.withColumn(text, out).select(*(f"`{c}`" for c in df.columns))
 
 
-def _candidates(rows: DataFrame, lengths: list[int], bits: Column) -> DataFrame:
+def _candidates(rows: DataFrame, lengths: list[int], bits: DataFrame) -> DataFrame:
     """``(_row, at, n, synonym)``: the sequences of runs that may be phrases.
 
     A text that begins with something else than a word has no word boundary there, and neither has its end.
@@ -130,7 +126,12 @@ def _candidates(rows: DataFrame, lengths: list[int], bits: Column) -> DataFrame:
     found = rows.select("_row", F.inline(sequences))
     for probe in range(PROBES):
         bit = _bit(F.col("synonym"), probe)
-        found = found.where(F.get(bits, F.floor(bit / 32).cast("int")).bitwiseAND(_mask(bit)) != 0)
+        found = (
+            found.withColumn("word", F.floor(bit / 32))
+            .join(F.broadcast(bits), "word")
+            .where(F.col("bits").bitwiseAND(_mask(bit)) != 0)
+            .drop("word", "bits")
+        )
     return found
 
 
