@@ -1,16 +1,22 @@
 """Nearest neighbours by inner product over randomly rotated one-bit codes.
 
-Every vector is scaled to length one and turned by a random rotation that is fixed by a seed; the
-signs of its coordinates are packed into bits, and two correction scalars are kept: the
-length, and the alignment of the unit vector with its code.  For a query q and a code o
-the estimate of <q, o> is <q, code> / alignment, and its error is at most
-``EPSILON * sqrt((1 - alignment^2) / alignment^2 / (D - 1))`` but for a small
-probability (0.0013 for ``EPSILON`` 3).  Vectors whose estimate plus error can reach the query's present
-20th are ranked anew, first in single precision with its margin, and the nearest of those
-exactly; all others are passed over.
+Every candidate is scaled to length one and turned by a random rotation that is fixed by a seed; the
+signs of its coordinates are packed into 64-bit words, and two correction scalars are kept: the
+length, and the alignment of the unit vector with its code.  This is done once for each row, before
+the rows are sent anywhere.  A query is turned too and rounded to ``QUERY_BITS`` bits a dimension, one
+bit plane each, so that its inner product with a code is a sum of counts of common bits.
+
+The estimate of the cosine is that product over the alignment ``a``.  Its error is at most ``EPSILON``
+times ``sqrt((1 - a^2) / a^2 / (D - 1) + r^2 / a^2 / D)``, ``r`` the length of what rounding took from
+the query, but for a small probability (0.0013 for ``EPSILON`` 3).  Vectors whose estimate plus error
+cannot reach the query's present 20th are passed over: their components are not looked at.  Of the
+others the product is computed, in single precision with its margin and, where that leaves the matter
+open, exactly.
 
 Candidates are dealt out in blocks, and every block of queries is sent to every block of
-candidates.  A block pair yields at most ``k`` rows for each query, and these are merged by query.
+candidates.  A task holds the queries and a step of candidates, whatever the size of the block, and the
+20th found so far holds for the steps that follow.  A block pair yields at most ``k`` rows for each
+query, and these are merged by query.
 
 Vectors that are null, zero, or hold null or non-finite components take no part, neither as
 query nor as candidate; only vectors of equal length are compared.  Repeated vec_ids are
@@ -29,11 +35,15 @@ from pyspark.sql import functions as F
 
 NEAREST = 20
 EPSILON = 3.0
-QUERY_BLOCK = 2048
+QUERY_BITS = 4
+QUERY_BLOCK = 4096
 CANDIDATE_BLOCK = 8192
-_STEP = 2048
+_CANDIDATES = 2048  # at one step
+_QUERIES = 256
+_GATHERED = 1 << 20  # components at once
 _MARGIN = 1e-5  # more than single precision can be wrong by, for cosines
 _SEED = 20240229
+_NO_ID = np.iinfo(np.int64).max
 
 
 def rotation(dim: int) -> np.ndarray:
@@ -43,132 +53,200 @@ def rotation(dim: int) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
-class Codes:
-    """Packed one-bit codes of vectors with their correction scalars."""
+def unit_of(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors of length one, and the lengths they had."""
+    scale = np.abs(vectors).max(axis=1, keepdims=True)
+    scaled = vectors / scale
+    length = np.linalg.norm(scaled, axis=1, keepdims=True)
+    return scaled / length, (length * scale)[:, 0]
+
 
-    def __init__(self, vectors: np.ndarray) -> None:
-        self.dim = vectors.shape[1]
-        self.scale = np.abs(vectors).max(axis=1, keepdims=True)
-        unit = vectors / self.scale
-        length = np.linalg.norm(unit, axis=1, keepdims=True)
-        turned = (unit / length) @ rotation(self.dim)
-        self.length = (length * self.scale)[:, 0]
-        self.bits = np.packbits(turned > 0, axis=1)
-        self.alignment = np.abs(turned).sum(axis=1) / np.sqrt(self.dim)
+def packed(bits: np.ndarray) -> np.ndarray:
+    """Rows of bits as rows of 64-bit words, filled up with zeros."""
+    filled = np.zeros((len(bits), -(-bits.shape[1] // 64) * 64), bool)
+    filled[:, : bits.shape[1]] = bits
+    return np.packbits(filled, axis=1, bitorder="little").view("<u8")
 
-    def signs(self, low: int, high: int) -> np.ndarray:
-        bits = np.unpackbits(self.bits[low:high], axis=1, count=self.dim)
-        return (bits.astype(np.float32) * 2 - 1) / np.float32(np.sqrt(self.dim))
 
-    def reach(self, turned: np.ndarray, low: int, high: int) -> np.ndarray:
-        """Upper bounds of the cosines of unit queries with the vectors low to high."""
-        a = self.alignment[low:high].astype(np.float32)
-        error = EPSILON * np.sqrt(np.maximum(1 - a * a, 0) / (a * a) / max(self.dim - 1, 1))
-        bound = turned @ self.signs(low, high).T
-        bound /= a
-        bound += error + np.float32(_MARGIN)
-        return bound
+def codes_of(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(words of sign bits, alignment, length) of each vector."""
+    unit, length = unit_of(vectors)
+    turned = unit @ rotation(vectors.shape[1])
+    return packed(turned > 0), np.abs(turned).sum(axis=1) / np.sqrt(vectors.shape[1]), length
 
 
 def exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Inner products of rows in double precision, summed from the first component on."""
     total = np.zeros(len(a))
     for d in range(a.shape[1]):
-        total += a[:, d].astype(np.float64) * b[:, d].astype(np.float64)
+        total += a[:, d] * b[:, d]
     return total
 
 
-def search(
-    query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row of the query, row of the candidate, score) of each query's ``k`` nearest."""
-    codes = Codes(vectors)
-    unit = (vectors / codes.length[:, None]).astype(np.float32)
-    scale = np.abs(queries).max(axis=1, keepdims=True)
-    lengths = (np.linalg.norm(queries / scale, axis=1, keepdims=True) * scale)[:, 0]
-    unit_queries = (queries / lengths[:, None]).astype(np.float32)
-    turned = ((queries / lengths[:, None]) @ rotation(codes.dim)).astype(np.float32)
-    n = len(queries)
-    best = np.full((n, k), -np.inf)
-    held = np.full((n, k), -1, np.int64)
-    rank = np.argsort(np.argsort(ids, kind="stable"), kind="stable")  # ties go to the smaller id
-    for low in range(0, len(ids), _STEP):
-        high = min(low + _STEP, len(ids))
-        length = codes.length[low:high]
-        # The cosine that a vector must have to come among the nearest.
-        needed = (best[:, -1] / lengths)[:, None] / length
-        near = codes.reach(turned, low, high) >= needed - _MARGIN
-        near &= query_ids[:, None] != ids[None, low:high]
-        # Of the vectors within reach, those that single precision leaves among the step's nearest.
-        close = np.where(near, (unit_queries @ unit[low:high].T) * length, -np.inf)
-        if close.shape[1] > k:
-            kth = np.partition(close, -k, axis=1)[:, -k:].min(axis=1, keepdims=True)
-        else:
-            kth = np.full((n, 1), -np.inf)
-        floor = np.maximum(kth, (best[:, -1] / lengths)[:, None]) - _MARGIN * length
-        q, c = np.nonzero(near & (close >= floor))
+class Search:
+    """The nearest found so far of a block of queries; ``ranked`` counts the products that were computed."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int) -> None:
+        n, self.dim = vectors.shape
+        self.ids, self.vectors, self.k = ids, vectors, k
+        unit, self.length = unit_of(vectors)
+        self.unit = unit.astype(np.float32)
+        turned = unit @ rotation(self.dim)
+        self.low = turned.min(axis=1)
+        self.step = (turned.max(axis=1) - self.low) / (2**QUERY_BITS - 1)
+        level = np.rint((turned - self.low[:, None]) / np.where(self.step > 0, self.step, 1)[:, None])
+        rounded = level * self.step[:, None] + self.low[:, None]
+        self.total = rounded.sum(axis=1)
+        self.lost = np.linalg.norm(turned - rounded, axis=1)
+        level = level.astype(np.uint8)
+        self.planes = [packed(level >> j & 1 == 1) for j in range(QUERY_BITS)]
+        self.best = np.full((n, k), -np.inf)
+        self.found = np.full((n, k), _NO_ID)
+        self.held = np.zeros(n, np.int64)
+        self.pairs = self.ranked = 0
+
+    def cosines(self, q: slice, code: np.ndarray, alignment: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Estimates of the cosines of queries and codes, and the largest they may be, by counts of bits."""
+        common = np.zeros((len(self.ids[q]), len(code)), np.uint32)
+        for j, plane in enumerate(self.planes):
+            for w in range(code.shape[1]):
+                both = plane[q, None, w] & code[None, :, w]
+                common += np.bitwise_count(both).astype(np.uint32) << np.uint32(j)
+        ones = np.bitwise_count(code).sum(axis=1)
+        below = self.low[q, None].astype(np.float32) * ones[None, :].astype(np.float32)
+        product = 2 * (common * self.step[q, None].astype(np.float32) + below)
+        product -= self.total[q, None].astype(np.float32)
+        a = alignment.astype(np.float32)
+        estimate = product / (a * np.float32(np.sqrt(self.dim)))
+        a2 = alignment * alignment
+        of_code = np.maximum(1 - a2, 0) / a2 / max(self.dim - 1, 1)
+        error = np.sqrt(of_code[None, :] + self.lost[q, None] ** 2 / (a2 * self.dim)[None, :])
+        return estimate, estimate + (EPSILON * error + _MARGIN).astype(np.float32)
+
+    def rank(self, q: np.ndarray, c: np.ndarray, ids: np.ndarray, vectors: np.ndarray, unit, length) -> None:
+        """Compute the products of pairs and keep each query's nearest."""
+        self.ranked += len(q)
         if not len(q):
-            continue
-        c += low
-        score = exact(queries[q], vectors[c])
-        keep = score >= best[q, -1]
-        q, c, score = q[keep], c[keep], score[keep]
+            return
+        score = np.empty(len(q))
+        open_ = np.ones(len(q), bool)
+        size = max(1, _GATHERED // self.dim)
+        for low in range(0, len(q), size):
+            at = slice(low, low + size)
+            about = np.einsum("ij,ij->i", self.unit[q[at]], unit[c[at]]) + _MARGIN
+            last = self.best[q[at], -1] / self.length[q[at]]
+            open_[at] = about * length[c[at]] >= last
+            left = np.flatnonzero(open_[at]) + low
+            score[left] = exact(self.vectors[q[left]], vectors[c[left]])
+        q, c, score = q[open_], c[open_], score[open_]
         touched = np.unique(q)
-        old = held[touched] >= 0
-        q = np.concatenate((np.repeat(touched, old.sum(axis=1)), q))
-        c = np.concatenate((held[touched][old], c))
-        score = np.concatenate((best[touched][old], score))
-        order = np.lexsort((rank[c], -score, q))
-        q, c, score = q[order], c[order], score[order]
-        first = np.searchsorted(q, q, "left")
-        place = np.arange(len(q)) - first
-        top = place < k
-        best[q[top], place[top]] = score[top]
-        held[q[top], place[top]] = c[top]
-    q, place = np.nonzero(held >= 0)
-    return q, held[q, place], best[q, place]
+        place = np.arange(self.k)
+        old = place[None, :] < self.held[touched, None]
+        q = np.concatenate((np.repeat(touched, self.held[touched]), q))
+        found = np.concatenate((self.found[touched][old], ids[c]))
+        score = np.concatenate((self.best[touched][old], score))
+        order = np.lexsort((found, -score, q))
+        q, found, score = q[order], found[order], score[order]
+        place = np.arange(len(q)) - np.searchsorted(q, q, "left")
+        top = place < self.k
+        self.best[q[top], place[top]] = score[top]
+        self.found[q[top], place[top]] = found[top]
+        self.held[touched] = np.bincount(q[top], minlength=len(self.held))[touched]
+
+    def see(self, ids: np.ndarray, vectors: np.ndarray, code: np.ndarray, alignment: np.ndarray, length: np.ndarray) -> None:
+        """A step of candidates: estimate all, rank those within reach."""
+        unit = (vectors / length[:, None]).astype(np.float32)
+        for first in range(0, len(self.ids), _QUERIES):
+            q = slice(first, first + _QUERIES)
+            estimate, most = self.cosines(q, code, alignment)
+            estimate *= length
+            most *= length
+            other = self.ids[q, None] != ids[None, :]
+            self.pairs += int(other.sum())
+
+            def within() -> np.ndarray:
+                return other & (most >= (self.best[q, -1] / self.length[q])[:, None])
+
+            near = within()
+            if len(ids) > self.k and near.sum() > 2 * self.k * len(near):
+                # The likely ones first: what they reach leaves fewer of the others.
+                estimate[~near] = -np.inf
+                likely = np.argpartition(estimate, -self.k, axis=1)[:, -self.k :]
+                early = np.zeros_like(near)
+                np.put_along_axis(early, likely, True, axis=1)
+                early &= near
+                a, c = np.nonzero(early)
+                self.rank(a + first, c, ids, vectors, unit, length)
+                near = within() & ~early
+            a, c = np.nonzero(near)
+            self.rank(a + first, c, ids, vectors, unit, length)
+
+    def result(self) -> pa.RecordBatch:
+        q, place = np.nonzero(np.arange(self.k)[None, :] < self.held[:, None])
+        found = self.found[q, place]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(self.ids[q]), pa.array(found, mask=found == _NO_ID), pa.array(self.best[q, place])],
+            names=["query_id", "vec_id", "score"],
+        )
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
     values = column.flatten().to_numpy(zero_copy_only=False)
-    return values.reshape(len(column), -1)
+    return values.reshape(len(column), -1).astype(np.float64)
 
 
+_ROW = "dim int, vec_id long, embedding array<double>"
+_CODED = f"{_ROW}, code binary, alignment double, length double"
 _OUT = "query_id long, vec_id long, score double"
 
 
+def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with their codes and correction scalars."""
+    for batch in batches:
+        dims = batch.column("dim").to_numpy()
+        for dim in np.unique(dims):
+            rows = batch.take(pa.array(np.flatnonzero(dims == dim)))
+            code, alignment, length = codes_of(_matrix(rows.column("embedding")))
+            words = pa.array([row.tobytes() for row in code], pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [*rows.columns, words, pa.array(alignment), pa.array(length)],
+                names=[*rows.schema.names, "code", "alignment", "length"],
+            )
+
+
 def _searcher(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by block pair, its queries first."""
-
-        def finish():
-            if parts[True] and parts[False]:
-                found = [[np.concatenate(x) for x in zip(*parts[kind])] for kind in (True, False)]
-                (query_ids, queries), (ids, vectors) = found
-                q, c, score = search(query_ids, queries, ids, vectors, k)
-                missing = ids[c] == np.iinfo(np.int64).max
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(query_ids[q]), pa.array(ids[c], mask=missing), pa.array(score)],
-                    names=["query_id", "vec_id", "score"],
-                )
-
-        at, parts = None, {True: [], False: []}
+        at, search, queries = None, None, []
         for batch in batches:
-            keys = list(zip(*(batch.column(c).to_pylist() for c in ("pair", "is_query"))))
+            pairs, kinds = batch.column("pair").to_pylist(), batch.column("is_query").to_pylist()
             low = 0
-            while low < len(keys):
+            while low < len(pairs):
                 high = low
-                while high < len(keys) and keys[high] == keys[low]:
+                while high < len(pairs) and pairs[high] == pairs[low] and kinds[high] == kinds[low]:
                     high += 1
-                pair, is_query = keys[low]
-                if pair != at:
-                    yield from finish()
-                    at, parts = pair, {True: [], False: []}
+                if pairs[low] != at:
+                    if search is not None:
+                        yield search.result()
+                    at, search, queries = pairs[low], None, []
                 piece = batch.slice(low, high - low)
-                ids = piece.column("vec_id").fill_null(np.iinfo(np.int64).max).to_numpy()
-                parts[is_query].append((ids, _matrix(piece.column("embedding")).astype(np.float64)))
+                ids = piece.column("vec_id").fill_null(_NO_ID).to_numpy()
+                vectors = _matrix(piece.column("embedding"))
+                if kinds[low]:
+                    queries.append((ids, vectors))
+                elif queries or search is not None:
+                    if search is None:
+                        search = Search(*(np.concatenate(x) for x in zip(*queries)), k)
+                        queries = []
+                    code = b"".join(piece.column("code").to_pylist())
+                    code = np.frombuffer(code, "<u8").reshape(len(ids), -1)
+                    scalars = [piece.column(c).to_numpy() for c in ("alignment", "length")]
+                    for i in range(0, len(ids), _CANDIDATES):
+                        step = slice(i, i + _CANDIDATES)
+                        search.see(ids[step], vectors[step], code[step], *(x[step] for x in scalars))
                 low = high
-        yield from finish()
+        if search is not None:
+            yield search.result()
 
     return run
 
@@ -178,30 +256,28 @@ def nearest(embeddings: DataFrame, k: int = NEAREST, every: int = 20) -> DataFra
     whole = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     some = F.exists("embedding", lambda x: x != 0)
     rows = embeddings.where(F.coalesce(some & ~whole, F.lit(False))).select(
+        F.size("embedding").alias("dim"),
         F.col("vec_id").cast("long").alias("vec_id"),
         F.col("embedding").cast("array<double>").alias("embedding"),
-        F.size("embedding").alias("dim"),
-        F.coalesce(F.pmod("vec_id", F.lit(every)) == 0, F.lit(False)).alias("asks"),
     )
-    n, n_queries = embeddings.agg(
-        F.count("*"), F.count(F.when(F.pmod("vec_id", F.lit(every)) == 0, 1))
-    ).first()
+    asks = F.coalesce(F.pmod("vec_id", F.lit(every)) == 0, F.lit(False))
+    n, n_queries = embeddings.agg(F.count("*"), F.count(F.when(asks, 1))).first()
     query_blocks = max(1, -(-n_queries // QUERY_BLOCK))
     blocks = max(1, -(-n // CANDIDATE_BLOCK))
     deal = lambda seed, of: F.pmod(F.xxhash64("vec_id", "embedding", F.lit(seed)), F.lit(of)).cast("int")
     every_block = lambda of: F.explode(F.sequence(F.lit(0), F.lit(of - 1)))
-    candidates = rows.select(
-        "dim", every_block(query_blocks).alias("q"), deal(1, blocks).alias("c"), F.lit(False).alias("is_query"), "vec_id", "embedding"
+    candidates = rows.mapInArrow(encode, _CODED).select(
+        "*", every_block(query_blocks).alias("q"), deal(1, blocks).alias("c"), F.lit(False).alias("is_query")
     )
-    queries = rows.where("asks").select(
-        "dim", deal(2, query_blocks).alias("q"), every_block(blocks).alias("c"), F.lit(True).alias("is_query"), "vec_id", "embedding"
+    queries = rows.where(asks).select(
+        "*", deal(2, query_blocks).alias("q"), every_block(blocks).alias("c"), F.lit(True).alias("is_query")
     )
     pairs = (
-        queries.unionByName(candidates)
+        queries.unionByName(candidates, allowMissingColumns=True)
         .withColumn("pair", F.concat_ws("/", "dim", "q", "c"))
         .repartition("pair")
         .sortWithinPartitions("pair", F.desc("is_query"), "vec_id")
-        .select("pair", "is_query", "vec_id", "embedding")
+        .select("pair", "is_query", "vec_id", "embedding", "code", "alignment", "length")
     )
     found = pairs.mapInArrow(_searcher(k), _OUT)
     nearest_first = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"))
