@@ -8,10 +8,11 @@ bit plane each, so that its inner product with a code is a sum of counts of comm
 
 The estimate of the cosine is that product over the alignment ``a``.  Its error is at most ``EPSILON``
 times ``sqrt((1 - a^2) / a^2 / (D - 1) + r^2 / a^2 / D)``, ``r`` the length of what rounding took from
-the query, but for a small probability (0.0013 for ``EPSILON`` 3).  Vectors whose estimate plus error
-cannot reach the query's present 20th are passed over: their components are not looked at.  Of the
-others the product is computed, in single precision with its margin and, where that leaves the matter
-open, exactly.
+the query, but for a small probability (below 0.000004 for ``EPSILON`` 4.5).  Vectors whose estimate plus error
+cannot reach the query's present 20th are passed over.  Of the others the product is computed, in single
+precision with its margin and, where that leaves the matter open, exactly.  Where few pairs of a step are
+left their vectors are gathered; where the bounds leave many, as between vectors without clusters, one
+product of matrices serves them all.
 
 Candidates are dealt out in blocks, and every block of queries is sent to every block of
 candidates.  A task holds the queries and a step of candidates, whatever the size of the block, and the
@@ -34,12 +35,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 NEAREST = 20
-EPSILON = 3.0
+EPSILON = 4.5
 QUERY_BITS = 4
 QUERY_BLOCK = 4096
 CANDIDATE_BLOCK = 8192
 _CANDIDATES = 2048  # at one step
-_QUERIES = 256
+_QUERIES = 64
+_DENSE = 1 / 32  # of the pairs of a step: a product of matrices costs less than gathering that many
 _GATHERED = 1 << 20  # components at once
 _MARGIN = 1e-5  # more than single precision can be wrong by, for cosines
 _SEED = 20240229
@@ -108,40 +110,37 @@ class Search:
     def cosines(self, q: slice, code: np.ndarray, alignment: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Estimates of the cosines of queries and codes, and the largest they may be, by counts of bits."""
         common = np.zeros((len(self.ids[q]), len(code)), np.uint32)
-        for j, plane in enumerate(self.planes):
+        for plane in reversed(self.planes):  # the highest first, doubled by each that follows
+            common += common
             for w in range(code.shape[1]):
-                both = plane[q, None, w] & code[None, :, w]
-                common += np.bitwise_count(both).astype(np.uint32) << np.uint32(j)
-        ones = np.bitwise_count(code).sum(axis=1)
-        below = self.low[q, None].astype(np.float32) * ones[None, :].astype(np.float32)
-        product = 2 * (common * self.step[q, None].astype(np.float32) + below)
-        product -= self.total[q, None].astype(np.float32)
-        a = alignment.astype(np.float32)
-        estimate = product / (a * np.float32(np.sqrt(self.dim)))
+                common += np.bitwise_count(plane[q, None, w] & code[None, :, w])
+        single = np.float32
+        ones = np.bitwise_count(code).sum(axis=1).astype(single)
+        estimate = common.astype(single)
+        estimate *= self.step[q, None].astype(single)
+        estimate += self.low[q, None].astype(single) * ones
+        estimate -= self.total[q, None].astype(single) / 2
+        estimate *= (2 / (alignment * np.sqrt(self.dim))).astype(single)
         a2 = alignment * alignment
         of_code = np.maximum(1 - a2, 0) / a2 / max(self.dim - 1, 1)
-        error = np.sqrt(of_code[None, :] + self.lost[q, None] ** 2 / (a2 * self.dim)[None, :])
-        return estimate, estimate + (EPSILON * error + _MARGIN).astype(np.float32)
-
-    def rank(self, q: np.ndarray, c: np.ndarray, ids: np.ndarray, vectors: np.ndarray, unit, length) -> None:
-        """Compute the products of pairs and keep each query's nearest."""
-        self.ranked += len(q)
+        error = (EPSILON * self.lost[q, None]).astype(single) ** 2 * (1 / (a2 * self.dim)).astype(single)
+        error += (EPSILON**2 * of_code).astype(single)
+        np.sqrt(error, out=error)
+        error += estimate
+        error += single(_MARGIN)
+        return estimate, error
+
+    def rank(self, q: np.ndarray, c: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> None:
+        """Compute the products of pairs exactly and keep each query's nearest."""
         if not len(q):
             return
         score = np.empty(len(q))
-        open_ = np.ones(len(q), bool)
         size = max(1, _GATHERED // self.dim)
         for low in range(0, len(q), size):
             at = slice(low, low + size)
-            about = np.einsum("ij,ij->i", self.unit[q[at]], unit[c[at]]) + _MARGIN
-            last = self.best[q[at], -1] / self.length[q[at]]
-            open_[at] = about * length[c[at]] >= last
-            left = np.flatnonzero(open_[at]) + low
-            score[left] = exact(self.vectors[q[left]], vectors[c[left]])
-        q, c, score = q[open_], c[open_], score[open_]
+            score[at] = exact(self.vectors[q[at]], vectors[c[at]])
         touched = np.unique(q)
-        place = np.arange(self.k)
-        old = place[None, :] < self.held[touched, None]
+        old = np.arange(self.k)[None, :] < self.held[touched, None]
         q = np.concatenate((np.repeat(touched, self.held[touched]), q))
         found = np.concatenate((self.found[touched][old], ids[c]))
         score = np.concatenate((self.best[touched][old], score))
@@ -153,14 +152,34 @@ class Search:
         self.found[q[top], place[top]] = found[top]
         self.held[touched] = np.bincount(q[top], minlength=len(self.held))[touched]
 
+    def close(self, near: np.ndarray, first: int, unit: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of the pairs within reach, those that single precision leaves in question."""
+        q = slice(first, first + len(near))
+        last = self.best[q, -1] / self.length[q]
+        n = int(near.sum())
+        self.ranked += n
+        if n > _DENSE * near.size:
+            about = self.unit[q] @ unit.T
+            about += np.float32(_MARGIN)
+            a, c = np.nonzero(near & (about * length >= last[:, None]))
+            return a + first, c
+        a, c = np.nonzero(near)
+        open_ = np.zeros(n, bool)
+        size = max(1, _GATHERED // self.dim)
+        for low in range(0, n, size):
+            at = slice(low, low + size)
+            about = np.einsum("ij,ij->i", self.unit[q][a[at]], unit[c[at]]) + _MARGIN
+            open_[at] = about * length[c[at]] >= last[a[at]]
+        return a[open_] + first, c[open_]
+
     def see(self, ids: np.ndarray, vectors: np.ndarray, code: np.ndarray, alignment: np.ndarray, length: np.ndarray) -> None:
         """A step of candidates: estimate all, rank those within reach."""
         unit = (vectors / length[:, None]).astype(np.float32)
         for first in range(0, len(self.ids), _QUERIES):
             q = slice(first, first + _QUERIES)
             estimate, most = self.cosines(q, code, alignment)
-            estimate *= length
-            most *= length
+            estimate = estimate * length
+            most = most * length
             other = self.ids[q, None] != ids[None, :]
             self.pairs += int(other.sum())
 
@@ -176,10 +195,10 @@ class Search:
                 np.put_along_axis(early, likely, True, axis=1)
                 early &= near
                 a, c = np.nonzero(early)
-                self.rank(a + first, c, ids, vectors, unit, length)
+                self.ranked += len(a)
+                self.rank(a + first, c, ids, vectors)
                 near = within() & ~early
-            a, c = np.nonzero(near)
-            self.rank(a + first, c, ids, vectors, unit, length)
+            self.rank(*self.close(near, first, unit, length), ids, vectors)
 
     def result(self) -> pa.RecordBatch:
         q, place = np.nonzero(np.arange(self.k)[None, :] < self.held[:, None])
