@@ -236,6 +236,13 @@ ORACLES: dict[str, str] = {
     "CAST(is_quote_status AS VARCHAR) AS is_quote_status FROM replies",
     "src_text": "SELECT DATE '2020-06-01' AS date, count(*) AS n_lines, "
     "CAST(sum(length(text)) AS BIGINT) AS n_chars FROM conversations WHERE text <> ''",
+    "src_text_period": f"""WITH {POSTS} SELECT CAST(date AS VARCHAR) AS date, count(*) AS n_lines,
+  CAST(sum(length(full_text)) AS BIGINT) AS n_chars
+FROM posts WHERE full_text <> '' AND date BETWEEN DATE '2024-01-20' AND DATE '2024-02-03' GROUP BY date""",
+    "src_unreadable": f"""WITH {POSTS}, read AS (
+  SELECT count(*) AS n_posts, CAST(sum(length(full_text)) AS BIGINT) AS n_chars FROM posts)
+SELECT kind, n_posts, n_chars, 'broken.' || ending AS unreadable, CAST(1 AS BIGINT) AS n_unreadable
+FROM (VALUES ('parquet', 'parquet'), ('json', 'json.gz')) k(kind, ending), read""",
     "map_file_rows": """WITH lines AS (
   SELECT p_partkey, string_split(p_brand || ',' || replace(p_name, ' ', ',,'), ',') AS parts FROM part),
 rows_ AS (SELECT p_partkey, parts[1] AS head, unnest(parts[2:]) AS synonym FROM lines)
@@ -377,6 +384,11 @@ SELECT id_str, array_to_string(toks, ' ') AS preprocessed_text FROM t""",
     'top AS (SELECT floor(CAST(0.10 AS DOUBLE) * max("count")) AS cutoff FROM counted) '
     'SELECT word FROM counted, top WHERE "count" > cutoff GROUP BY word '
     f"HAVING count(DISTINCT topic) >= 0.5 * {len(TOPICS)}",
+    "job_counts": by_interval("weekly"),
+    "job_outputs": f"WITH {POSTS} SELECT 'c' || id_str AS id_str, md5(trim(full_text, ' ')) AS text_md5, "
+    f"trim(array_to_string({JOB_TOKENS}, ' '), ' ') AS preprocessed_text, "
+    "(SELECT count(*) FROM posts) AS n_posts, "
+    "'reddit_comments_CoOccurrence_weekly.csv' AS counts_name FROM posts",
     "run_summary": f"WITH {POSTS} SELECT count(*) AS record_count, min(date) AS first_date, "
     "max(date) AS last_date FROM posts",
     # --- series

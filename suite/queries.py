@@ -30,7 +30,7 @@ from termtide.operators.lemmas import lemma_table
 from termtide.operators.phrases import with_replaced_phrases
 from termtide.operators.saturation import saturating_words
 from termtide.operators.token_map import with_mapped_tokens
-from termtide.plans.job import topic_cooccurrence
+from termtide.plans.job import PostSelection, read_posts, run_job, topic_cooccurrence
 from termtide.plans.preprocess import (
     JOB_CHOICES,
     PreprocessOptions,
@@ -42,7 +42,7 @@ from termtide.plans.preprocess import (
 from termtide.session import scratch_path
 from termtide.sinks import preprocessed_output, record_counts, write_csv, write_json
 from termtide.sources.lists import parse_mapping, parse_topics
-from termtide.sources.posts import read_raw
+from termtide.sources.posts import file_name, read_raw, rows_of_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -139,6 +139,100 @@ def src_text(spark, sf):
     ).groupBy("date").agg(F.count("*").alias("n_lines"), F.sum(F.length("line")).alias("n_chars"))
 
 
+@query
+def src_text_period(spark, sf):
+    """Text files of a period: those of other days are never opened."""
+    path = scratch_path(spark, "radio")
+    lines = src.posts(spark, sf).select(
+        F.concat_ws("-", F.year("date"), F.month("date"), F.day("date")).alias("day"),
+        F.regexp_replace("full_text", r"\s", " ").alias("value"),
+    )
+    lines.repartition("day").write.partitionBy("day").text(path)
+    period = PostSelection(
+        f"{path}/*/*.txt", dataset="radio", start_date="2024-01-20", end_date="2024-02-03"
+    )
+    files = read_posts(spark, period)
+    return files.select(_day_text("date"), F.explode(F.split("full_text", "\n")).alias("line")).where(
+        F.col("line") != ""
+    ).groupBy("date").agg(F.count("*").alias("n_lines"), F.sum(F.length("line")).alias("n_chars"))
+
+
+def _misnamed(spark, rows: DataFrame, folder: str, name: str) -> None:
+    """A text file under the name of another kind."""
+    path = scratch_path(spark, "misnamed")
+    rows.coalesce(1).write.text(path)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    system = hadoop.Path(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    part = system.globStatus(hadoop.Path(f"{path}/part-*"))[0].getPath()
+    system.rename(part, hadoop.Path(f"{folder}/{name}"))
+
+
+@query
+def src_unreadable(spark, sf):
+    """Posts in two formats, each with a file that cannot be read: the others are read, that one is named."""
+    rows = src.posts(spark, sf).select("id_str", "full_text")
+    broken = src.table(spark, sf, "region").select(F.col("r_name").alias("value"))
+    found = []
+    for kind, name in (("parquet", "broken.parquet"), ("json", "broken.json.gz")):
+        path = scratch_path(spark, f"posts_{kind}")
+        rows.write.format(kind).option("compression", "gzip").save(path)
+        _misnamed(spark, broken, path, name)
+        schema = "id_str string, full_text string" if kind == "json" else None
+        raw = read_raw(spark, path, format=kind, schema=schema, skip_unreadable=True)
+        read = raw.agg(F.count("*").alias("n_posts"), F.sum(F.length("full_text")).alias("n_chars"))
+        files = rows_of_files(spark, path, format=kind, schema=schema).where("length > 0 and n_rows = 0")
+        named = files.agg(F.min(file_name("path")).alias("unreadable"), F.count("*").alias("n_unreadable"))
+        found += [part.withColumn("kind", F.lit(kind)) for part in (read, named)]
+    parts = found[0]
+    for part in found[1:]:
+        parts = parts.unionByName(part, allowMissingColumns=True)
+    return parts.groupBy("kind").agg(
+        *(F.max(c).alias(c) for c in ("n_posts", "n_chars", "unreadable", "n_unreadable"))
+    )
+
+
+@query
+def job_outputs(spark, sf):
+    """The whole job on raw comments: its preprocessed posts, the number of posts, the name of the counts."""
+    comments = src.posts(spark, sf).select(
+        F.concat(F.lit("c"), "id_str").alias("id"),
+        F.col("full_text").alias("body"),
+        F.unix_timestamp("timestamp").alias("created_utc"),
+    )
+    raw = write_json(comments, scratch_path(spark, "comments"))
+    done = run_job(
+        spark, PostSelection(raw, dataset="reddit_comments"), TOPICS, scratch_path(spark, "job"),
+        options=JOB, interval="weekly", preprocessed_path=scratch_path(spark, "preprocessed_posts"),
+    )
+    schema = "id_str string, full_text string, preprocessed_text string"
+    posts = read_raw(spark, done.preprocessed_output, schema=schema)
+    return posts.select(
+        "id_str",
+        F.md5("full_text").alias("text_md5"),
+        "preprocessed_text",
+        F.lit(done.summary.first()["total record count"]).cast("long").alias("n_posts"),
+        file_name(F.lit(done.output)).alias("counts_name"),
+    )
+
+
+@query
+def job_counts(spark, sf):
+    """What the whole job writes, with preprocessed output on the way."""
+    comments = src.posts(spark, sf).select(
+        F.col("id_str").alias("id"),
+        F.col("full_text").alias("body"),
+        F.unix_timestamp("timestamp").alias("created_utc"),
+    )
+    raw = write_json(comments, scratch_path(spark, "comments"))
+    done = run_job(
+        spark, PostSelection(raw, dataset="reddit_comments"), TOPICS, scratch_path(spark, "job"),
+        options=JOB, interval="weekly", preprocessed_path=scratch_path(spark, "preprocessed_posts"),
+    )
+    return read_raw(spark, done.output).select(
+        F.col("interval").cast("int"), "topic", "word", F.col("count").cast("bigint")
+    )
+
+
 @query
 def map_file_rows(spark, sf):
     parts = src.table(spark, sf, "part").select(

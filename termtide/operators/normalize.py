@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -128,9 +129,22 @@ def normalize_twitter(df: DataFrame) -> DataFrame:
 # --- transcripts, surveys, articles, comments -------------------------------
 
 
+def path_of_file(df: DataFrame) -> Column:
+    """The file a row was read from.
+
+    Right above a scan this is a column of the scan, whose filters choose files before any is opened: a
+    period leaves out files by the date in their path.  Elsewhere it is what the running task reads.
+    """
+    try:
+        df.select("_metadata.file_path").schema  # noqa: B018, asks the analyser
+    except AnalysisException:
+        return F.input_file_name()
+    return F.col("_metadata.file_path")
+
+
 def normalize_radio(df: DataFrame, path: Column | None = None) -> DataFrame:
     """Whole text files; id and date come from the file name."""
-    path = F.input_file_name() if path is None else path
+    path = path_of_file(df) if path is None else path
     day = F.regexp_extract(path, DATE_IN_PATH, 1)
     return df.withColumnsRenamed({"value": "full_text"}).withColumns(
         {"id_str": file_name(path), "date": F.try_to_date(day, "yyyy-M-d")}
@@ -138,7 +152,7 @@ def normalize_radio(df: DataFrame, path: Column | None = None) -> DataFrame:
 
 
 def normalize_cnn_survey_2020(df: DataFrame, path: Column | None = None) -> DataFrame:
-    path = F.input_file_name() if path is None else path
+    path = path_of_file(df) if path is None else path
     day = F.regexp_extract(path, SHORT_DATE_IN_PATH, 1)
     return df.withColumns(
         {"id_str": F.col("id").cast("string"), "date": F.try_to_date(day, "M-d-yy")}

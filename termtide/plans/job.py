@@ -27,10 +27,10 @@ from termtide.operators.normalize import normalize_dataset
 from termtide.plans.preprocess import (
     JOB_CHOICES,
     PreprocessOptions,
-    preprocess,
+    preprocess_with_tokens,
     with_job_tokens,
 )
-from termtide.session import configure
+from termtide.session import configure, remove_path, scratch_path
 from termtide.sinks.writers import (
     observe_records,
     output_name,
@@ -51,6 +51,7 @@ class PostSelection:
     dataset: str = "twitter"
     schema: str | StructType | None = None
     csv_options: Mapping[str, str] = field(default_factory=dict)
+    skip_unreadable: bool = False
     lang: str | None = None
     start_date: str | None = None
     end_date: str | None = None
@@ -101,6 +102,7 @@ def read_posts(spark: SparkSession, selection: PostSelection) -> DataFrame:
         spark,
         selection.input,
         schema=declared if as_json else selection.schema,
+        skip_unreadable=selection.skip_unreadable,
         csv_options=dict(selection.csv_options),
     )
     metadata = selection.news_metadata and read_source_metadata(spark, selection.news_metadata)
@@ -147,7 +149,9 @@ def run_job(
     """The whole job: read, choose, preprocess, count, write, summarise.
 
     ``topics`` is a topic collection, inline JSON or the path of a JSON file.  The
-    number of posts is counted on the way, not by a scan of its own.
+    number of posts is counted on the way, not by a scan of its own.  With
+    ``preprocessed_path`` the chosen posts are stored once with their preprocessed text and
+    tokens; that output and the counts are both made of what was stored, so the input is read and cleaned once.
     """
     started = time.time()
     configure(spark)
@@ -156,18 +160,20 @@ def run_job(
         topics = TopicSet.from_json(topics) if inline else read_topics(spark, topics)
     options = options or PreprocessOptions(choices=JOB_CHOICES, lang=selection.lang or "en")
     posts = read_posts(spark, selection)
+    observed, records = observe_records(posts)
+    kept = None
     if preprocessed_path:
-        prepared = preprocess(posts, options, target)
         shown = "preprocessed_text" if options.is_needed else target
-        preprocessed_path = write_json(
-            preprocessed_output(prepared, target, shown), preprocessed_path
-        )
-    observed, records = observe_records(posts)
-    counts = topic_cooccurrence(
-        observed,
+        kept = scratch_path(spark, "preprocessed")
+        prepared = preprocess_with_tokens(observed.select("id_str", "date", target), options, target)
+        prepared.write.parquet(kept)
+        tokens = spark.read.schema(prepared.schema).parquet(kept)
+        preprocessed_path = write_json(preprocessed_output(tokens, target, shown), preprocessed_path)
+    else:
+        tokens = with_job_tokens(observed.select("date", target), options, target)
+    counts = cooccurrence(
+        tokens,
         topics,
-        options,
-        target=target,
         interval=interval,
         count_filter=count_filter,
         word_length_filter=word_length_filter,
@@ -180,6 +186,8 @@ def run_job(
         path = write_json(sort_counts(counts), path)
     else:
         path = write_csv(counts, path, order=count_order(counts), single_file=single_file)
+    if kept:
+        remove_path(spark, kept)
     summary = run_summary(
         spark,
         {

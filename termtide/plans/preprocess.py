@@ -199,6 +199,21 @@ def preprocess(
     return with_tokens.withColumn(output, join_tokens("_tokens")).drop("_tokens")
 
 
+def preprocess_with_tokens(
+    df: DataFrame,
+    options: PreprocessOptions,
+    target: str = "full_text",
+    output: str = "preprocessed_text",
+    tokens: str = "tokens",
+) -> DataFrame:
+    """Add the text of ``preprocess`` and the tokens of ``with_job_tokens`` in one go."""
+    if options.works_on_tokens and not {"stemmed", "lemmatize"} & set(options.choices):
+        df = preprocess_tokens(df, options, target, tokens)
+        return df.withColumn(output, join_tokens(tokens))
+    df = preprocess(df, options, target, output)
+    return with_tokens(df, output if options.is_needed else target, options.lang, tokens)
+
+
 def with_tokens(
     df: DataFrame, target: str = "full_text", lang: str = "en", tokens: str = "tokens"
 ) -> DataFrame:

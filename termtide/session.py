@@ -49,6 +49,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a table in the shared folder that nothing reads any more."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows of ``df`` as a table in the shared folder: read back, never computed again."""
     spark = df.sparkSession

@@ -14,6 +14,7 @@ from termtide.sources.posts import (
     DECLARED_SCHEMAS,
     existing_paths,
     read_raw,
+    rows_of_files,
     source_format,
     split_paths,
 )
@@ -31,6 +32,7 @@ __all__ = [
     "read_source_metadata",
     "read_stopwords",
     "read_topics",
+    "rows_of_files",
     "source_format",
     "split_paths",
     "topics_from_json",

@@ -73,6 +73,7 @@ def read_raw(
     format: str | None = None,
     schema: str | StructType | None = None,
     skip_missing: bool = True,
+    skip_unreadable: bool = False,
     csv_options: dict[str, str] | None = None,
 ) -> DataFrame:
     """Read files as they are.
@@ -81,6 +82,10 @@ def read_raw(
     JSON is one object per line.  ``schema`` applies to JSON and CSV; without it
     JSON is inferred, which costs a scan of its own.  ``csv_options`` passes
     ``multiLine``, ``quote``, ``escape`` and the like.
+
+    ``skip_unreadable`` passes over files that cannot be read, and over what comes after the
+    place where a file breaks off; ``rows_of_files`` says which files gave nothing.  Parquet then has the
+    columns of all readable footers.
     """
     paths = split_paths(paths)
     if skip_missing:
@@ -89,9 +94,13 @@ def read_raw(
         raise FileNotFoundError("none of the input paths can be read")
     format = format or source_format(paths)
     reader = spark.read
+    if skip_unreadable:
+        reader = reader.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
     if format == "text":
         return reader.text(paths, wholetext=True)
     if format == "parquet":
+        if skip_unreadable:  # the one file whose footer gives the columns may be the broken one: ask them all
+            reader = reader.option("mergeSchema", True)
         return reader.parquet(*paths)
     if schema is not None:
         reader = reader.schema(schema)
@@ -100,6 +109,26 @@ def read_raw(
     return reader.option("multiLine", False).json(paths)
 
 
+def rows_of_files(
+    spark: SparkSession, paths: str | Iterable[str], *, format: str | None = None, **reading
+) -> DataFrame:
+    """``(path, length, n_rows)`` of every file below the paths, as a read that skips files finds them.
+
+    A file that is not empty but gives no rows either cannot be read or holds none.  The listing
+    opens no file.  Counting reads the footers alone of Parquet, and all of a text format, in the
+    executors; a file is one sum, made before the shuffle.
+    """
+    paths = existing_paths(spark, split_paths(paths))
+    raw = read_raw(spark, paths, format=format, skip_missing=False, skip_unreadable=True, **reading)
+    found = raw.select(F.col("_metadata.file_path").alias("_found")).groupBy("_found").agg(F.count("*").alias("_n"))
+    listed = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths).select("_metadata.file_path", "length")
+    )
+    return listed.join(found, F.col("file_path") == F.col("_found"), "left").select(
+        F.col("file_path").alias("path"), "length", F.coalesce("_n", F.lit(0)).alias("n_rows")
+    )
+
+
 def file_name(path):
     """Last part of a path column."""
     return F.element_at(F.split(path, "/"), -1)
