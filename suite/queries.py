@@ -199,7 +199,8 @@ def job_outputs(spark, sf):
         F.col("full_text").alias("body"),
         F.unix_timestamp("timestamp").alias("created_utc"),
     )
-    raw = write_json(comments, scratch_path(spark, "comments"))
+    raw = scratch_path(spark, "comments") + ".json"
+    comments.write.option("compression", "gzip").json(raw)
     done = run_job(
         spark, PostSelection(raw, dataset="reddit_comments"), TOPICS, scratch_path(spark, "job"),
         options=JOB, interval="weekly", preprocessed_path=scratch_path(spark, "preprocessed_posts"),
@@ -223,7 +224,8 @@ def job_counts(spark, sf):
         F.col("full_text").alias("body"),
         F.unix_timestamp("timestamp").alias("created_utc"),
     )
-    raw = write_json(comments, scratch_path(spark, "comments"))
+    raw = scratch_path(spark, "comments") + ".json"
+    comments.write.option("compression", "gzip").json(raw)
     done = run_job(
         spark, PostSelection(raw, dataset="reddit_comments"), TOPICS, scratch_path(spark, "job"),
         options=JOB, interval="weekly", preprocessed_path=scratch_path(spark, "preprocessed_posts"),

@@ -27,7 +27,8 @@ from termtide.operators.normalize import normalize_dataset
 from termtide.plans.preprocess import (
     JOB_CHOICES,
     PreprocessOptions,
-    preprocess_with_tokens,
+    preprocess_once,
+    text_and_tokens,
     with_job_tokens,
 )
 from termtide.session import configure, remove_path, scratch_path
@@ -150,8 +151,8 @@ def run_job(
 
     ``topics`` is a topic collection, inline JSON or the path of a JSON file.  The
     number of posts is counted on the way, not by a scan of its own.  With
-    ``preprocessed_path`` the chosen posts are stored once with their preprocessed text and
-    tokens; that output and the counts are both made of what was stored, so the input is read and cleaned once.
+    ``preprocessed_path`` the chosen posts are stored once with what the chain makes of
+    them; that output and the counts are both made of what was stored, so the input is read and cleaned once.
     """
     started = time.time()
     configure(spark)
@@ -165,9 +166,10 @@ def run_job(
     if preprocessed_path:
         shown = "preprocessed_text" if options.is_needed else target
         kept = scratch_path(spark, "preprocessed")
-        prepared = preprocess_with_tokens(observed.select("id_str", "date", target), options, target)
-        prepared.write.parquet(kept)
-        tokens = spark.read.schema(prepared.schema).parquet(kept)
+        prepared = preprocess_once(observed.select("id_str", "date", target), options, target)
+        prepared.write.option("compression", "zstd").parquet(kept)
+        once = spark.read.schema(prepared.schema).parquet(kept)
+        tokens = text_and_tokens(once, options, target)
         preprocessed_path = write_json(preprocessed_output(tokens, target, shown), preprocessed_path)
     else:
         tokens = with_job_tokens(observed.select("date", target), options, target)

@@ -101,6 +101,11 @@ class PreprocessOptions:
     def is_needed(self) -> bool:
         return bool(self.choices or self.synonyms or self.lemmas or self.has_stopwords)
 
+    @property
+    def ends_in_tokens(self) -> bool:
+        """Whether the text is its tokens joined; a dictionary may put anything in place of a token."""
+        return self.works_on_tokens and not {"stemmed", "lemmatize"} & set(self.choices)
+
     @property
     def works_on_tokens(self) -> bool:
         token_choices = {"stopwords", "lemmatize", "stemmed", "hashtags", "emojis", "urls"}
@@ -199,18 +204,29 @@ def preprocess(
     return with_tokens.withColumn(output, join_tokens("_tokens")).drop("_tokens")
 
 
-def preprocess_with_tokens(
+def preprocess_once(
+    df: DataFrame,
+    options: PreprocessOptions,
+    target: str = "full_text",
+    output: str = "preprocessed_text",
+    tokens: str = "tokens",
+) -> DataFrame:
+    """Add what the chain ends in, tokens or text, of which ``text_and_tokens`` makes the other."""
+    if options.ends_in_tokens:
+        return preprocess_tokens(df, options, target, tokens)
+    return preprocess(df, options, target, output)
+
+
+def text_and_tokens(
     df: DataFrame,
     options: PreprocessOptions,
     target: str = "full_text",
     output: str = "preprocessed_text",
     tokens: str = "tokens",
 ) -> DataFrame:
-    """Add the text of ``preprocess`` and the tokens of ``with_job_tokens`` in one go."""
-    if options.works_on_tokens and not {"stemmed", "lemmatize"} & set(options.choices):
-        df = preprocess_tokens(df, options, target, tokens)
+    """The text of ``preprocess`` and the tokens of ``with_job_tokens`` from ``preprocess_once``."""
+    if options.ends_in_tokens:
         return df.withColumn(output, join_tokens(tokens))
-    df = preprocess(df, options, target, output)
     return with_tokens(df, output if options.is_needed else target, options.lang, tokens)
 
 
@@ -232,8 +248,7 @@ def with_job_tokens(
     """
     if not options.is_needed:
         return with_tokens(df, target, options.lang, tokens)
-    mapped = {"stemmed", "lemmatize"} & set(options.choices)
-    if options.works_on_tokens and not mapped:
+    if options.ends_in_tokens:
         return preprocess_tokens(df, options, target, tokens)
     return with_tokens(
         preprocess(df, options, target, "_preprocessed"), "_preprocessed", options.lang, tokens

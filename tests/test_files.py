@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from termtide import PostSelection, PreprocessOptions, read_posts, run_job
-from termtide.plans.preprocess import JOB_CHOICES, preprocess, preprocess_with_tokens, with_job_tokens
+from termtide.plans.preprocess import JOB_CHOICES, preprocess, preprocess_once, text_and_tokens, with_job_tokens
 from termtide.session import shared_folder
 from termtide.sources import read_raw, rows_of_files
 
@@ -104,7 +104,7 @@ def test_text_and_tokens_in_one_go(spark, options):
     posts = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(
         "doc_id", F.col("text").alias("full_text")
     )
-    both = preprocess_with_tokens(posts, options)
+    both = text_and_tokens(preprocess_once(posts, options), options)
     tokens = with_job_tokens(posts, options).select("doc_id", "tokens")
     assert both.select("doc_id", "tokens").exceptAll(tokens).isEmpty()
     assert both.count() == tokens.count()
