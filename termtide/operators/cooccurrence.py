@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from termtide.functions.intervals import interval_label
 from termtide.functions.lookup import literal_array, literal_map
-from termtide.operators.joins import with_entries
-from termtide.session import numbered_rows
+from termtide.operators.joins import fits_broadcast, with_entries
+from termtide.session import numbered_rows, stored
 
 # Topic vocabularies up to this size travel inside the plan, larger ones are joined.
 MAX_LITERAL_WORDS = 20_000
@@ -244,6 +244,10 @@ def _pivoted_counts(
         .select(*labels, "_beside", F.inline(F.when(F.size("_beside") > 0, F.col("_bag"))))
         .select(*labels, "word", F.col("n").alias("_copies"), "rank", F.inline(F.when(F.col("rank") >= 0, F.col("_beside"))))
     )
+    if least > 0:
+        # A topic of one run counts a word at most so often as if its longest run of the post always counted.
+        longest = F.array_max(F.flatten(F.transform("_beside", lambda b: b["n"]))) if len(runs) == len(numbers) else size
+        rows = _frequent(rows, bag, longest, labels, least)
     weight = lambda j: F.greatest(
         F.lit(0), F.least(F.col("rank") - F.get("start", F.lit(j)), F.get("n", F.lit(j)))
     )
@@ -262,6 +266,30 @@ def _pivoted_counts(
     return counts.where(F.col("count") > least)
 
 
+def _frequent(rows: DataFrame, bag: DataFrame, most: Column, labels: list[Column], least: int) -> DataFrame:
+    """``rows`` without the words that cannot come above ``least`` with any topic.
+
+    ``most`` bounds what a word of a post adds to one topic.  Summed by label and word, a number each, it
+    leaves out the rare words, of which there are the most, before they get a row of sums.  Where the words left are
+    too many to broadcast, all go on.
+    """
+    keys = [c for c in ("_label",) if labels]
+    frequent = stored(
+        bag.select(*labels, most.alias("_most"), F.inline(F.when(F.size("_beside") > 0, F.col("_bag"))))
+        .groupBy(*keys, "word")
+        .agg(F.sum(F.col("n").cast("long") * F.col("_most")).alias("_bound"))
+        .where(F.col("_bound") > least)
+        .select(*(F.col(k).alias("_of") for k in keys), F.col("word").alias("_frequent")),
+        "frequent-words",
+    )
+    if not fits_broadcast(frequent):
+        return rows
+    same = F.col("word") == F.col("_frequent")
+    if keys:
+        same = same & F.col("_label").eqNullSafe(F.col("_of"))
+    return rows.join(F.broadcast(frequent), same, "left_semi")
+
+
 def _token_rows_from_table(posts: DataFrame, topics: DataFrame, **bounds) -> DataFrame:
     """The same by joining, for vocabularies of any size.
 

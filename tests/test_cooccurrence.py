@@ -188,6 +188,36 @@ def test_forms_agree_where_places_are_shared(spark, monkeypatch):
     assert counts() == in_plan
 
 
+@pytest.mark.parametrize("fits", [True, False])
+def test_rare_words_are_left_out_only_where_no_topic_can_have_them(spark, monkeypatch, fits):
+    module = sys.modules["termtide.operators.cooccurrence"]
+    dice = random.Random(5)
+    words = [f"w{i}" for i in range(12)]
+    posts = spark.createDataFrame(
+        [
+            (dice.choice(["d", "e", None]), [dice.choice(words) for _ in range(dice.randrange(9))])
+            for _ in range(120)
+        ],
+        "date string, tokens array<string>",
+    )
+    topics = [  # the words of the first are not listed together
+        {"topic": "a", "words": ["w0", "w3"]},
+        {"topic": "b", "words": ["w1", "w2", "w5"]},
+        {"topic": "a", "words": ["w4"]},
+    ]
+
+    def counts(topics, least, **more):
+        found = module.cooccurrence(posts, topics, count_filter=least, word_length_filter=0, **more).collect()
+        return sorted(map(str, found))
+
+    for chosen, least, more in ((topics, 4, {}), (topics[:2], 8, {}), (topics, 15, {"interval": "overall"})):
+        with monkeypatch.context() as patch:
+            expected = counts(chosen, least, **more)
+            patch.setattr(module, "_LOOK_UP_FROM", 1)
+            patch.setattr(module, "fits_broadcast", lambda df: fits)
+            assert expected and counts(chosen, least, **more) == expected
+
+
 def test_topic_lists_of_any_size_and_single_topics(spark):
     posts = spark.createDataFrame([("d", ["w7", "other", "w59999"])], "date string, tokens array<string>")
     many = [{"topic": f"t{i}", "words": [f"w{i}"]} for i in range(60_000)]
