@@ -462,6 +462,24 @@ SELECT concat_ws(',', CASE WHEN event_type = 'signup' THEN '1540' || d ELSE d EN
        CASE WHEN event_type IN ('click', 'signup') THEN CAST(user_id AS VARCHAR) END AS "user",
        event_type IN ('error', 'signup', 'purchase') AS quarantined
 FROM parts""",
+    "series_headers": """WITH parts AS (
+  SELECT event_id, event_id % 4 AS layout, event_type, user_id, ts,
+         CASE WHEN event_type = 'signup' THEN '1540' ELSE '' END || strftime(ts, '%Y-%m-%d') AS d,
+         CASE event_type WHEN 'view' THEN '' WHEN 'purchase' THEN 'x' WHEN 'error' THEN NULL
+                         ELSE CAST(user_id AS VARCHAR) END AS u
+  FROM events),
+lines AS (
+  SELECT event_id, event_type, user_id, ts,
+         CASE layout WHEN 1 THEN concat_ws(',', u, d, event_id) WHEN 2 THEN concat_ws(',', d, event_type, u, event_id)
+                     ELSE concat_ws(',', d, event_id, u) END AS value,
+         CASE WHEN layout = 3 THEN 'no header' WHEN event_type = 'error' THEN 'fields'
+              WHEN event_type = 'signup' THEN 'date' WHEN event_type = 'purchase' THEN 'number' END AS reason
+  FROM parts)
+SELECT value, CASE WHEN reason IS NULL THEN CAST(CAST(ts AS DATE) AS VARCHAR) END AS "Date",
+       CASE WHEN reason IS NULL THEN event_id END AS event,
+       CASE WHEN reason IS NULL AND event_type = 'click' THEN CAST(user_id AS VARCHAR) END AS "user",
+       reason IS NOT NULL AS quarantined, reason
+FROM lines""",
     "series_diff": f"""WITH {EVENTS}, users AS (
   SELECT event_type AS topic, CAST(ts AS DATE) AS "Date", count(DISTINCT user_id) AS "count"
   FROM events GROUP BY 1, 2)

@@ -42,7 +42,7 @@ from termtide.plans.preprocess import (
 from termtide.session import scratch_path
 from termtide.sinks import preprocessed_output, record_counts, write_csv, write_json
 from termtide.sources.lists import parse_mapping, parse_topics
-from termtide.sources.posts import file_name, read_raw, rows_of_files
+from termtide.sources.posts import file_name, read_lines, read_raw, rows_of_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -899,6 +899,33 @@ def series_quarantine(spark, sf):
     return rows.select("value", _day_text("Date"), "event", user, "quarantined")
 
 
+@query
+def series_headers(spark, sf):
+    """Event lines in one folder, in three layouts that their headers tell and in one without header."""
+    kind = F.col("event_type")
+    day = F.date_format("ts", "yyyy-MM-dd")
+    day = F.when(kind == "signup", F.concat(F.lit("1540"), day)).otherwise(day)
+    user = F.when(kind == "view", F.lit("")).when(kind == "purchase", F.lit("x")).when(
+        kind != "error", F.col("user_id").cast("string")
+    )
+    event = F.col("event_id").cast("string")
+    layouts = {
+        "Date,event,user": (day, event, user),
+        "user,Date,event": (user, day, event),
+        "Date,kind,User ID,event": (day, kind, user, event),
+        "": (day, event, user),
+    }
+    folder = scratch_path(spark, "series")
+    for k, (header, fields) in enumerate(layouts.items()):
+        events = src.table(spark, sf, "events").where(F.col("event_id") % len(layouts) == k)
+        # A single column, named by the header: a file of it begins with that line.
+        lines = events.select(F.concat_ws(",", *fields).alias(header or "value"))
+        lines.write.csv(f"{folder}/{k}", header=bool(header), sep="\t")
+    rows = series.parse_series_files(read_lines(spark, folder), ["event", "user"], renames={"User ID": "user"})
+    user = F.col("user").cast("string").alias("user")
+    return rows.select("value", _day_text("Date"), "event", user, "quarantined", "reason")
+
+
 @query
 def series_diff(spark, sf):
     """Events against distinct users per type and day."""

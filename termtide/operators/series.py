@@ -8,7 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from termtide.functions.lookup import literal_map
 from termtide.operators.joins import lookup_join
+from termtide.session import stored
 
 
 def pivot_series(
@@ -170,6 +172,71 @@ def parse_series_lines(
     )
 
 
+def parse_series_files(
+    lines: DataFrame,
+    topics: Sequence[str],
+    *,
+    path: str = "path",
+    line: str = "value",
+    date: str = "Date",
+    renames: Mapping[str, str] | None = None,
+    **bounds,
+) -> DataFrame:
+    """CSV lines of files with headers of their own to wide rows: ``(path, line, date, topics, quarantined, reason)``.
+
+    The header of a file is its line that names ``date``, after ``renames``, wherever it stands; the same header may
+    stand there again.  Columns that are not asked for are passed over, and topics that a file lacks are missing cells.
+    A line is quarantined, without a date or cells, for one reason, the first that holds: ``no header`` or
+    ``two headers`` in its file, a ``column twice`` in the header, another number of ``fields`` than the
+    header has, a malformed ``date``, a cell that is no ``number``.  Names may be quoted, commas in quotes are not told apart.
+
+    Headers are a row for each file, joined to the lines by their path; a null path is a file without header.
+    """
+    at, of = F.col(path), F.col(line)
+    # A file may begin with a byte order mark.
+    bare = F.transform(F.split(F.regexp_replace(of, "^\uFEFF", ""), ",", -1), lambda f: F.btrim(F.trim(f), F.lit('"')))
+    names = bare
+    if renames:
+        renamed = literal_map(dict(renames), "string")
+        names = F.transform(bare, lambda f: F.coalesce(renamed(f), f))
+    is_header = F.coalesce(F.array_contains(names, date), F.lit(False))
+    headers = stored(
+        lines.where(is_header & at.isNotNull())
+        .groupBy(at.alias("_path"))
+        .agg(F.min(names).alias("_names"), F.max(names).alias("_other")),
+        "series-headers",
+    )
+    rows = lines.where(~is_header).select(at.alias("_path"), of.alias("_line"))
+    rows = lookup_join(rows, headers, ["_path"], "left", **bounds)
+    fields = F.split("_line", ",", -1)
+
+    def text(name: str) -> Column:
+        place = F.array_position("_names", name).cast("int")
+        return F.when(place > 0, F.trim(F.get(fields, place - 1)))
+
+    day = F.try_to_date(text(date), "yyyy-M-d")
+    raw = {t: text(t) for t in topics}
+    cells = {t: cell.try_cast("bigint") for t, cell in raw.items()}
+    wrong = reduce(lambda a, b: a | b, [(raw[t] != "") & cells[t].isNull() for t in topics], F.lit(False))
+    reason = (
+        F.when(F.col("_names").isNull(), "no header")
+        .when(F.col("_names") != F.col("_other"), "two headers")
+        .when(F.size(F.array_distinct("_names")) != F.size("_names"), "column twice")
+        .when(F.coalesce(F.size(fields) != F.size("_names"), F.lit(True)), "fields")
+        .when(day.isNull(), "date")
+        .when(F.coalesce(wrong, F.lit(False)), "number")
+    )
+    fits = F.col("reason").isNull()
+    return rows.withColumn("reason", reason).select(
+        F.col("_path").alias(path),
+        F.col("_line").alias(line),
+        F.when(fits, day).alias(date),
+        *[F.when(fits, cell).alias(t) for t, cell in cells.items()],
+        (~fits).alias("quarantined"),
+        "reason",
+    )
+
+
 def diff_series(
     left: DataFrame,
     right: DataFrame,

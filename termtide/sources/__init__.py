@@ -13,6 +13,7 @@ from termtide.sources.lists import (
 from termtide.sources.posts import (
     DECLARED_SCHEMAS,
     existing_paths,
+    read_lines,
     read_raw,
     rows_of_files,
     source_format,
@@ -27,6 +28,7 @@ __all__ = [
     "existing_paths",
     "parse_mapping",
     "parse_topics",
+    "read_lines",
     "read_mapping",
     "read_raw",
     "read_source_metadata",

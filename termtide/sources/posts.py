@@ -129,6 +129,15 @@ def rows_of_files(
     )
 
 
+def read_lines(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
+    """``(path, value)``: the lines of all text files below the paths, with the file of each."""
+    paths = existing_paths(spark, split_paths(paths))
+    if not paths:
+        raise FileNotFoundError("none of the input paths can be read")
+    raw = spark.read.option("recursiveFileLookup", True).text(paths)
+    return raw.select(F.col("_metadata.file_path").alias("path"), "value")
+
+
 def file_name(path):
     """Last part of a path column."""
     return F.element_at(F.split(path, "/"), -1)

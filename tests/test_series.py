@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from termtide.operators import series
+from termtide.sources import read_lines
 
 
 def day(text):
@@ -121,3 +122,48 @@ def test_a_series_does_not_differ_from_itself(spark):
     assert series.diff_series(long(spark, NULLS), long(spark, NULLS)).count() == 0
     less = series.diff_series(long(spark, NULLS), long(spark, [c for c in NULLS if c[2] is not None]))
     assert rows(less, "Date") == [(day("2020-05-02"), None, None, None)]
+
+
+def test_headers_of_single_files(spark, tmp_path):
+    files = {
+        "plain": "Date,a,b\n2020-05-01,1,2\n2020-5-2,,4\n2020-05-03,1\n2020-05-04,x,1\n\n",
+        "turned": '\ufeffb,"Date",note\r\n7,2020-05-01,any text\r\nb,Date,note\r\n8,no day,\r\n',
+        "late": "2020-05-09,5,6\nday,B,a\n",
+        "none": "2020-05-01,1,2\n",
+        "both": "Date,a\n2020-05-01,1\nDate,b\n",
+        "twice": "Date,a,a\n2020-05-01,1,2\n",
+        "alone": "Date,a\n",
+        "empty": "",
+    }
+    for name, text in files.items():
+        (tmp_path / f"{name}.txt").write_bytes(text.encode())
+    lines = read_lines(spark, str(tmp_path))
+    for bounds in ({}, {"max_rows": 0}):
+        found = series.parse_series_files(lines, ["a", "b"], renames={"day": "Date", "B": "b"}, **bounds)
+        assert found.columns == ["path", "value", "Date", "a", "b", "quarantined", "reason"]
+        got = {(r[0].split("/")[-1][:-4], r[1]): tuple(r[2:]) for r in found.collect()}
+        bad = lambda why: (None, None, None, True, why)
+        assert got == {
+            ("plain", "2020-05-01,1,2"): (day("2020-05-01"), 1, 2, False, None),
+            ("plain", "2020-5-2,,4"): (day("2020-05-02"), None, 4, False, None),
+            ("plain", "2020-05-03,1"): bad("fields"),
+            ("plain", "2020-05-04,x,1"): bad("number"),
+            ("plain", ""): bad("fields"),
+            ("turned", "7,2020-05-01,any text"): (day("2020-05-01"), None, 7, False, None),
+            ("turned", "8,no day,"): bad("date"),
+            ("late", "2020-05-09,5,6"): (day("2020-05-09"), 6, 5, False, None),
+            ("none", "2020-05-01,1,2"): bad("no header"),
+            ("both", "2020-05-01,1"): bad("two headers"),
+            ("twice", "2020-05-01,1,2"): bad("column twice"),
+        }
+
+
+def test_lines_without_file_or_text(spark):
+    lines = spark.createDataFrame(
+        [(None, "Date,a"), (None, "2020-05-01,1"), ("f", "Date,a"), ("f", None), ("f", "2020-05-01,1")],
+        "path string, value string",
+    )
+    found = series.parse_series_files(lines, ["a"]).collect()
+    got = sorted((r["path"] or "", r["value"] or "", r["a"], r["reason"]) for r in found)
+    assert got == [("", "2020-05-01,1", None, "no header"), ("f", "", None, "fields"), ("f", "2020-05-01,1", 1, None)]
+    assert series.parse_series_files(lines.limit(0), ["a"]).count() == 0
