@@ -35,6 +35,8 @@ BLOCK = 512
 PERCENTILE = 0.9
 SEGMENT_IDS = 1 << 16
 END_ID = 0
+PART_BYTES = 256 << 20  # of text in a file, where that is more files than the session's partitions
+PREFIX = 64  # characters of the text by which rows of one doc_id, or of none, are dealt to files
 ENCODED_BYTES = 2 << 20  # of text at once: the more, the fewer words are looked up again
 _HEAD = np.dtype([("start", "<u4"), ("least", "<u4"), ("width", "u1"), ("exceptions", "<u2")])
 
@@ -178,13 +180,17 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def write_token_files(docs: DataFrame, tokenizer: str) -> DataFrame:
     """Write the ids of all documents in ascending doc_id order; the files as a table of segments.
 
-    The range shuffle is all that moves the texts; a file is what one task of it writes.
+    The range shuffle is all that moves the texts; a file is what one task of it writes.  Ranges are of doc_id
+    and the first characters of the text, so that rows without an id spread over files, in the same order.
     """
-    ordered = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id", F.coalesce("text", F.lit("")))
-    )
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    octets = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    files = -(-octets // PART_BYTES)
+    few = files <= int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    text = F.coalesce("text", F.lit(""))
+    ordered = rows.repartitionByRange(
+        *([] if few else [files]), "doc_id", F.substring(text, 1, PREFIX)
+    ).sortWithinPartitions("doc_id", text)
     return stored(ordered.mapInArrow(_writer(tokenizer), _SEGMENTS), "token-files")
 
 

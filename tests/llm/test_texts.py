@@ -13,6 +13,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from termtide.llm import fingerprints, language, mixing, near_copies, packing, private, sharding
@@ -143,6 +144,19 @@ def test_token_files_give_the_ids_back(odd, odd_rows):
     assert got == want
 
 
+def test_documents_without_id_spread_over_token_files(spark, monkeypatch):
+    monkeypatch.setattr(token_files, "PART_BYTES", 4096)
+    texts = [hashlib.md5(str(i).encode()).hexdigest() for i in range(8000)]
+    rows = [(i if i % 4 == 0 else None, t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    files = token_files.write_token_files(docs, BYTE)
+    sizes = [r[1] for r in files.groupBy("part").agg(F.sum(F.size("doc_ids"))).collect()]
+    assert sum(sizes) == 8000 and len(sizes) > 40 and max(sizes) < 2 * 8000 / len(sizes)
+    found = sorted(token_files.read_token_files(files).collect(), key=lambda r: r[1])
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    assert [(r[0], r[3]) for r in found] == [(i, crc([*ids_of(BYTE, t), 0])) for i, t in order]
+
+
 def test_pieces_fill_sequences(odd, odd_rows):
     rows = packing.pack_documents(odd, WORD).collect()
     want = Counter()
