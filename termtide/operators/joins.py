@@ -48,6 +48,22 @@ def heavy_keys(facts: DataFrame, on: Sequence[str]) -> list[tuple]:
     return [tuple(r)[:-1] for r in counts.orderBy(F.desc("_n")).limit(MAX_HEAVY).collect()]
 
 
+def _one_of(on: Sequence[str], keys: Sequence[tuple]) -> Column:
+    """Whether a row has one of the keys.
+
+    A column meets its values as a set.  A comparison for each of 200 keys would make the generated code of the stage so
+    long that the JVM leaves it uncompiled, with everything before the join in it.
+    """
+    if not keys:
+        return F.lit(False)
+    found = reduce(and_, (F.col(c).isin(list(dict.fromkeys(values))) for c, values in zip(on, zip(*keys))))
+    if len(on) > 1:
+        # Few rows have a value of a heavy key in every column; these alone are compared key by key.
+        tests = [reduce(and_, (F.col(c) == v for c, v in zip(on, key))) for key in keys]
+        found = F.when(found, reduce(or_, tests))
+    return F.coalesce(found, F.lit(False))
+
+
 def lookup_join(
     facts: DataFrame,
     side: DataFrame,
@@ -68,9 +84,7 @@ def lookup_join(
     on = list(on)
     if max_rows > 0 and fits_broadcast(side, max_rows, max_bytes):
         return facts.join(F.broadcast(side), on, how)
-    heavy = [k for k in heavy_keys(facts, on) if None not in k]
-    tests = [reduce(and_, (F.col(c) == v for c, v in zip(on, key))) for key in heavy]
-    is_heavy = F.coalesce(reduce(or_, tests, F.lit(False)), F.lit(False))
+    is_heavy = _one_of(on, [k for k in heavy_keys(facts, on) if None not in k])
     missing = F.coalesce(*(F.when(F.col(c).isNull(), True) for c in on), F.lit(False))
     # The number of the partition is the same however often a task is retried.
     dealt = F.when(is_heavy | missing, F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(0)

@@ -139,6 +139,21 @@ def test_heavy_keys_are_dealt_out(spark, monkeypatch):
     assert len(repeated) == 1000
 
 
+def test_many_heavy_keys_are_looked_up_as_a_set(spark, monkeypatch):
+    monkeypatch.setattr(joins, "HEAVY_ROWS", 5)
+    monkeypatch.setattr(joins, "SMALL_BYTES", 0)
+    facts = spark.range(0, 1000, 1, 4).select("id", (F.col("id") % 100).cast("string").alias("k"), (F.col("id") % 4).alias("m"))
+    side = spark.createDataFrame([("7", 3, 1), ("8", 0, 2), ("8", 1, 3), (None, 1, 4)], "k string, m long, v int")
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        found = joins.lookup_join(facts, side.drop("m"), ["k"], how, max_rows=0)
+        expected = facts.join(side.drop("m"), ["k"], how)
+        assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+        # One comparison for each key made the generated code too long to be compiled.
+        assert found._jdf.queryExecution().optimizedPlan().toString().count(" OR ") < 10
+        found, expected = joins.lookup_join(facts, side, ["k", "m"], how, max_rows=0), facts.join(side, ["k", "m"], how)
+        assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+
+
 def test_equal_rows_stay_as_many_as_they_are(spark):
     rows = spark.createDataFrame([("a b",)] * 500 + [("c",), (None,)], "text string")
     tokens = rows.withColumn("tokens", F.split("text", " "))
