@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from termtide.functions.lookup import MAX_LITERAL_ENTRIES
 from termtide.functions.text import replace_phrases
+from termtide.operators.blocks import block_of, list_sizes, lists_of, one_array
 from termtide.operators.joins import lookup_join
 from termtide.session import numbered_rows, stored
 from termtide.sources.lists import bounded_dict
@@ -67,8 +72,9 @@ def with_replaced_phrases(
     """Replace whole-word phrases, the longest of the leftmost first, as ``replace_phrases`` does.
 
     Up to ``max_literal`` phrases are one pattern in the plan.  Beyond that a text is cut into runs; of its
-    sequences of runs, of the lengths that phrases have, those that pass a bit filter meet the table of phrases by the number
-    of the row, and what is found goes back to the row, where overlaps are settled.  Texts move once, at the end.
+    sequences of runs, of the lengths that phrases have, the distinct ones of a block of rows that pass a bit filter meet
+    the table of phrases by their hash, and what is found goes back to the block, where the texts themselves are compared
+    and overlaps are settled.  Texts move once, at the end.
     """
     if not isinstance(phrases, DataFrame) and len(phrases) <= max_literal:
         return df.withColumn(text, replace_phrases(text, {k.lower() if lower else k: v for k, v in phrases.items()}))
@@ -78,83 +84,111 @@ def with_replaced_phrases(
         return df.withColumn(text, replace_phrases(text, entries))
 
     runs_of = lambda c: F.regexp_extract_all(c, F.lit(RUN), F.lit(0))
-    phrases = stored(phrases, "phrases")
-    # As many numbers as phrases have lengths.
-    lengths = sorted(r[0] for r in phrases.select(F.size(runs_of(F.col("synonym")))).distinct().collect())
-    rows = numbered_rows(df, "phrase-rows")
-    runs = rows.select("_row", runs_of(F.col(text)).alias("_runs"))
-    hits = (
-        lookup_join(_candidates(runs, lengths, _filter(phrases)), phrases, ["synonym"], "inner", **bounds)
-        .groupBy("_row")
-        .agg(F.sort_array(F.collect_list(F.struct("at", (-F.col("n")).alias("longest"), "head"))).alias("_hits"))
+    begins = lambda c: F.coalesce(F.regexp_like(c, F.lit(_WORD_RUN)), F.lit(False))
+    phrases = stored(phrases.select("synonym", "head", F.xxhash64("synonym").alias("_hash")), "phrases")
+    # As many as phrases have lengths, twice at most.
+    kind = F.struct(F.size(runs_of(F.col("synonym"))), begins(F.col("synonym")))
+    kinds = [tuple(r[0]) for r in phrases.select(kind).distinct().collect()]
+    names = df.columns
+    rows = numbered_rows(df, "phrase-rows").withColumn("_block", block_of("_row", F.length(text)))
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from _asked(batch, kinds)
+
+    candidates = rows.select("_block", begins(F.col(text)).alias("_word"), runs_of(F.col(text)).alias("_runs")).mapInArrow(
+        asked, "_block long, synonym string"
     )
-    found = (
-        rows.join(hits, "_row", "left")
-        .withColumn("_chosen", _leftmost(F.col("_hits")))
-        .withColumn("_runs", F.when(F.col("_chosen").isNotNull(), runs_of(F.col(text))))
+    if phrases.count() < FILTER_BITS:  # with more of them most bits are set
+        candidates = _probable(candidates, _filter(phrases))
+    candidates = stored(candidates.select("_block", F.xxhash64("synonym").alias("_hash")), "phrase-candidates")
+    found = lookup_join(candidates, phrases, ["_hash"], "inner", **bounds)
+
+    def replaced(rows: pa.Table, found: pa.Table) -> pa.Table:
+        at = rows.schema.get_field_index(text)
+        return rows.set_column(at, rows.schema.field(at), _replaced(rows, text, found, kinds)).select(names)
+
+    # The runs travel as their lengths, which cut the text again.
+    cut = rows.withColumn("_word", begins(F.col(text))).withColumn(
+        "_cuts", F.transform(runs_of(F.col(text)), lambda run: F.octet_length(run))
     )
-    out = F.when(F.col("_chosen").isNull(), F.col(text)).otherwise(_sewn("_runs", "_chosen"))
-    return found.withColumn(text, out).select(*(f"`{c}`" for c in df.columns))
+    schema = StructType([rows.schema[c] for c in names])
+    return cut.groupBy("_block").cogroup(found.groupBy("_block")).applyInArrow(replaced, schema)
 
 
-def _candidates(rows: DataFrame, lengths: list[int], bits: DataFrame) -> DataFrame:
-    """``(_row, at, n, synonym)``: the sequences of runs that may be phrases.
-
-    A text that begins with something else than a word has no word boundary there, and neither has its end.
-    """
-    size = F.size("_runs")
-    word = lambda place: F.coalesce(F.regexp_like(F.get("_runs", place), F.lit(_WORD_RUN)), F.lit(False))
-    rows = rows.select(
-        "_row",
-        "_runs",
-        F.when(word(F.lit(0)), 0).otherwise(1).alias("_from"),
-        F.when(word(size - 1), size).otherwise(size - 1).alias("_to"),
-    )
-    sequences = F.flatten(
-        F.transform(
-            F.array(*(F.lit(n) for n in lengths)),
-            lambda n: F.transform(
-                F.when(F.col("_from") + n <= F.col("_to"), F.sequence(F.col("_from"), F.col("_to") - n)).otherwise(
-                    F.array().cast("array<int>")
-                ),
-                lambda at: F.struct(
-                    at.alias("at"), n.alias("n"), F.array_join(F.slice("_runs", at + 1, n), "").alias("synonym")
-                ),
-            ),
-        )
-    )
-    found = rows.select("_row", F.inline(sequences))
+def _probable(candidates: DataFrame, bits: DataFrame) -> DataFrame:
+    """The candidates whose bits are all set."""
     for probe in range(PROBES):
         bit = _bit(F.col("synonym"), probe)
-        found = (
-            found.withColumn("word", F.floor(bit / 32))
+        candidates = (
+            candidates.withColumn("word", F.floor(bit / 32))
             .join(F.broadcast(bits), "word")
             .where(F.col("bits").bitwiseAND(_mask(bit)) != 0)
             .drop("word", "bits")
         )
-    return found
+    return candidates
 
 
-def _leftmost(hits: Column) -> Column:
-    """Hits, sorted by place and length, without those that begin before the one chosen last has ended."""
-    kind = "struct<end:int,chosen:array<struct<at:int,longest:int,head:string>>>"
-    none = F.struct(F.lit(0).alias("end"), F.array().alias("chosen")).cast(kind)
-    step = lambda s, h: F.when(
-        h["at"] >= s["end"],
-        F.struct((h["at"] - h["longest"]).alias("end"), F.array_append(s["chosen"], h).alias("chosen")).cast(kind),
-    ).otherwise(s)
-    return F.aggregate(hits, none, step, lambda s: s["chosen"])
+def _sequences(
+    runs: pa.Array, sizes: np.ndarray, word: np.ndarray, kinds: list[tuple[int, bool]]
+) -> Iterator[tuple[int, np.ndarray, pa.Array]]:
+    """For each kind of phrase its number of runs, and where such sequences begin in the runs of all texts, and what they are.
 
-
-def _sewn(runs: str, chosen: str) -> Column:
-    """The runs with the heads in place of the chosen phrases."""
-    n = F.size(chosen)
-
-    def piece(i: Column) -> Column:
-        before = F.get(chosen, i - 1)
-        begin = F.when(i > 0, before["at"] - before["longest"]).otherwise(0)
-        end = F.when(i < n, F.get(chosen, i)["at"]).otherwise(F.size(runs))
-        gap = F.array_join(F.slice(runs, begin + 1, end - begin), "")
-        return F.concat(gap, F.when(i < n, F.get(chosen, i)["head"]).otherwise(""))
-
-    return F.array_join(F.transform(F.sequence(F.lit(0), n), piece), "")
+    A text that begins with something else than a word has no word boundary there, and neither has its end.
+    """
+    starts = np.cumsum(sizes) - sizes
+    place = np.arange(len(runs)) - np.repeat(starts, sizes)
+    # Runs of word characters and of others take turns.
+    is_word = np.repeat(word, sizes) ^ (place % 2 == 1)
+    first = np.repeat(np.where(word, 0, 1), sizes)
+    ends_in_word = word ^ (sizes % 2 == 0)
+    last = np.repeat(np.where(ends_in_word, sizes, sizes - 1), sizes)
+    for n, begins in kinds:
+        at = np.flatnonzero((place >= first) & (place + n <= last) & (is_word == begins))
+        yield n, at, pc.binary_join_element_wise(*(runs.take(pa.array(at + i)) for i in range(n)), "")
+
+
+def _asked(batch: pa.RecordBatch, kinds: list[tuple[int, bool]]) -> Iterator[pa.RecordBatch]:
+    """The distinct sequences of runs of each block that may be phrases; a block that two batches share may ask twice."""
+    lists = batch.column("_runs")
+    sizes, word = list_sizes(lists), batch.column("_word").to_numpy(zero_copy_only=False)
+    blocks = pa.array(np.repeat(batch.column("_block").to_numpy(), sizes))
+    for _, at, text in _sequences(lists.flatten(), sizes, word, kinds):
+        pairs = pa.table({"_block": blocks.take(pa.array(at)), "synonym": text})
+        yield from pairs.group_by(["_block", "synonym"]).aggregate([]).select(["_block", "synonym"]).to_batches()
+
+
+def _replaced(rows: pa.Table, text: str, found: pa.Table, kinds: list[tuple[int, bool]]) -> pa.Array:
+    """The texts of a block with the phrases replaced that were found for it."""
+    texts, cuts = one_array(rows.column(text)), one_array(rows.column("_cuts"))
+    sizes, word = list_sizes(cuts), one_array(rows.column("_word")).to_numpy(zero_copy_only=False)
+    missing = texts.is_null()
+    ends = np.concatenate(([0], np.cumsum(cuts.flatten().to_numpy(zero_copy_only=False)))).astype(np.int32)
+    whole = "".join(t for t in texts.to_pylist() if t is not None).encode()
+    runs = pa.StringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends), pa.py_buffer(whole))
+    synonyms, heads = one_array(found.column("synonym")), one_array(found.column("head"))
+    hits = []
+    for n, at, sequence in _sequences(runs, sizes, word, kinds):
+        hit = pc.index_in(sequence, value_set=synonyms).fill_null(-1).to_numpy(zero_copy_only=False)
+        some = np.flatnonzero(hit >= 0)
+        hits.append(np.stack([at[some], np.full(len(some), n), hit[some]]))
+    places, lengths, entries = np.concatenate(hits, axis=1)
+    chosen = _leftmost(places, lengths)
+    covered = np.zeros(len(runs) + 1, np.int64)
+    covered[places[chosen]] += 1
+    covered[places[chosen] + lengths[chosen]] -= 1
+    head = np.zeros(len(runs), bool)
+    head[places[chosen]] = True
+    pieces = pc.if_else(pa.array(np.cumsum(covered[:-1]) > 0), "", runs)
+    pieces = pc.replace_with_mask(pieces, pa.array(head), heads.take(pa.array(entries[chosen])))
+    return pc.binary_join(lists_of(sizes, pieces, missing), "")
+
+
+def _leftmost(places: np.ndarray, lengths: np.ndarray) -> list[int]:
+    """The hits, by place and the longest first, without those that begin before the one chosen last has ended."""
+    order, chosen, end = np.lexsort((-lengths, places)), [], 0
+    for i, at, n in zip(order.tolist(), places[order].tolist(), lengths[order].tolist()):
+        if at >= end:
+            chosen.append(i)
+            end = at + n
+    return chosen
