@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termtide.operators.joins import lookup_join
+from termtide.session import stored
 
 # Endings and what stands for them, by word class.
 DETACHMENT: dict[str, tuple[tuple[str, str], ...]] = {
@@ -81,7 +82,8 @@ def lemma_table(
     unknown = set(classes) - set(DETACHMENT)
     if unknown:
         raise ValueError(f"unknown word classes {sorted(unknown)}")
-    words = words.select(F.col(word).alias("word")).where(F.col("word") != "").distinct()
+    # Both tables of words are stored, as each is read several times and may be made of whole texts.
+    words = stored(words.select(F.col(word).alias("word")).where(F.col("word") != "").distinct(), "lemma-words")
     if not isinstance(irregular, DataFrame):
         rows = [(w, lemma, c) for c, forms in irregular.items() for w, lemma in forms.items()]
         irregular = words.sparkSession.createDataFrame(rows, "word string, lemma string, word_class string")
@@ -93,7 +95,7 @@ def lemma_table(
     marked = lookup_join(words, listed, ["word"], "left", **bounds)
     regular = marked.where(F.col("irregular").isNull()).select("word")
     on = ["lemma"] + [c for c in vocabulary.columns if c == "word_class"]
-    known = vocabulary.withColumnRenamed("word", "lemma").select(*on).distinct()
+    known = stored(vocabulary.withColumnRenamed("word", "lemma").select(*on).distinct(), "lemma-vocabulary")
     confirmed = (
         lookup_join(lemma_candidates(regular, classes), known, on, "left_semi", **bounds)
         .groupBy("word")
