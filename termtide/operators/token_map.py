@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from termtide.functions.lookup import MAX_LITERAL_ENTRIES, literal_map
-from termtide.operators.joins import with_entries
-from termtide.session import numbered_rows
+from termtide.operators.blocks import block_of, list_sizes, lists_of, one_array
+from termtide.operators.joins import lookup_join
+from termtide.session import numbered_rows, stored
 from termtide.sources.lists import bounded_dict
 
 # Words that lemmatising leaves alone.
 LEMMA_EXCLUSIONS = ("pence", "chose")
 
-# Maps that the dictionary entries of one row are dealt into.
-_BUCKETS = 64
-
 
 def map_tokens(
     tokens: Column | str, mapping: Mapping[str, str], exclude: Sequence[str] = ()
@@ -37,16 +38,20 @@ def with_mapped_tokens(
     value: str = "head",
     exclude: Sequence[str] = (),
     max_literal: int = MAX_LITERAL_ENTRIES,
+    number: str | None = None,
     **bounds,
 ) -> DataFrame:
     """Map the tokens of every row through a dictionary table of any size.
 
     Up to ``max_literal`` entries the dictionary is a plan constant and nothing is
-    shuffled.  Beyond that the rows are stored once, their distinct tokens meet the
-    dictionary by row number, and what is found is put in place within the row.
+    shuffled.  Beyond that the rows are stored once, the distinct tokens of a block of
+    rows meet the dictionary, and what is found is put in place within the block.
+
+    ``number`` says that the rows are stored already, with such a column, which is dropped.
     """
+    kept = df.drop(number) if number else df
     if not isinstance(mapping, DataFrame):
-        return df.withColumn(tokens, map_tokens(tokens, mapping, exclude))
+        return kept.withColumn(tokens, map_tokens(tokens, mapping, exclude))
     # One head for each token, whatever the form: the least of those that are listed.
     mapping = (
         mapping.where(F.col(key).isNotNull() & F.col(value).isNotNull())
@@ -57,34 +62,36 @@ def with_mapped_tokens(
         mapping = mapping.where(~F.col(key).isin(list(exclude)))
     entries = bounded_dict(mapping, key, value, max_literal)
     if entries is not None:
-        return df.withColumn(tokens, map_tokens(tokens, entries))
+        return kept.withColumn(tokens, map_tokens(tokens, entries))
 
-    rows = numbered_rows(df, "token-rows")
-    side = mapping.select(F.col(key).alias("_token"), F.col(value).alias("_mapped"))
+    rows = df if number else numbered_rows(df, "token-rows")
+    rows = rows.withColumn("_block", block_of(number or "_row", F.size(tokens)))
+    side = stored(mapping.select(F.col(key).alias("_token"), F.col(value).alias("_mapped")), "token-map")
     listed = F.coalesce(F.col(tokens), F.array().cast("array<string>"))
-    mapped = with_entries(rows, listed, side, "_token", "_pairs", **bounds)
-    return _looked_up(mapped, tokens).select(*(f"`{c}`" for c in df.columns))
+    asked = rows.select("_block", listed.alias("_tokens")).mapInArrow(_asked, "_block long, _token string")
+    found = lookup_join(stored(asked, "token-blocks"), side, ["_token"], "inner", **bounds)
+    names = [c for c in df.columns if c != number]
 
+    def placed(rows: pa.Table, found: pa.Table) -> pa.Table:
+        at = rows.schema.get_field_index(tokens)
+        return rows.set_column(at, rows.schema.field(at), _placed(rows.column(at), found)).select(names)
 
-def _looked_up(df: DataFrame, tokens: str) -> DataFrame:
-    """Tokens replaced through the pairs of their row.
+    schema = StructType([rows.schema[c] for c in names])
+    return rows.groupBy("_block").cogroup(found.groupBy("_block")).applyInArrow(placed, schema)
 
-    A map is searched from end to end, so the pairs of a row are dealt into some small ones.  Every column here is
-    used twice by the next one: an expression used once would be put inside the lambda and run for each element.
-    """
-    bucket = lambda token: F.pmod(F.hash(token), F.lit(_BUCKETS))
-    pair = lambda p: F.struct(bucket(p["_token"]).alias("bucket"), p["_token"], p["_mapped"])
-    maps = F.transform(
-        F.sequence(F.lit(0), F.lit(_BUCKETS - 1)),
-        lambda b: F.map_from_entries(
-            F.transform(
-                F.filter("_pairs", lambda p: p["bucket"] == b), lambda p: F.struct(p["_token"], p["_mapped"])
-            )
-        ),
-    )
-    mapped = F.transform(tokens, lambda t: F.coalesce(F.get("_maps", bucket(t))[t], t))
-    return (
-        df.withColumn("_pairs", F.transform("_pairs", pair))
-        .withColumn("_maps", F.when(F.col("_pairs").isNotNull(), maps))
-        .withColumn(tokens, F.when(F.col("_maps").isNull(), F.col(tokens)).otherwise(mapped))
-    )
+
+def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct tokens of each block; a block that two batches share may ask twice."""
+    for batch in batches:
+        lists = batch.column("_tokens")
+        blocks = batch.column("_block").take(pc.list_parent_indices(lists))
+        pairs = pa.table({"_block": blocks, "_token": lists.flatten()})
+        yield from pairs.group_by(["_block", "_token"]).aggregate([]).select(["_block", "_token"]).to_batches()
+
+
+def _placed(column: pa.ChunkedArray, found: pa.Table) -> pa.Array:
+    """The token lists of a block with what was found for them."""
+    lists = one_array(column)
+    flat = lists.flatten()
+    heads = one_array(found.column("_mapped")).take(pc.index_in(flat, value_set=one_array(found.column("_token"))))
+    return lists_of(list_sizes(lists), pc.coalesce(heads, flat), lists.is_null(), lists.type)
