@@ -20,7 +20,7 @@ from termtide.functions.tokens import filter_tokens, join_tokens, tokenize
 from termtide.operators.lemmas import lemma_table
 from termtide.operators.phrases import with_replaced_phrases
 from termtide.operators.token_map import LEMMA_EXCLUSIONS, with_mapped_tokens
-from termtide.session import stored
+from termtide.session import numbered_rows
 from termtide.sources.lists import bounded_dict, default_stopwords
 
 CHOICES = (
@@ -160,13 +160,14 @@ def preprocess_tokens(
         if stems is None:
             df, words = with_own_words(df, tokens)
             stems = stem_table(words, options.lang)
-        df = with_mapped_tokens(df, stems, tokens=tokens)
+        df = with_mapped_tokens(df, stems, tokens=tokens, number="_row" if options.stems is None else None)
     if "lemmatize" in choices:
         lemmas = options.lemma_tokens
         if lemmas is None:
             df, words = with_own_words(df, tokens)
             lemmas = lemma_table(words, options.lemma_vocabulary)
-        df = with_mapped_tokens(df, lemmas, tokens=tokens, exclude=options.lemma_exclusions)
+        number = "_row" if options.lemma_tokens is None else None
+        df = with_mapped_tokens(df, lemmas, tokens=tokens, exclude=options.lemma_exclusions, number=number)
         if "stopwords" in choices:
             # A lemma may be a stop word although the token was none.
             df = df.withColumn(tokens, filter_tokens(tokens, stopwords, **switches))
@@ -175,8 +176,8 @@ def preprocess_tokens(
 
 
 def with_own_words(df: DataFrame, tokens: str = "tokens") -> tuple[DataFrame, DataFrame]:
-    """The rows stored once, and their distinct tokens as a table ``(word)``."""
-    rows = stored(df, "tokenized")
+    """The rows stored once, with their numbers as ``_row``, and their distinct tokens as a table ``(word)``."""
+    rows = numbered_rows(df, "tokenized")
     return rows, rows.select(F.explode(tokens).alias("word")).distinct()
 
 

@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from termtide.functions.lookup import MAX_LITERAL_ENTRIES
 from termtide.functions.stems import stem_table, word_stems
-from termtide.operators import joins
+from termtide.operators import blocks, joins, token_map
+from termtide.operators import phrases as phrase_module
 from termtide.operators.lemmas import lemma_table
 from termtide.operators.phrases import with_replaced_phrases
 from termtide.operators.token_map import with_mapped_tokens
-from termtide.plans.preprocess import PreprocessOptions, preprocess, preprocess_tokens
+from termtide.plans.preprocess import PreprocessOptions, preprocess, preprocess_tokens, with_own_words
 
 PHRASES = {
     "the": "THE", "of the": "OFTHE", "cat of the end": "X", "a b": "AB", "-b": "DASHB", "a-b a": "Q", "été": "E",
@@ -112,6 +113,23 @@ def test_lemmas(spark):
     assert found == {"boxes": "box", "men": "man"}
 
 
+def test_lemmas_read_each_table_of_words_once(spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    def words_of(rows):
+        for batch in rows:
+            reads.add(batch.num_rows)
+            yield batch
+
+    words, vocabulary = (
+        spark.createDataFrame([(w,) for w in listed], "word string").mapInArrow(words_of, "word string")
+        for listed in (["dogs", "ran", "s"], ["dog", "run"])
+    )
+    found = lemma_table(words, vocabulary, classes=("n", "v"), max_rows=0).collect()
+    assert sorted(tuple(r) for r in found) == [("dogs", "dog"), ("ran", "run")]
+    assert reads.value == 5
+
+
 def test_chain_with_made_stems_and_lemmas(spark):
     rows = spark.createDataFrame([("the dogs were running to churches",), (None,)], "full_text string")
     options = PreprocessOptions(choices=("lowercase", "stemmed"))
@@ -161,3 +179,61 @@ def test_equal_rows_stay_as_many_as_they_are(spark):
     found = with_mapped_tokens(tokens, table, max_literal=0, max_rows=0)
     assert found.columns == ["text", "tokens"]
     assert sorted((str(r["tokens"]) for r in found.collect())) == ["None"] + ["['a', 'B']"] * 500 + ["['c']"]
+
+
+def _asked_rows(monkeypatch, module):
+    """Collects how many rows meet the side table."""
+    asked, join = [], joins.lookup_join
+
+    def counted(facts, *args, **bounds):
+        asked.append(facts.count())
+        return join(facts, *args, **bounds)
+
+    for m in (joins, module):
+        monkeypatch.setattr(m, "lookup_join", counted)
+    return asked
+
+
+def test_phrases_are_asked_for_once_a_block(spark, monkeypatch):
+    asked = _asked_rows(monkeypatch, phrase_module)
+    texts = ["a b c", "x a b, b c", None, "", " a b "] * 100
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, full_text string").coalesce(1)
+    phrases = spark.createDataFrame([("a b", "A"), ("b c", "B"), ("a b c", "C"), (", ", "-")], "synonym string, head string")
+    found = with_replaced_phrases(rows, phrases, max_literal=0, max_rows=0)
+    assert [r["full_text"] for r in found.orderBy("i").collect()] == ["C", "x A-B", None, "", " A "] * 100
+    assert asked[0] < 10
+
+
+def test_long_texts_are_blocks_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "LARGE_ROW", 3)
+    monkeypatch.setattr(blocks, "BLOCK_ROWS", 2)
+    rows = spark.createDataFrame([(i, "é b" + " é b" * (i % 3)) for i in range(9)], "i int, full_text string").coalesce(1)
+    phrases = spark.createDataFrame([("é b", "A"), ("b é", "B")], "synonym string, head string")
+    found = with_replaced_phrases(rows, phrases, max_literal=0)
+    assert [r["full_text"] for r in found.orderBy("i").collect()] == ["A", "A A", "A A A"] * 3
+    tokens = rows.withColumn("tokens", F.split("full_text", " "))
+    found = with_mapped_tokens(tokens, phrases.selectExpr("split(synonym, ' ')[0] synonym", "head"), max_literal=0)
+    assert [r["tokens"] for r in found.orderBy("i").collect()] == [["A", "B"] * n for n in (1, 2, 3)] * 3
+
+
+def test_tokens_are_asked_for_once_a_block(spark, monkeypatch):
+    asked = _asked_rows(monkeypatch, token_map)
+    rows = spark.createDataFrame([(i, ["a", "b", None, "a"] if i % 2 else None) for i in range(100)], "i int, tokens array<string>")
+    table = spark.createDataFrame([("b", "B"), ("x", "X")], "synonym string, head string")
+    found = with_mapped_tokens(rows.coalesce(1), table, max_literal=0, max_rows=0)
+    assert [r["tokens"] for r in found.orderBy("i").collect()] == [None, ["a", "B", None, "a"]] * 50
+    assert asked[0] < 10
+
+
+def test_rows_with_own_words_are_stored_once(spark, monkeypatch):
+    written = []
+    store = token_map.numbered_rows
+    monkeypatch.setattr(token_map, "numbered_rows", lambda *a: written.append(a[1]) or store(*a))
+    rows = spark.createDataFrame([("dogs run", 1), (None, 2)], "full_text string, n int")
+    rows = rows.withColumn("tokens", F.split("full_text", " "))
+    rows, words = with_own_words(rows)
+    table = words.select(F.col("word").alias("synonym"), F.upper("word").alias("head"))
+    found = with_mapped_tokens(rows, table, max_literal=0, number="_row")
+    assert found.columns == ["full_text", "n", "tokens"]
+    assert sorted((r["n"], r["tokens"]) for r in found.collect()) == [(1, ["DOGS", "RUN"]), (2, None)]
+    assert written == []
