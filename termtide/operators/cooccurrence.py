@@ -11,15 +11,21 @@ the counts are sums of weights.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Mapping
+import zlib
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from dataclasses import dataclass
 from itertools import groupby
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termtide.functions.intervals import interval_label
 from termtide.functions.lookup import literal_array, literal_map
+from termtide.operators.blocks import list_sizes
 from termtide.operators.joins import fits_broadcast, with_entries
 from termtide.session import numbered_rows, stored
 
@@ -31,7 +37,15 @@ MAX_LITERAL_WORDS = 20_000
 _LOOK_UP_FROM = 64
 
 # Sums that stand side by side where there are many topics.
-_COLUMNS = 64
+_COLUMNS = 16
+
+# Posts whose sums are made at once, their counts of topic words, and pairs of a post and a word at a time.
+_POSTS, _CELLS, _PAIRS = 8192, 1 << 22, 1 << 14
+# Fewer posts if they have more tokens than this.
+_TOKENS = 1 << 22
+
+# Bits of the filter of frequent words.
+_BITS = 1 << 24
 
 
 @dataclass(frozen=True)
@@ -126,40 +140,6 @@ def _topic_hits(entries: Column, runs_are_whole: bool) -> Column:
     )
 
 
-def with_word_counts(df: DataFrame, tokens: str, output: str) -> DataFrame:
-    """The distinct tokens of each row with how often they occur, as ``(word, n)`` structs.
-
-    The sorted tokens are cut where the word changes.  Every step is a column, because
-    what a lambda takes from outside is evaluated again for every element.
-    """
-    size = F.size(tokens)
-    changes = F.filter(
-        F.sequence(F.lit(1), size),
-        lambda i: ~F.get("_sorted", i - 1).eqNullSafe(F.get("_sorted", i - 2)),
-    )
-    return (
-        df.withColumn("_sorted", F.sort_array(tokens))
-        .withColumn("_begins", F.when(size > 0, changes).otherwise(F.array().cast("array<int>")))
-        .withColumn(
-            "_ends", F.concat(F.slice("_begins", 2, F.greatest(size, F.lit(1))), F.array(size + 1))
-        )
-        .withColumn(
-            output,
-            F.when(
-                size > 0,
-                F.zip_with(
-                    "_begins",
-                    "_ends",
-                    lambda a, b: F.struct(
-                        F.get("_sorted", a - 1).alias("word"), (b - a).alias("n")
-                    ),
-                ),
-            ),
-        )
-        .drop("_sorted", "_begins", "_ends")
-    )
-
-
 # An explode of a bare column makes Catalyst derive "is not empty" and evaluate
 # everything behind the column a second time to test that.  Each explode below is
 # therefore of the column under its own condition, which also skips useless rows.
@@ -201,60 +181,39 @@ def _pivoted_counts(
 
     With many topics a word of a post meets most of them, and a row for each would be the whole cost.  So runs of
     topic words stand side by side, ``_COLUMNS`` in a row, and each has a sum of its own; only what
-    is above the limit becomes rows again.
-
-    The matched words of a post are ranked in listing order.  A run has its words at ``start`` and the ``n`` - 1
-    places after it, and a word that comes after ``rank`` matched words has as weight how many of these are the run's.
+    is above the limit becomes rows again.  The sums of some posts at a time are made by numpy, those of all by Spark.
     """
     numbers = {name: n for n, name in enumerate(topics.names)}
     runs = [(topic, list(words)) for topic, words in groupby(topics.entries, key=lambda e: e[0])]
-    places = ((run, word) for run, (_, words) in enumerate(runs) for _, word in words)
-    entry = literal_map(
-        {word: {"idx": idx, "run": run, "topic": 0, "word": word} for idx, (run, word) in enumerate(places)}, _ENTRY
-    )
-    group = lambda run: F.floor(run / _COLUMNS).cast("int")
-    size = F.size("_runs")
-
-    def beside(g: Column) -> Column:
-        at = F.transform(F.sequence(F.lit(0), F.lit(_COLUMNS - 1)), lambda j: F.array_position("_runs", g * _COLUMNS + j))
-        last = F.transform(F.sequence(F.lit(0), F.lit(_COLUMNS - 1)), lambda j: F.array_position("_back", g * _COLUMNS + j))
-        n = F.zip_with(at, last, lambda a, b: F.when(a > 0, size - a - b + 2).otherwise(0).cast("int"))
-        return F.struct(g.alias("group"), F.transform(at, lambda a: (a - 1).cast("int")).alias("start"), n.alias("n"))
-
-    found = F.array_sort(F.array_compact(F.transform(F.array_distinct("_tokens"), entry)))
-    matched = (
-        posts.withColumn("_entries", found)
-        .withColumn("_runs", F.transform("_entries", lambda e: e["run"]))
-        .withColumn("_words", F.transform("_entries", lambda e: e["word"]))
-        .withColumn("_back", F.reverse("_runs"))
-        .withColumn("_group", F.array_distinct(F.transform("_runs", group)))
-        .withColumn("_tokens", F.when(size > 0, F.filter("_tokens", lambda t: F.length(t) > word_length)))
-    )
-    # A column that is used once would be put inside the lambda that uses it, so each is used twice.
-    bag = with_word_counts(matched, "_tokens", "_bag").withColumn(
-        "_beside", F.when(F.col("_back").isNotNull(), F.transform("_group", beside))
-    )
-
-    def ranked(t: Column) -> Column:
-        place = F.array_position("_words", t["word"])
-        return F.struct(t["word"], t["n"], F.when(place > 0, place - 1).otherwise(size).cast("int").alias("rank"))
-
-    rows = (
-        bag.withColumn("_bag", F.when(F.col("_words").isNotNull(), F.transform("_bag", ranked)))
-        .select(*labels, "_beside", F.inline(F.when(F.size("_beside") > 0, F.col("_bag"))))
-        .select(*labels, "word", F.col("n").alias("_copies"), "rank", F.inline(F.when(F.col("rank") >= 0, F.col("_beside"))))
-    )
+    listed = [word for _, words in runs for _, word in words]
+    run_of = np.repeat(np.arange(len(runs)), [len(words) for _, words in runs])
+    # A topic of one run counts a word at most so often as if its longest run of the post always counted.
+    one_run = len(runs) == len(numbers)
+
+    def in_arrow(of: Callable[[_Posts], Iterator[pa.RecordBatch]], wanted: Broadcast | None = None) -> Callable:
+        def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            words = pa.array(listed)
+            for batch in batches:
+                tokens = max(1, len(batch.column("_tokens").flatten()))
+                some = max(1, min(_POSTS, _CELLS // len(runs), _TOKENS * batch.num_rows // tokens))
+                for at in range(0, batch.num_rows, some):
+                    yield from of(_Posts(batch.slice(at, some), words, run_of, word_length, wanted and wanted.value))
+
+        return made
+
+    posts = posts.select(*labels, "_tokens")
+    key = "".join(f"`{c}` {kind}, " for c, kind in posts.dtypes if c == "_label") + "word string, "
+    columns = ", ".join(f"_{j} long" for j in range(_COLUMNS))
+    made = f"{key}group int, {columns}"
     if least > 0:
-        # A topic of one run counts a word at most so often as if its longest run of the post always counted.
-        longest = F.array_max(F.flatten(F.transform("_beside", lambda b: b["n"]))) if len(runs) == len(numbers) else size
-        rows = _frequent(rows, bag, longest, labels, least)
-    weight = lambda j: F.greatest(
-        F.lit(0), F.least(F.col("rank") - F.get("start", F.lit(j)), F.get("n", F.lit(j)))
-    )
+        bounds = posts.mapInArrow(in_arrow(lambda p: p.bounds(one_run)), f"{key}_bound long")
+        frequent = _frequent(bounds, labels, least)
+        wanted = posts.sparkSession.sparkContext.broadcast(_bits(frequent))
+        rows = _only(posts.mapInArrow(in_arrow(_Posts.sums, wanted), made), frequent, labels)
+    else:
+        rows = posts.mapInArrow(in_arrow(_Posts.sums), made)
     keys = [c for c in ("_label",) if labels]
-    sums = rows.groupBy(*keys, "group", "word").agg(
-        *(F.sum((F.col("_copies") * weight(j)).cast("long")).alias(f"_{j}") for j in range(_COLUMNS))
-    )
+    sums = rows.groupBy(*keys, "group", "word").agg(*(F.sum(f"_{j}").alias(f"_{j}") for j in range(_COLUMNS)))
     apart = sums.select(
         *keys, "word", "group", F.posexplode(F.array(*(F.col(f"_{j}") for j in range(_COLUMNS)))).alias("_j", "count")
     )
@@ -266,26 +225,118 @@ def _pivoted_counts(
     return counts.where(F.col("count") > least)
 
 
-def _frequent(rows: DataFrame, bag: DataFrame, most: Column, labels: list[Column], least: int) -> DataFrame:
-    """``rows`` without the words that cannot come above ``least`` with any topic.
-
-    ``most`` bounds what a word of a post adds to one topic.  Summed by label and word, a number each, it
-    leaves out the rare words, of which there are the most, before they get a row of sums.  Where the words left are
-    too many to broadcast, all go on.
+class _Posts:
+    """Some posts: their distinct words, and how many words of each run of topic words each post has."""
+
+    def __init__(self, batch: pa.RecordBatch, listed: pa.Array, run_of: np.ndarray, word_length: int, wanted: np.ndarray | None = None) -> None:
+        lists = batch.column("_tokens")
+        coded = lists.flatten().dictionary_encode()
+        codes = coded.indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        post = np.repeat(np.arange(len(lists)), list_sizes(lists))[codes >= 0]
+        words, n_runs = coded.dictionary, int(run_of[-1]) + 1
+        many = max(1, len(words))
+        pairs, copies = np.unique(post * many + codes[codes >= 0], return_counts=True)
+        post, word = pairs // many, pairs % many
+        place = pc.index_in(words, value_set=listed).fill_null(-1).to_numpy(zero_copy_only=False)
+        # Matched words in listing order, and how many of the same run and post come before each.
+        matched = np.flatnonzero(place[word] >= 0) if len(words) else np.zeros(0, np.int64)
+        matched = matched[np.lexsort((place[word[matched]], post[matched]))]
+        cell = post[matched] * n_runs + run_of[place[word[matched]]]
+        own = np.zeros(len(pairs), np.int64)
+        own[matched] = np.arange(len(cell)) - np.searchsorted(cell, cell)
+        self.counts = np.bincount(cell, minlength=len(lists) * n_runs).reshape(len(lists), n_runs)
+        # Pairs of a post and a word, those of one label and word together.
+        length = pc.utf8_length(words).to_numpy(zero_copy_only=False)
+        chosen = length > word_length
+        if wanted is not None:
+            bit = np.fromiter((zlib.crc32(w.encode()) % _BITS for w in words.to_pylist()), np.int64, len(words))
+            chosen = chosen & (wanted[bit // 32] >> (bit % 32) & 1 == 1)
+        kept = np.flatnonzero(self.counts.any(axis=1)[post] & chosen[word])
+        self.labels = batch.column("_label").dictionary_encode("encode") if "_label" in batch.schema.names else None
+        label = self.labels.indices.to_numpy()[post] if self.labels is not None else np.zeros(len(post), np.int64)
+        kept = kept[np.argsort(label[kept] * many + word[kept], kind="stable")]
+        self.post, self.copies, self.own = post[kept], copies[kept], own[kept]
+        key = label[kept] * many + word[kept]
+        self.starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
+        first = kept[self.starts]
+        self.words, self.label = words.take(pa.array(word[first])), label[first]
+        listed_at = place[word[first]] if len(words) else np.zeros(0, np.int64)
+        # The run of a word that is a topic word itself, or the one after the last.
+        self.run = np.where(listed_at >= 0, run_of[listed_at], n_runs)
+
+    def _keys(self, some: np.ndarray) -> dict[str, pa.Array]:
+        at = pa.array(some)
+        label = {} if self.labels is None else {"_label": self.labels.dictionary.take(pa.array(self.label[some]))}
+        return label | {"word": self.words.take(at)}
+
+    def bounds(self, one_run: bool) -> Iterator[pa.RecordBatch]:
+        """For each word no less than what it counts with any topic."""
+        if not len(self.starts):
+            return
+        most = self.counts.max(axis=1) if one_run else self.counts.sum(axis=1)
+        bound = np.add.reduceat(most[self.post] * self.copies, self.starts)
+        yield pa.RecordBatch.from_pydict(self._keys(np.arange(len(bound))) | {"_bound": pa.array(bound)})
+
+    def sums(self) -> Iterator[pa.RecordBatch]:
+        """For each word and group of runs what the word counts with each of the runs.
+
+        A word that is no topic word counts with every matched word; a topic word with those that are listed before it.
+        """
+        ends = np.append(self.starts[1:], len(self.post))
+        # Words together until they have some thousand pairs.
+        cuts = np.flatnonzero(np.diff(self.starts // _PAIRS, prepend=-1))
+        for group in range(0, self.counts.shape[1], _COLUMNS):
+            counts = np.zeros((len(self.counts), _COLUMNS), np.int64)
+            part = self.counts[:, group : group + _COLUMNS]
+            counts[:, : part.shape[1]] = part
+            for a, b in zip(cuts, [*cuts[1:], len(self.starts)]):
+                low, high = self.starts[a], ends[b - 1]
+                weighed = counts[self.post[low:high]] * self.copies[low:high, None]
+                sums = np.add.reduceat(weighed, self.starts[a:b] - low, axis=0)
+                run = self.run[a:b] - group
+                sums[np.arange(_COLUMNS) >= run[:, None]] = 0
+                own = np.flatnonzero((run >= 0) & (run < part.shape[1]))
+                ranked = np.add.reduceat(self.own[low:high] * self.copies[low:high], self.starts[a:b] - low)
+                sums[own, run[own]] = ranked[own]
+                some = np.flatnonzero(sums.any(axis=1))
+                if len(some):
+                    number = pa.array(np.full(len(some), group // _COLUMNS, np.int32))
+                    beside = {f"_{j}": pa.array(sums[some, j]) for j in range(_COLUMNS)}
+                    yield pa.RecordBatch.from_pydict(self._keys(some + a) | {"group": number} | beside)
+
+
+def _frequent(bounds: DataFrame, labels: list[Column], least: int) -> DataFrame:
+    """The words that may come above ``least`` with some topic.
+
+    ``bounds`` says what a word of some posts adds to one topic at most.  Summed by label and word, a number each, it
+    leaves out the rare words, of which there are the most, before they get a row of sums.
     """
     keys = [c for c in ("_label",) if labels]
-    frequent = stored(
-        bag.select(*labels, most.alias("_most"), F.inline(F.when(F.size("_beside") > 0, F.col("_bag"))))
-        .groupBy(*keys, "word")
-        .agg(F.sum(F.col("n").cast("long") * F.col("_most")).alias("_bound"))
+    return stored(
+        bounds.groupBy(*keys, "word")
+        .agg(F.sum("_bound").alias("_bound"))
         .where(F.col("_bound") > least)
         .select(*(F.col(k).alias("_of") for k in keys), F.col("word").alias("_frequent")),
         "frequent-words",
     )
+
+
+def _bits(frequent: DataFrame) -> np.ndarray:
+    """A filter that all frequent words pass and few others; its size is the same however many words there are."""
+    bit = F.crc32(F.col("_frequent").cast("binary")) % _BITS
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 32).cast("int"))
+    found = frequent.groupBy(F.floor(bit / 32).alias("place")).agg(F.bit_or(mask).alias("bits")).toArrow()
+    bits = np.zeros(_BITS // 32, np.int64)
+    bits[found.column("place").to_numpy()] = found.column("bits").to_numpy()
+    return bits
+
+
+def _only(rows: DataFrame, frequent: DataFrame, labels: list[Column]) -> DataFrame:
+    """``rows`` of frequent words; where these are too many to broadcast, those that passed the filter by chance as well."""
     if not fits_broadcast(frequent):
         return rows
     same = F.col("word") == F.col("_frequent")
-    if keys:
+    if labels:
         same = same & F.col("_label").eqNullSafe(F.col("_of"))
     return rows.join(F.broadcast(frequent), same, "left_semi")
 

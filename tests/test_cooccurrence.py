@@ -4,6 +4,8 @@ import random
 import sys
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -226,3 +228,30 @@ def test_topic_lists_of_any_size_and_single_topics(spark):
         ("t59999", "other"), ("t7", "other"), ("t7", "w59999"),
     ]
     assert cooccurrence(posts, {"topic": "t", "words": ["w7"]}, count_filter=0).count() == 2
+
+
+def test_sums_of_some_posts_at_a_time(spark, monkeypatch):
+    """A word that many posts share gets one row of sums from all of them, not one from each."""
+    module = sys.modules["termtide.operators.cooccurrence"]
+    posts, words = [["w0", "w5", None, "x", "x"], ["w3", "w0", "x"], None, [], ["x", "é"]] * 40, [f"w{i}" for i in range(6)]
+    batch = pa.RecordBatch.from_pydict({"_tokens": pa.array(posts, pa.list_(pa.string()))})
+    made = module._Posts(batch, pa.array(words), np.array([0, 0, 0, 1, 1, 1]), 0)
+    (sums,) = (b.to_pylist() for b in made.sums())
+    assert {r["word"]: (r["_0"], r["_1"]) for r in sums} == {"x": (120, 120), "w3": (40, 0), "w5": (40, 0)}
+    assert {r["word"]: r["_bound"] for b in made.bounds(True) for r in b.to_pylist()}["x"] == 120
+
+    with monkeypatch.context() as patch:
+        patch.setattr(module, "_COLUMNS", 1)
+        patch.setattr(module, "_PAIRS", 3)
+        parts = [(r["word"], r["group"], r["_0"]) for b in made.sums() for r in b.to_pylist()]
+    assert sorted(parts) == [("w3", 0, 40), ("w5", 0, 40), ("x", 0, 120), ("x", 1, 120)]
+
+    dice, names = random.Random(3), [f"w{i}" for i in range(40)]
+    some = [[dice.choice([*names, "x", "y", None]) for _ in range(dice.randrange(30))] for _ in range(100)]
+    topics = [{"topic": f"t{i}", "words": names[i::7]} for i in range(7)]
+    for more in (ALL, ALL | {"count_filter": 6}):
+        with monkeypatch.context() as patch:
+            expected = counted(cooccurrence(bags(spark, some), topics, **more))
+            patch.setattr(module, "_LOOK_UP_FROM", 1)
+            patch.setattr(module, "_POSTS", 4)
+            assert expected and counted(cooccurrence(bags(spark, some), topics, **more)) == expected
