@@ -196,9 +196,10 @@ def page_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sequence(F.lit(1), F.greatest(F.size("runs") - 2, F.lit(1))),
         lambda i: (F.get("runs", i) == " ") & F.get("runs", i + 1).isNotNull(),
     )
-    pair = F.transform(places, lambda i: F.struct(F.get("runs", i - 1).alias("a"), F.get("runs", i + 1).alias("b")))
-    return pages.select(F.inline(pair)).distinct().select(
-        F.concat_ws(" ", "a", "b").alias("synonym"), F.concat_ws("_", "a", "b").alias("head")
+    pair = F.transform(places, lambda i: F.concat_ws(" ", F.get("runs", i - 1), F.get("runs", i + 1)))
+    # Words hold no space, so the pair tells its words; distinct by it alone, it meets the phrases without moving again.
+    return pages.select(F.explode(pair).alias("synonym")).distinct().select(
+        "synonym", F.translate("synonym", " ", "_").alias("head")
     )
 
 

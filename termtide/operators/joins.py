@@ -73,6 +73,7 @@ def lookup_join(
     max_rows: int = MAX_BROADCAST_ROWS,
     max_bytes: int = MAX_BROADCAST_BYTES,
     salts: int = SALTS,
+    distinct: bool = False,
 ) -> DataFrame:
     """Equi-join facts to a side table.
 
@@ -80,8 +81,12 @@ def lookup_join(
     that hold a large share of the facts are found in a pass over the key columns; facts of such a key, or
     without a key, are dealt out over the salts, and the side's rows of these keys alone are repeated once per
     salt.  All others join plainly.  ``how`` is one of inner, left, left_semi, left_anti.
+
+    ``distinct`` says that each key holds one fact at most, and none is missing: neither side is looked at before.
     """
     on = list(on)
+    if distinct:
+        return facts.join(side.hint("merge"), on, how)
     if max_rows > 0 and fits_broadcast(side, max_rows, max_bytes):
         return facts.join(F.broadcast(side), on, how)
     is_heavy = _one_of(on, [k for k in heavy_keys(facts, on) if None not in k])

@@ -2,30 +2,40 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator, Mapping
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from termtide.functions.lookup import MAX_LITERAL_ENTRIES
 from termtide.functions.text import replace_phrases
-from termtide.operators.blocks import block_of, list_sizes, lists_of, one_array
+from termtide.operators.blocks import lists_of, one_array
 from termtide.operators.joins import lookup_join
-from termtide.session import numbered_rows, stored
+from termtide.session import stored
 from termtide.sources.lists import bounded_dict
 
 # Word characters and others in turns.  A phrase begins and ends where they change, so it is a
 # sequence of whole runs.
 RUN = r"(?U)\w+|\W+"
-_WORD_RUN = r"(?U)^\w"
 
-# Bits of the filter that tells most runs of text from phrases before anything moves, and how many of them a phrase sets.
-FILTER_BITS = 1 << 24
-PROBES = 2
+# Texts that meet the phrases together, in octets, and how much a row counts besides its text.
+BLOCK_OCTETS = 4 << 20
+ROW_OCTETS = 64
+# A bucket holds about so many phrases, so many octets of them, and sequences of so many octets of text for each kind of phrase.
+BUCKET_PHRASES = 1 << 18
+BUCKET_OCTETS = 32 << 20
+BUCKET_TEXT = 64 << 20
+
+_PACKING = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))
+_LOW = np.uint64(0xFFFFFFFF)
+_HALF = np.uint64(32)
 
 
 def phrase_table(phrases: DataFrame | Mapping[str, str], df: DataFrame, lower: bool = False) -> DataFrame:
@@ -41,25 +51,6 @@ def phrase_table(phrases: DataFrame | Mapping[str, str], df: DataFrame, lower: b
     )
 
 
-def _bit(phrase: Column, probe: int) -> Column:
-    return F.pmod(F.xxhash64(phrase, F.lit(probe)), F.lit(FILTER_BITS))
-
-
-def _mask(bit: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 32).cast("int"))
-
-
-def _filter(phrases: DataFrame) -> DataFrame:
-    """``(word, bits)``: the bits of all phrases, at most ``FILTER_BITS / 32`` rows however many phrases there are."""
-    bit = F.explode(F.array(*(_bit(F.col("synonym"), probe) for probe in range(PROBES)))).alias("bit")
-    words = (
-        phrases.select(bit)
-        .groupBy(F.floor(F.col("bit") / 32).alias("word"))
-        .agg(F.bit_or(_mask(F.col("bit"))).alias("bits"))
-    )
-    return stored(words, "phrase-filter")
-
-
 def with_replaced_phrases(
     df: DataFrame,
     phrases: DataFrame | Mapping[str, str],
@@ -71,62 +62,178 @@ def with_replaced_phrases(
 ) -> DataFrame:
     """Replace whole-word phrases, the longest of the leftmost first, as ``replace_phrases`` does.
 
-    Up to ``max_literal`` phrases are one pattern in the plan.  Beyond that a text is cut into runs; of its
-    sequences of runs, of the lengths that phrases have, the distinct ones of a block of rows that pass a bit filter meet
-    the table of phrases by their hash, and what is found goes back to the block, where the texts themselves are compared
-    and overlaps are settled.  Texts move once, at the end.
+    Up to ``max_literal`` phrases are one pattern in the plan.  Beyond that texts are cut into runs, and phrases are dealt
+    out over buckets by their hash.  A block of texts asks each bucket once for the sequences of runs it has, of the
+    lengths that phrases have, by a sorted list of hashes.  The phrases found go back to the block, where the texts
+    themselves are compared and overlaps are settled.  Texts move once, at the end; all that moves is packed.
     """
     if not isinstance(phrases, DataFrame) and len(phrases) <= max_literal:
         return df.withColumn(text, replace_phrases(text, {k.lower() if lower else k: v for k, v in phrases.items()}))
-    phrases = phrase_table(phrases, df, lower)
+    phrases = stored(phrase_table(phrases, df, lower), "phrases", "zstd")
     entries = bounded_dict(phrases, "synonym", "head", max_literal)
     if entries is not None:
         return df.withColumn(text, replace_phrases(text, entries))
 
-    runs_of = lambda c: F.regexp_extract_all(c, F.lit(RUN), F.lit(0))
-    begins = lambda c: F.coalesce(F.regexp_like(c, F.lit(_WORD_RUN)), F.lit(False))
-    phrases = stored(phrases.select("synonym", "head", F.xxhash64("synonym").alias("_hash")), "phrases")
-    # As many as phrases have lengths, twice at most.
-    kind = F.struct(F.size(runs_of(F.col("synonym"))), begins(F.col("synonym")))
-    kinds = [tuple(r[0]) for r in phrases.select(kind).distinct().collect()]
-    names = df.columns
-    rows = numbered_rows(df, "phrase-rows").withColumn("_block", block_of("_row", F.length(text)))
+    changes = _word_changes(df.sparkSession)
+    kinds, buckets = _extent(phrases, changes)
+    names, kept = df.columns, df.schema
+    numbered = StructType([*kept, StructField("_block", LongType())])
+    rows = stored(df.mapInArrow(lambda batches: _numbered(batches, text), numbered), "phrase-rows", "zstd")
+    # At most one bucket for each part of the text that one may be asked for.
+    octets = rows.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
+    buckets = max(buckets, -(-octets * len(kinds) // BUCKET_TEXT))
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield from _asked(batch, kinds)
+        for block, rows in _blocks(batches):
+            yield _asked(block, one_array(rows.column(text)), kinds, buckets, changes)
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _dealt(batches, buckets)
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, rows in _blocks(batches):
+            yield pa.RecordBatch.from_pydict({"_block": pa.array([block]), "_rows": pa.array([_pack(rows)], pa.binary())})
 
-    candidates = rows.select("_block", begins(F.col(text)).alias("_word"), runs_of(F.col(text)).alias("_runs")).mapInArrow(
-        asked, "_block long, synonym string"
+    lists = (
+        rows.select("_block", text)
+        .mapInArrow(asked, "_bucket long, _block long, _keys binary")
+        .groupBy("_bucket")
+        .agg(F.collect_list(F.struct("_block", "_keys")).alias("_asked"))
     )
-    if phrases.count() < FILTER_BITS:  # with more of them most bits are set
-        candidates = _probable(candidates, _filter(phrases))
-    candidates = stored(candidates.select("_block", F.xxhash64("synonym").alias("_hash")), "phrase-candidates")
-    found = lookup_join(candidates, phrases, ["_hash"], "inner", **bounds)
+    side = phrases.mapInArrow(dealt, "_bucket long, _pack binary").groupBy("_bucket").agg(F.collect_list("_pack").alias("_packs"))
+    found = lookup_join(lists, side, ["_bucket"], "inner", distinct=True, **bounds)
+    found = found.select("_asked", "_packs").mapInArrow(_answered, "_block long, _found binary")
 
     def replaced(rows: pa.Table, found: pa.Table) -> pa.Table:
-        at = rows.schema.get_field_index(text)
-        return rows.set_column(at, rows.schema.field(at), _replaced(rows, text, found, kinds)).select(names)
+        rows, found = _unpacked(rows.column("_rows")), _unpacked(found.column("_found"))
+        if found is not None:
+            at = rows.schema.get_field_index(text)
+            rows = rows.set_column(at, rows.schema.field(at), _replaced(one_array(rows.column(at)), found, kinds, changes))
+        return rows.select(names)
+
+    moved = rows.mapInArrow(packed, "_block long, _rows binary")
+    return moved.groupBy("_block").cogroup(found.groupBy("_block")).applyInArrow(replaced, kept)
+
+
+@functools.cache
+def _word_changes(spark: SparkSession) -> tuple[int, ...]:
+    """The code points where word characters and others change, by the pattern's own class; the first are none."""
+    chars = "".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000))))
+    runs = F.regexp_extract_all("chars", F.lit(RUN), F.lit(0))
+    (sizes,) = spark.createDataFrame([(chars,)], "chars string").select(F.transform(runs, F.length)).collect()
+    ends = np.cumsum(sizes[0])[:-1]
+    # Surrogates are no characters of a text.
+    return tuple(np.where(ends < 0xD800, ends, ends + 0x800).tolist())
+
+
+@functools.lru_cache(1)
+def _word_table(changes: tuple[int, ...]) -> np.ndarray:
+    """For each code point whether it is a word character."""
+    return np.repeat(np.arange(len(changes) + 1) % 2 == 1, np.diff((0, *changes, 0x110000)))
+
+
+def _runs(texts: pa.Array, changes: tuple[int, ...]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The runs of all texts one after the other, how many each text has, and whether it begins with a word."""
+    whole = "".join(t for t in texts.to_pylist() if t is not None)
+    points = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
+    is_word = _word_table(changes)[points]
+    lengths = pc.utf8_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    starts, some = np.cumsum(lengths) - lengths, lengths > 0
+    begins = np.zeros(len(lengths), bool)
+    begins[some] = is_word[starts[some]]
+    edge = np.zeros(len(points), bool)
+    edge[1:] = is_word[1:] != is_word[:-1]
+    edge[starts[some]] = True
+    at = np.flatnonzero(edge)
+    sizes = np.diff(np.searchsorted(at, np.append(starts, len(points))))
+    octets = np.ones(len(points), np.uint8)
+    for most in (0x7F, 0x7FF, 0xFFFF):
+        octets += points > most
+    ends = np.zeros(len(at) + 1, np.int32)
+    if len(at):
+        np.cumsum(np.add.reduceat(octets, at, dtype=np.int64), out=ends[1:])
+    return pa.StringArray.from_buffers(len(at), pa.py_buffer(ends), pa.py_buffer(whole.encode())), sizes, begins
+
+
+def _extent(phrases: DataFrame, changes: tuple[int, ...]) -> tuple[list[tuple[int, bool]], int]:
+    """The kinds of phrases, by number of runs and what they begin with, and how many buckets hold them."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, sizes, begins = _runs(batch.column("synonym"), changes)
+            octets = pc.add(pc.binary_length(batch.column("synonym")), pc.binary_length(batch.column("head"))).cast("int64")
+            kinds = pa.table({"runs": sizes, "word": begins, "octets": octets}).group_by(["runs", "word"])
+            found = kinds.aggregate([("octets", "count"), ("octets", "sum")])
+            yield from found.select(["runs", "word", "octets_count", "octets_sum"]).rename_columns(["runs", "word", "n", "octets"]).to_batches()
+
+    found = phrases.mapInArrow(counted, "runs long, word boolean, n long, octets long").groupBy("runs", "word")
+    # As many as phrases have lengths, twice at most.
+    kinds = found.agg(F.sum("n").alias("n"), F.sum("octets").alias("octets")).collect()
+    n, octets = (sum(r[c] for r in kinds) for c in ("n", "octets"))
+    return [(r["runs"], r["word"]) for r in kinds], max(-(-n // BUCKET_PHRASES), -(-octets // BUCKET_OCTETS))
 
-    # The runs travel as their lengths, which cut the text again.
-    cut = rows.withColumn("_word", begins(F.col(text))).withColumn(
-        "_cuts", F.transform(runs_of(F.col(text)), lambda run: F.octet_length(run))
-    )
-    schema = StructType([rows.schema[c] for c in names])
-    return cut.groupBy("_block").cogroup(found.groupBy("_block")).applyInArrow(replaced, schema)
 
+def _numbered(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
+    """The rows with the number of their block, which holds texts of ``BLOCK_OCTETS`` or one larger text at its end."""
+    first, filled = TaskContext.get().partitionId() << 36, 0
+    for batch in batches:
+        octets = pc.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) + ROW_OCTETS
+        ends = filled + np.cumsum(octets)
+        filled = int(ends[-1]) if len(ends) else filled
+        yield batch.append_column("_block", pa.array(first + (ends - octets) // BLOCK_OCTETS))
 
-def _probable(candidates: DataFrame, bits: DataFrame) -> DataFrame:
-    """The candidates whose bits are all set."""
-    for probe in range(PROBES):
-        bit = _bit(F.col("synonym"), probe)
-        candidates = (
-            candidates.withColumn("word", F.floor(bit / 32))
-            .join(F.broadcast(bits), "word")
-            .where(F.col("bits").bitwiseAND(_mask(bit)) != 0)
-            .drop("word", "bits")
-        )
-    return candidates
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
+    """The rows of each block; a block that two tasks share comes twice."""
+    held, of = [], None
+    for batch in batches:
+        blocks = batch.column("_block").to_numpy()
+        starts = np.flatnonzero(np.diff(blocks, prepend=-1)).tolist()
+        for start, end in zip(starts, [*starts[1:], len(blocks)]):
+            if blocks[start] != of and held:
+                yield of, pa.Table.from_batches(held)
+                held = []
+            of = int(blocks[start])
+            held.append(batch.slice(start, end - start).drop_columns(["_block"]))
+    if held:
+        yield of, pa.Table.from_batches(held)
+
+
+def _pack(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=_PACKING) as stream:
+        stream.write_table(table.combine_chunks())
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(packs: pa.ChunkedArray | pa.Array) -> pa.Table | None:
+    """What was packed, all in one, or None if nothing was."""
+    tables = [pa.ipc.open_stream(pack.as_buffer()).read_all() for pack in packs]
+    return pa.concat_tables(tables).combine_chunks() if tables else None
+
+
+def _places(strings: pa.Array, buckets: int) -> np.ndarray:
+    """Where phrases are looked for: the bucket in the upper half, by one half of the hash, and the other in the lower."""
+    hashes = pd.util.hash_array(strings.to_numpy(zero_copy_only=False), categorize=False)
+    return ((hashes >> _HALF) * np.uint64(buckets) & ~_LOW) | (hashes & _LOW)
+
+
+def _by_bucket(places: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """The buckets of sorted places, each with where it begins and ends."""
+    buckets = (places >> _HALF).astype(np.int64)
+    starts = np.flatnonzero(np.diff(buckets, prepend=-1)).tolist()
+    for start, end in zip(starts, [*starts[1:], len(buckets)]):
+        yield int(buckets[start]), start, end
+
+
+def _steps(keys: np.ndarray) -> bytes:
+    """Sorted numbers of four octets as their differences, the lowest octets of all first: the highest are mostly zeros."""
+    return np.diff(keys, prepend=np.uint32(0)).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _keys(steps: bytes) -> np.ndarray:
+    planes = np.frombuffer(steps, np.uint8).reshape(4, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.uint32)
 
 
 def _sequences(
@@ -148,24 +255,73 @@ def _sequences(
         yield n, at, pc.binary_join_element_wise(*(runs.take(pa.array(at + i)) for i in range(n)), "")
 
 
-def _asked(batch: pa.RecordBatch, kinds: list[tuple[int, bool]]) -> Iterator[pa.RecordBatch]:
-    """The distinct sequences of runs of each block that may be phrases; a block that two batches share may ask twice."""
-    lists = batch.column("_runs")
-    sizes, word = list_sizes(lists), batch.column("_word").to_numpy(zero_copy_only=False)
-    blocks = pa.array(np.repeat(batch.column("_block").to_numpy(), sizes))
-    for _, at, text in _sequences(lists.flatten(), sizes, word, kinds):
-        pairs = pa.table({"_block": blocks.take(pa.array(at)), "synonym": text})
-        yield from pairs.group_by(["_block", "synonym"]).aggregate([]).select(["_block", "synonym"]).to_batches()
-
-
-def _replaced(rows: pa.Table, text: str, found: pa.Table, kinds: list[tuple[int, bool]]) -> pa.Array:
+def _asked(block: int, texts: pa.Array, kinds: list[tuple[int, bool]], buckets: int, changes: tuple[int, ...]) -> pa.RecordBatch:
+    """What a block asks of each bucket: the distinct sequences of runs that may be phrases, by their hashes."""
+    runs = _runs(texts, changes)
+    places = [_places(pc.unique(sequences), buckets) for _, _, sequences in _sequences(*runs, kinds)]
+    places = np.sort(np.concatenate(places))
+    places = places[np.diff(places, prepend=~places[:1]) != 0]
+    parts = [(bucket, _steps((places[start:end] & _LOW).astype(np.uint32))) for bucket, start, end in _by_bucket(places)]
+    return pa.RecordBatch.from_pydict({
+        "_bucket": pa.array([bucket for bucket, _ in parts], pa.int64()),
+        "_block": pa.array([block] * len(parts), pa.int64()),
+        "_keys": pa.array([steps for _, steps in parts], pa.binary()),
+    })
+
+
+def _dealt(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Phrases packed by bucket, as many at a time as one holds."""
+    held = []
+
+    def parts() -> pa.RecordBatch:
+        phrases = pa.Table.from_batches(held).combine_chunks()
+        places = _places(one_array(phrases.column("synonym")), buckets)
+        order = np.argsort(places >> _HALF, kind="stable")
+        phrases = phrases.take(pa.array(order))
+        parts = [(bucket, _pack(phrases.slice(start, end - start))) for bucket, start, end in _by_bucket(places[order])]
+        return pa.RecordBatch.from_pydict({
+            "_bucket": pa.array([bucket for bucket, _ in parts], pa.int64()),
+            "_pack": pa.array([pack for _, pack in parts], pa.binary()),
+        })
+
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= BUCKET_PHRASES or sum(b.nbytes for b in held) >= BUCKET_OCTETS:
+            yield parts()
+            held = []
+    if held:
+        yield parts()
+
+
+def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each block that asked a bucket the phrases found there, packed."""
+    for batch in batches:
+        for asked, packs in zip(batch.column("_asked"), batch.column("_packs")):
+            phrases = _unpacked(packs.values).sort_by("synonym")
+            keys = (_places(one_array(phrases.column("synonym")), 1) & _LOW).astype(np.uint32)
+            order = np.argsort(keys)
+            keys = keys[order]
+            blocks, found = [], []
+            for block, steps in zip(*(asked.values.field(c).to_pylist() for c in ("_block", "_keys"))):
+                at = _found(keys, _keys(steps))
+                if at.size:
+                    blocks.append(block)
+                    # In the order of the phrases they take less room.
+                    found.append(_pack(phrases.take(pa.array(np.sort(order[at])))))
+            yield pa.RecordBatch.from_pydict({"_block": pa.array(blocks, pa.int64()), "_found": pa.array(found, pa.binary())})
+
+
+def _found(keys: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Where the asked are among sorted keys, all of them if a key repeats."""
+    first = np.searchsorted(keys, asked)
+    last = np.searchsorted(keys, asked, "right")
+    sizes = last - first
+    return np.arange(sizes.sum()) + np.repeat(first - (np.cumsum(sizes) - sizes), sizes)
+
+
+def _replaced(texts: pa.Array, found: pa.Table, kinds: list[tuple[int, bool]], changes: tuple[int, ...]) -> pa.Array:
     """The texts of a block with the phrases replaced that were found for it."""
-    texts, cuts = one_array(rows.column(text)), one_array(rows.column("_cuts"))
-    sizes, word = list_sizes(cuts), one_array(rows.column("_word")).to_numpy(zero_copy_only=False)
-    missing = texts.is_null()
-    ends = np.concatenate(([0], np.cumsum(cuts.flatten().to_numpy(zero_copy_only=False)))).astype(np.int32)
-    whole = "".join(t for t in texts.to_pylist() if t is not None).encode()
-    runs = pa.StringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends), pa.py_buffer(whole))
+    runs, sizes, word = _runs(texts, changes)
     synonyms, heads = one_array(found.column("synonym")), one_array(found.column("head"))
     hits = []
     for n, at, sequence in _sequences(runs, sizes, word, kinds):
@@ -181,7 +337,7 @@ def _replaced(rows: pa.Table, text: str, found: pa.Table, kinds: list[tuple[int,
     head[places[chosen]] = True
     pieces = pc.if_else(pa.array(np.cumsum(covered[:-1]) > 0), "", runs)
     pieces = pc.replace_with_mask(pieces, pa.array(head), heads.take(pa.array(entries[chosen])))
-    return pc.binary_join(lists_of(sizes, pieces, missing), "")
+    return pc.binary_join(lists_of(sizes, pieces, texts.is_null()), "")
 
 
 def _leftmost(places: np.ndarray, lengths: np.ndarray) -> list[int]:

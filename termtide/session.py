@@ -55,13 +55,13 @@ def remove_path(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """The rows of ``df`` as a table in the shared folder: read back, never computed again."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     # Parquet has no column without a type.
     untyped = [c for c, kind in df.dtypes if kind == "void"]
-    df.drop(*untyped).write.parquet(path)
+    df.drop(*untyped).write.parquet(path, compression=codec)
     found = spark.read.schema(df.drop(*untyped).schema).parquet(path)
     return found.withColumns({c: F.lit(None) for c in untyped}).select(*(f"`{c}`" for c in df.columns))
 

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from suite.inputs import page_pairs
 from termtide.functions.lookup import MAX_LITERAL_ENTRIES
 from termtide.functions.stems import stem_table, word_stems
 from termtide.operators import blocks, joins, token_map
@@ -204,6 +207,68 @@ def test_phrases_are_asked_for_once_a_block(spark, monkeypatch):
     assert asked[0] < 10
 
 
+def test_phrases_are_asked_for_in_lists(spark, monkeypatch):
+    """A row for each bucket, however many sequences there are, of four octets each; one bucket or many find the same."""
+    lists, join = [], joins.lookup_join
+
+    def listed(facts, *args, **bounds):
+        lists.append(facts.collect())
+        return join(facts, *args, **bounds)
+
+    monkeypatch.setattr(phrase_module, "lookup_join", listed)
+    rows = spark.createDataFrame([(i, f"a{i} b{i} {i}") for i in range(2000)], "i int, full_text string").coalesce(1)
+    phrases = spark.createDataFrame([(f"a{i} b{i}", f"<{i}>") for i in range(0, 3000, 2)], "synonym string, head string")
+    for most, buckets in ((phrase_module.BUCKET_PHRASES, 1), (100, 15)):
+        monkeypatch.setattr(phrase_module, "BUCKET_PHRASES", most)
+        found = with_replaced_phrases(rows, phrases, max_literal=0, max_rows=0)
+        texts = [r["full_text"] for r in found.orderBy("i").collect()]
+        assert texts == [f"a{i} b{i} {i}" if i % 2 else f"<{i}> {i}" for i in range(2000)]
+        assert len(lists[-1]) == buckets
+        # Of three words a text, two pairs.
+        assert sum(len(asked["_keys"]) for r in lists[-1] for asked in r["_asked"]) <= 4 * 2 * 2000
+
+
+def test_runs_are_those_of_the_pattern(spark):
+    rng = random.Random(2)
+    parts = [0x20, 0x61, 0x5F, 0x2D, 0x301, 0xE9, 0x200D, 0x203F, 0x2160, 0x24B6, 0x65E5, 0x1F600, 0x1D7D9, 0xE0100, 0]
+    chars = [*parts, *(rng.choice((rng.randrange(0xD800), rng.randrange(0xE000, 0x110000))) for _ in range(20000))]
+    values = ["".join(map(chr, rng.choices(chars, k=rng.randint(0, 60)))) for _ in range(1000)] + [None, "", "x"]
+    rows = spark.createDataFrame(list(enumerate(values)), "i int, c string").orderBy("i")
+    expected = [r[0] or [] for r in rows.select(F.regexp_extract_all("c", F.lit(phrase_module.RUN), F.lit(0))).collect()]
+    begins = [bool(r[0]) for r in rows.select(F.regexp_like("c", F.lit(r"(?U)^\w"))).collect()]
+    for some in (slice(None), slice(-2, -1)):
+        runs, sizes, word = phrase_module._runs(pa.array(values[some], pa.string()), phrase_module._word_changes(spark))
+        assert runs.to_pylist() == [run for runs in expected[some] for run in runs]
+        assert sizes.tolist() == [len(runs) for runs in expected[some]]
+        assert word.tolist() == begins[some]
+
+
+def test_lists_of_keys_are_packed_and_found():
+    keys = np.array([0, 1, 1 << 20, (1 << 32) - 1], np.uint32)
+    assert phrase_module._keys(phrase_module._steps(keys)).tolist() == keys.tolist()
+    assert phrase_module._keys(phrase_module._steps(keys[:0])).tolist() == []
+    # Two phrases may have the same key; both are found, for their texts to be compared.
+    assert phrase_module._found(np.array([1, 3, 3, 7], np.uint32), np.array([0, 3, 7, 9], np.uint32)).tolist() == [1, 2, 3]
+
+
+def test_blocks_span_batches():
+    batches = [pa.record_batch({"_block": pa.array(b, pa.int64()), "t": b}) for b in ([0, 0, 1], [], [1, 1], [1, 4, 5], [5])]
+    assert [(block, rows["t"].to_pylist()) for block, rows in phrase_module._blocks(iter(batches))] == [
+        (0, [0, 0]), (1, [1] * 4), (4, [4]), (5, [5, 5])
+    ]
+
+
+def test_page_pairs_move_once(spark, tmp_path):
+    pages = [("http://X.y/a b", "<p>The  end. É é_1 a b</p>"), (None, "the end"), ("a b", None), (None, None)]
+    spark.createDataFrame(pages, "url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    pairs = page_pairs(spark, str(tmp_path))
+    assert sorted(map(tuple, pairs.collect())) == [
+        ("a b", "a_b"), ("the end", "the_end"), ("é é_1", "é_é_1"), ("é_1 a", "é_1_a")
+    ]
+    plan = phrase_module.phrase_table(pairs, pairs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_long_texts_are_blocks_of_their_own(spark, monkeypatch):
     monkeypatch.setattr(blocks, "LARGE_ROW", 3)
     monkeypatch.setattr(blocks, "BLOCK_ROWS", 2)
