@@ -33,7 +33,7 @@ BUCKET_PHRASES = 1 << 18
 BUCKET_OCTETS = 32 << 20
 BUCKET_TEXT = 64 << 20
 
-_PACKING = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))
+_CODEC = pa.Codec("zstd", 3)
 _LOW = np.uint64(0xFFFFFFFF)
 _HALF = np.uint64(32)
 
@@ -105,7 +105,7 @@ def with_replaced_phrases(
     found = found.select("_asked", "_packs").mapInArrow(_answered, "_block long, _found binary")
 
     def replaced(rows: pa.Table, found: pa.Table) -> pa.Table:
-        rows, found = _unpacked(rows.column("_rows")), _unpacked(found.column("_found"))
+        rows, found = _unpacked(rows.column("_rows")), _unpacked_phrases(found.column("_found"))
         if found is not None:
             at = rows.schema.get_field_index(text)
             rows = rows.set_column(at, rows.schema.field(at), _replaced(one_array(rows.column(at)), found, kinds, changes))
@@ -201,14 +201,37 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]
 
 def _pack(table: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema, options=_PACKING) as stream:
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=_CODEC)) as stream:
         stream.write_table(table.combine_chunks())
     return sink.getvalue().to_pybytes()
 
 
-def _unpacked(packs: pa.ChunkedArray | pa.Array) -> pa.Table | None:
-    """What was packed, all in one, or None if nothing was."""
-    tables = [pa.ipc.open_stream(pack.as_buffer()).read_all() for pack in packs]
+def _unpacked(packs: pa.ChunkedArray) -> pa.Table:
+    return pa.concat_tables([pa.ipc.open_stream(pack.as_buffer()).read_all() for pack in packs]).combine_chunks()
+
+
+def _pack_phrases(phrases: pa.Table) -> bytes:
+    """The lengths of all strings, then synonyms and heads in one piece, since they are often alike."""
+    columns = [one_array(phrases.column(c)) for c in ("synonym", "head")]
+    sizes = [_planes(pc.binary_length(c).to_numpy(zero_copy_only=False)) for c in columns]
+    ends = pa.array([0, phrases.num_rows], pa.int32())
+    whole = b"".join([*sizes, *(pc.binary_join(pa.ListArray.from_arrays(ends, c), "")[0].as_buffer() for c in columns)])
+    return np.array([phrases.num_rows, len(whole)], "<i8").tobytes() + _CODEC.compress(whole, asbytes=True)
+
+
+def _unpacked_phrases(packs: pa.ChunkedArray | pa.Array) -> pa.Table | None:
+    """The phrases packed, all in one, or None if there are none."""
+    tables = []
+    for pack in packs:
+        octets = pack.as_buffer()
+        n, size = np.frombuffer(octets, "<i8", 2).tolist()
+        whole = _CODEC.decompress(octets[16:], size)
+        columns, at = [], 8 * n
+        for i in range(2):
+            ends = np.append(0, np.cumsum(_numbers(whole[4 * n * i : 4 * n * (i + 1)]), dtype=np.int64)).astype(np.int32)
+            columns.append(pa.StringArray.from_buffers(n, pa.py_buffer(ends), whole[at : at + int(ends[-1])]))
+            at += int(ends[-1])
+        tables.append(pa.table(columns, ["synonym", "head"]))
     return pa.concat_tables(tables).combine_chunks() if tables else None
 
 
@@ -226,14 +249,22 @@ def _by_bucket(places: np.ndarray) -> Iterator[tuple[int, int, int]]:
         yield int(buckets[start]), start, end
 
 
+def _planes(numbers: np.ndarray) -> bytes:
+    """Numbers of four octets, the lowest octets of all first: the highest are mostly zeros."""
+    return numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _numbers(planes: bytes | pa.Buffer) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
 def _steps(keys: np.ndarray) -> bytes:
-    """Sorted numbers of four octets as their differences, the lowest octets of all first: the highest are mostly zeros."""
-    return np.diff(keys, prepend=np.uint32(0)).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    """Sorted keys by their differences."""
+    return _planes(np.diff(keys, prepend=np.uint32(0)))
 
 
 def _keys(steps: bytes) -> np.ndarray:
-    planes = np.frombuffer(steps, np.uint8).reshape(4, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.uint32)
+    return np.cumsum(_numbers(steps), dtype=np.uint32)
 
 
 def _sequences(
@@ -278,7 +309,7 @@ def _dealt(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Recor
         places = _places(one_array(phrases.column("synonym")), buckets)
         order = np.argsort(places >> _HALF, kind="stable")
         phrases = phrases.take(pa.array(order))
-        parts = [(bucket, _pack(phrases.slice(start, end - start))) for bucket, start, end in _by_bucket(places[order])]
+        parts = [(bucket, _pack_phrases(phrases.slice(start, end - start))) for bucket, start, end in _by_bucket(places[order])]
         return pa.RecordBatch.from_pydict({
             "_bucket": pa.array([bucket for bucket, _ in parts], pa.int64()),
             "_pack": pa.array([pack for _, pack in parts], pa.binary()),
@@ -297,7 +328,7 @@ def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each block that asked a bucket the phrases found there, packed."""
     for batch in batches:
         for asked, packs in zip(batch.column("_asked"), batch.column("_packs")):
-            phrases = _unpacked(packs.values).sort_by("synonym")
+            phrases = _unpacked_phrases(packs.values).sort_by("synonym")
             keys = (_places(one_array(phrases.column("synonym")), 1) & _LOW).astype(np.uint32)
             order = np.argsort(keys)
             keys = keys[order]
@@ -307,7 +338,7 @@ def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if at.size:
                     blocks.append(block)
                     # In the order of the phrases they take less room.
-                    found.append(_pack(phrases.take(pa.array(np.sort(order[at])))))
+                    found.append(_pack_phrases(phrases.take(pa.array(np.sort(order[at])))))
             yield pa.RecordBatch.from_pydict({"_block": pa.array(blocks, pa.int64()), "_found": pa.array(found, pa.binary())})
 
 

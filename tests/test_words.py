@@ -251,6 +251,19 @@ def test_lists_of_keys_are_packed_and_found():
     assert phrase_module._found(np.array([1, 3, 3, 7], np.uint32), np.array([0, 3, 7, 9], np.uint32)).tolist() == [1, 2, 3]
 
 
+def test_phrases_are_packed():
+    """By their lengths and texts; a head that is like its synonym takes little room."""
+    phrases = pa.table({"synonym": ["é b", "a", "x" * 300], "head": ["", "日本", "y"]})
+    packs = [phrase_module._pack_phrases(p) for p in (phrases, phrases.slice(1, 1))]
+    expected = [*phrases.to_pylist(), phrases.to_pylist()[1]]
+    assert phrase_module._unpacked_phrases(pa.array(packs, pa.binary())).to_pylist() == expected
+    assert phrase_module._unpacked_phrases(pa.chunked_array([], pa.binary())) is None
+    rng = random.Random(3)
+    words = sorted({f"{rng.randrange(1 << 40):x} {rng.randrange(1 << 40):x}" for _ in range(20000)})
+    one, both = (pa.table({"synonym": words, "head": heads}) for heads in ([""] * len(words), [w.replace(" ", "_") for w in words]))
+    assert len(phrase_module._pack_phrases(both)) < 1.5 * len(phrase_module._pack_phrases(one))
+
+
 def test_blocks_span_batches():
     batches = [pa.record_batch({"_block": pa.array(b, pa.int64()), "t": b}) for b in ([0, 0, 1], [], [1, 1], [1, 4, 5], [5])]
     assert [(block, rows["t"].to_pylist()) for block, rows in phrase_module._blocks(iter(batches))] == [
